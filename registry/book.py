@@ -1,0 +1,24 @@
+"""Where queries and their SQL are entered."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its name, with the SQL that must give the same rows."""
+
+    def enter(function: Query) -> Query:
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            SQL[function.__name__] = sql
+        return function
+
+    return enter
