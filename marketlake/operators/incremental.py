@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,16 @@ def _literal(value, rows: DataFrame, column: str) -> Column:
     return F.lit(str(value)).cast(rows.schema[column].dataType)
 
 
-def high_water_mark(target: DataFrame, column: str):
-    """The largest value in the table, or None for an empty one: a single value to the driver."""
+def high_water_mark(target: DataFrame, column: str, day: str | None = None):
+    """The largest value in the table, or None for an empty one: a single value to the driver.
+
+    With ``day``, the table's date partition column that is derived from ``column``, only the
+    newest day is read for it; finding that day needs no data column at all.
+    """
+    if day:
+        newest = target.agg(F.max(day)).first()[0]
+        if newest is not None:
+            target = target.filter(F.col(day) == _literal(newest, target, day))
     return target.agg(F.max(column)).first()[0]
 
 
@@ -38,33 +47,46 @@ def at_or_before_mark(batch: DataFrame, target: DataFrame, keys: Sequence[str],
     return not_loaded(batch.filter(F.col(column) <= _literal(mark, batch, column)), target, keys, column)
 
 
+class Extent(NamedTuple):
+    """Number of rows and the first and last value of a column."""
+
+    rows: int
+    first: object
+    last: object
+
+
+def extent(rows: DataFrame, column: str) -> Extent:
+    return Extent(*rows.agg(F.count(F.lit(1)), F.min(column), F.max(column)).first())
+
+
 def not_loaded(
     batch: DataFrame,
     target: DataFrame,
     keys: Sequence[str],
     column: str,
     day: str | None = None,
+    within: Extent | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows of the batch whose key the table lacks.
 
-    One pass over the batch gives its size and time range. The range limits the part of the table
-    that is read, by ``day`` (a date partition column) and by the time column itself. For a batch
-    counted small, its keys are broadcast to thin out the table before the anti-join, so that the
-    table is scanned but never shuffled.
+    One pass over the batch gives its extent in time, unless the caller knows it (``within``). It
+    limits the part of the table that is read, by ``day`` (a date partition column) and by the time
+    column itself. For a batch counted small, its keys are broadcast to thin out the table before
+    the anti-join, so that the table is scanned but never shuffled.
     """
     keys = list(keys)
-    size, first, last = batch.agg(F.count(F.lit(1)), F.min(column), F.max(column)).first()
-    if size == 0:
+    within = within or extent(batch, column)
+    if within.rows == 0:
         return batch
     known = target
-    if first is not None:
-        first, last = _literal(first, batch, column), _literal(last, batch, column)
+    if within.first is not None:
+        first, last = _literal(within.first, batch, column), _literal(within.last, batch, column)
         if day:
             known = known.filter(F.col(day).between(first.cast("date"), last.cast("date")))
         known = known.filter(F.col(column).between(first, last))
     known = known.select(*keys)
-    if size <= max_rows:
+    if within.rows <= max_rows:
         known = known.join(F.broadcast(batch.select(*keys)), keys, "left_semi")
     return batch.join(known, keys, "left_anti")
 

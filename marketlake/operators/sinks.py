@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.sources.literals import no_rows
+
 DAY = "event_date"
 # Spark's own CSV default stops at milliseconds.
 CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -61,10 +63,19 @@ def append_by_day(rows: DataFrame, path: str, column: str) -> int:
 def open_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table in day folders at ``path``, empty if nothing was written yet."""
     full = T.StructType(schema.fields + [T.StructField(DAY, T.DateType())])
-    spark.createDataFrame([], full).write.mode("ignore").partitionBy(DAY).parquet(path)
+    no_rows(spark, full).write.mode("ignore").partitionBy(DAY).parquet(path)
     return spark.read.schema(full).parquet(path)
 
 
+def point(view: str, path: str, spark: SparkSession) -> None:
+    """Make the view read the table at ``path`` from now on."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+
+
+def new_version(folder: str) -> str:
+    return f"{folder}/version={uuid4().hex}"
+
+
 def publish(tables: Mapping[str, DataFrame], folder: str, by_column: Mapping[str, str] | None = None) -> dict[str, int]:
     """Replace tables together: write a new version of each, then point their views at it.
 
@@ -72,12 +83,17 @@ def publish(tables: Mapping[str, DataFrame], folder: str, by_column: Mapping[str
     that already run keep their version, and the version being read is never overwritten.
     ``by_column`` names the time column of tables to be stored in day folders.
     """
-    version = f"{folder}/version={uuid4().hex}"
+    version = new_version(folder)
     written = {}
     for view, rows in tables.items():
         column = (by_column or {}).get(view)
         path = f"{version}/{view}"
         written[view] = append_by_day(rows, path, column) if column else append(rows, path)
     for view, rows in tables.items():
-        rows.sparkSession.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{version}/{view}`")
+        point(view, f"{version}/{view}", rows.sparkSession)
     return written
+
+
+def current(spark: SparkSession, view: str, schema: T.StructType) -> DataFrame:
+    """The published table, or no rows before the first version."""
+    return spark.table(view) if spark.catalog.tableExists(view) else no_rows(spark, schema)

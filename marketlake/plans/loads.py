@@ -5,17 +5,35 @@ Every load can run again after a failure or on the same input and adds nothing t
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.functions.classify import primary_category
-from marketlake.functions.symbols import ends_with_any
-from marketlake.operators.incremental import high_water_mark, newer_than_mark, not_loaded, one_per_key
+from marketlake.functions.classify import CATEGORY_KEYWORDS, primary_category
+from marketlake.functions.symbols import MARKETS, ends_with_any
+from marketlake.functions.temporal import as_of
+from marketlake.operators.incremental import (
+    Extent,
+    extent,
+    high_water_mark,
+    newer_than_mark,
+    not_loaded,
+    one_per_key,
+)
 from marketlake.operators.joins import join_dimension, lookup
-from marketlake.operators.sinks import DAY, append_by_day, open_by_day, publish
+from marketlake.operators.sinks import DAY, append, append_by_day, current, new_version, open_by_day, point, publish
 from marketlake.operators.upsert import absent
-from marketlake.plans.star import dim_pair, dim_time
-from marketlake.schemas import DIM_TIME, FACT_KEY, FACT_PRICE
+from marketlake.plans.normalise import (
+    currency_rows,
+    delta_prices,
+    merge_currencies,
+    merge_pairs,
+    pair_rows,
+    price_rows,
+)
+from marketlake.plans.star import dim_pair, dim_time, fact_price
+from marketlake.schemas import CURRENCY, DIM_TIME, FACT_KEY, FACT_PRICE, PAIR, PRICES
 
 
 def open_fact(spark: SparkSession, star: str) -> DataFrame:
@@ -26,37 +44,40 @@ def open_dim_time(spark: SparkSession, star: str) -> DataFrame:
     return open_by_day(spark, f"{star}/dim_time", DIM_TIME)
 
 
-def add_times(spark: SparkSession, rows: DataFrame, star: str) -> int:
+def add_times(spark: SparkSession, facts: DataFrame, star: str, within: Extent) -> int:
     """Add the times of these facts that the time dimension lacks."""
-    times = dim_time(rows, "TIME_ID")
-    fresh = not_loaded(times, open_dim_time(spark, star), ["TIME_ID"], "TIME_ID", DAY)
+    times = dim_time(facts, "TIME_ID")
+    fresh = not_loaded(times, open_dim_time(spark, star), ["TIME_ID"], "TIME_ID", DAY, within)
     return append_by_day(fresh, f"{star}/dim_time", "TIME_ID")
 
 
 def load_facts(spark: SparkSession, batch: DataFrame, star: str) -> int:
-    """Append the facts of a batch that the table lacks, after their times.
+    """Append the facts of a batch that the table lacks.
 
     Keyed by time, pair and source, so late rows and rows at the newest time are loaded as well.
     A key that comes twice in a batch is one fact, with the lower price; a key that is already
     loaded keeps its price.
+
+    The times go in first, so that no fact is ever without one. They are those of the whole batch,
+    which needs only its time column: facts that are already loaded have their times. The batch is
+    read again for each step rather than kept, since a backfill can be as large as the table.
     """
-    # Kept for this load: the batch is counted, compared and written. A lost block is recomputed
-    # from the batch's own input.
-    batch = batch.groupBy(*FACT_KEY).agg(F.min("PRICE").alias("PRICE")).persist()
-    try:
-        fresh = not_loaded(batch, open_fact(spark, star), FACT_KEY, "TIME_ID", DAY)
-        add_times(spark, fresh, star)
-        return append_by_day(fresh, f"{star}/fact_price", "TIME_ID")
-    finally:
-        batch.unpersist()
+    size = extent(batch, "TIME_ID")
+    if size.rows == 0:
+        return 0
+    add_times(spark, batch, star, size)
+    facts = batch.groupBy(*FACT_KEY).agg(F.min("PRICE").alias("PRICE"))
+    fresh = not_loaded(facts, open_fact(spark, star), FACT_KEY, "TIME_ID", DAY, size)
+    return append_by_day(fresh, f"{star}/fact_price", "TIME_ID")
 
 
 def load_facts_after_mark(spark: SparkSession, batch: DataFrame, star: str) -> int:
     """Append the facts after the newest one loaded, and only those."""
-    fresh = newer_than_mark(batch, high_water_mark(open_fact(spark, star), "TIME_ID"), "TIME_ID")
-    if fresh.isEmpty():
+    fresh = newer_than_mark(batch, high_water_mark(open_fact(spark, star), "TIME_ID", DAY), "TIME_ID")
+    size = extent(fresh, "TIME_ID")
+    if size.rows == 0:
         return 0
-    add_times(spark, fresh, star)
+    add_times(spark, fresh, star, size)
     return append_by_day(fresh, f"{star}/fact_price", "TIME_ID")
 
 
@@ -68,6 +89,64 @@ def daily_bridge(
     return load_facts(spark, facts, star)
 
 
+def load_master(
+    spark: SparkSession,
+    tickers: DataFrame,
+    quotes: DataFrame,
+    home: str,
+    currency_view: str = "currency",
+    pair_view: str = "pair",
+    moment=None,
+    keywords: Mapping[str, Sequence[str]] = CATEGORY_KEYWORDS,
+) -> int:
+    """Merge the assets and pairs of these tickers into the master tables and append their prices.
+
+    Both tables get a new version; the views move together once both are written. Pairs are built
+    from the stored currencies, so that all steps see the same ids.
+    """
+    version = new_version(home)
+    currency = current(spark, currency_view, CURRENCY)
+    append(merge_currencies(currency, currency_rows(tickers, quotes)), f"{version}/currency")
+    stored = spark.read.schema(CURRENCY).parquet(f"{version}/currency")
+    pair = current(spark, pair_view, PAIR)
+    append(merge_pairs(pair, pair_rows(tickers, stored, keywords)), f"{version}/pair")
+    point(currency_view, f"{version}/currency", spark)
+    point(pair_view, f"{version}/pair", spark)
+    return append_prices(spark, price_rows(tickers, spark.table(pair_view), moment), home)
+
+
+def open_prices(spark: SparkSession, home: str) -> DataFrame:
+    return open_by_day(spark, f"{home}/price_hist", PRICES)
+
+
+def append_prices(spark: SparkSession, prices: DataFrame, home: str) -> int:
+    """Append to the price history as it comes; every price is a row, also if it was there before."""
+    return append_by_day(prices.select(*PRICES.names), f"{home}/price_hist", "Timestamp")
+
+
+def daily_run(
+    spark: SparkSession,
+    tickers: DataFrame,
+    quotes: DataFrame,
+    pair: DataFrame,
+    currency: DataFrame,
+    sources: DataFrame,
+    home: str,
+    moment,
+    view: str = "dim_pair",
+    markets: Sequence[str] | None = MARKETS,
+) -> int:
+    """The scheduled run: current prices from both sources into the history, then the bridge.
+
+    ``moment`` names the run. A run that is repeated for the same moment adds nothing.
+    """
+    offered = delta_prices(tickers, quotes, pair, moment, markets)
+    fresh = not_loaded(offered, open_prices(spark, home), ["Timestamp", "Pair_ID", "Source"], "Timestamp", DAY)
+    append_prices(spark, fresh, home)
+    day = open_prices(spark, home).filter(F.col(DAY) == F.to_date(as_of(moment)))
+    return daily_bridge(spark, fact_price(day, sources), pair, currency, home, view)
+
+
 def category_facts(
     prices: DataFrame, pair: DataFrame, currency: DataFrame, categories: DataFrame, suffixes: tuple[str, ...] = ("USD", "USDT")
 ) -> tuple[DataFrame, DataFrame]:

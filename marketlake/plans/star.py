@@ -6,7 +6,7 @@ is counted small, else joined by a single shuffle of the fact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.temporal import calendar_parts
@@ -15,6 +15,7 @@ from marketlake.operators.ranking import first_per_key
 from marketlake.operators.upsert import absent, with_new_ids
 from marketlake.plans.normalise import EXCHANGE, REFERENCE
 from marketlake.schemas import DIM_SOURCE
+from marketlake.sources.literals import literal_rows
 
 # The rows the source dimension starts with.
 SOURCE_SEED = ((1, EXCHANGE), (2, REFERENCE))
@@ -23,9 +24,9 @@ _STAR_PARTS = {p.upper(): p for p in ("day", "month", "year", "quarter", "hour",
 _EXPORT_PARTS = {p.capitalize(): p for p in ("year", "month", "day", "quarter")}
 
 
-def unique_metadata(metadata: DataFrame) -> DataFrame:
+def unique_metadata(metadata: DataFrame, key: str = "symbol") -> DataFrame:
     """One asset per symbol: the best rank; unranked assets come last, ties go to the lower id."""
-    return first_per_key(metadata, "symbol", F.col("rank").asc_nulls_last(), F.col("id").asc_nulls_last())
+    return first_per_key(metadata, key, F.col("rank").asc_nulls_last(), F.col("id").asc_nulls_last())
 
 
 def with_assets(pair: DataFrame, currency: DataFrame) -> DataFrame:
@@ -42,10 +43,15 @@ def with_assets(pair: DataFrame, currency: DataFrame) -> DataFrame:
 
 
 def enriched_prices(prices: DataFrame, pair: DataFrame, currency: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Every price with its base currency, category and the metadata of that currency, if any."""
-    names = currency.select(F.col("Currency_ID").alias("Base_Currency_ID"), "Currency_Name")
-    meta = unique_metadata(metadata).select("symbol", "name")
-    described = names.join(meta, F.upper(names["Currency_Name"]) == F.upper(meta["symbol"]), "left")
+    """Every price with its base currency, category and the metadata of that currency, if any.
+
+    Names match whatever their case, so the metadata is made unique on the upper-case symbol.
+    """
+    names = currency.select(
+        F.col("Currency_ID").alias("Base_Currency_ID"), "Currency_Name", F.upper("Currency_Name").alias("_symbol")
+    )
+    meta = unique_metadata(metadata.withColumn("_symbol", F.upper("symbol")), "_symbol")
+    described = names.join(meta.select("_symbol", "symbol", "name"), "_symbol", "left")
     dimension = pair.select("Pair_ID", "Base_Currency_ID", "Manual_Category").join(described, "Base_Currency_ID")
     return join_dimension(prices, dimension, "Pair_ID", bound=pair).select(
         "Timestamp", "Currency_Name", "Price", "Manual_Category", "symbol", "name"
@@ -91,8 +97,8 @@ def dim_pair(pair: DataFrame, currency: DataFrame) -> DataFrame:
     )
 
 
-def seed_sources(spark) -> DataFrame:
-    return spark.createDataFrame(list(SOURCE_SEED), DIM_SOURCE)
+def seed_sources(spark: SparkSession) -> DataFrame:
+    return literal_rows(spark, DIM_SOURCE, SOURCE_SEED)
 
 
 def dim_source(existing: DataFrame, prices: DataFrame) -> DataFrame:

@@ -39,6 +39,9 @@ PRICE_HIST = _schema(
     ("Source", T.StringType()),
 )
 
+# The history as loads append to it; a stored row has no id of its own.
+PRICES = _schema(("Pair_ID", T.IntegerType()), ("Price", PRICE), ("Timestamp", NTZ), ("Source", T.StringType()))
+
 # --- star tables -----------------------------------------------------------------------------
 DIM_TIME = _schema(
     ("TIME_ID", NTZ, "not null"),
@@ -53,6 +56,7 @@ DIM_PAIR = _schema(
     ("QUOTE_CURRENCY", T.StringType()),
     ("QUOTE_ASSET_TYPE", T.StringType()),
 )
+DIM_CATEGORY = _schema(("CATEGORY_ID", T.IntegerType(), "not null"), ("CATEGORY_NAME", T.StringType()))
 DIM_SOURCE = _schema(("SOURCE_ID", T.IntegerType(), "not null"), ("SOURCE_NAME", T.StringType()))
 FACT_PRICE = _schema(
     ("TIME_ID", NTZ), ("PAIR_ID", T.LongType()), ("SOURCE_ID", T.IntegerType()), ("PRICE", PRICE)

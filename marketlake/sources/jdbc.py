@@ -1,4 +1,4 @@
-"""Relational tables over JDBC, read in parallel slices of a numeric key.
+"""Relational tables over JDBC: read in parallel slices of a numeric key, replaced, appended to.
 
 Connection settings (url, user, password, driver) always come from the caller.
 """
@@ -48,3 +48,18 @@ def read_table(
         if lower is not None:
             options |= slice_options(key, int(lower), int(upper), slices)
     return spark.read.format("jdbc").options(**options, dbtable=table).load()
+
+
+def write_options(url: str, table: str, properties: Mapping[str, str], batch_size: int = 10_000) -> dict[str, str]:
+    """``truncate`` lets an overwrite empty the table and keep its definition."""
+    return {"url": url, "dbtable": table, "batchsize": str(batch_size), "truncate": "true", **properties}
+
+
+def write_table(
+    rows: DataFrame, url: str, table: str, properties: Mapping[str, str], mode: str = "append", connections: int = 8
+) -> None:
+    """Append rows, or with ``mode="overwrite"`` replace a dimension, over at most ``connections``.
+
+    Each task commits for itself. Write facts to an empty staging table if all or nothing is needed.
+    """
+    rows.coalesce(connections).write.format("jdbc").options(**write_options(url, table, properties)).mode(mode).save()

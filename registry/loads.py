@@ -3,13 +3,16 @@
 from pyspark.sql import functions as F
 
 from marketlake.operators import incremental, upsert
-from marketlake.operators.sinks import DAY
+from marketlake.operators.sinks import DAY, publish
 from marketlake.plans import loads, star
-from marketlake.schemas import PRICE
+from marketlake.schemas import DIM_CATEGORY, PRICE
 from marketlake.session import new_folder
+from marketlake.sources.literals import literal_rows
 from marketlake.streaming.price_stream import load_new_files
 from registry import bindings as b
 from registry.book import query
+from registry.payloads import ASSETS, EARLIER, MOMENT, quotes
+from registry.quality import WORDS
 from registry.star import _PARTS, _SOURCES
 
 # What had been loaded before: prices up to a day, trades up to a day.
@@ -170,7 +173,7 @@ _WANTED = "(p.Pair_Name LIKE '%NATION_1' OR p.Pair_Name LIKE '%NATION_2')"
 def _category_load(spark, folder):
     # Composite categories, of which the first counts; three are in the dimension.
     pair = b.pair(spark, folder).withColumn("Manual_Category", F.concat("Manual_Category", F.lit(" , Other")))
-    categories = spark.createDataFrame(_CATEGORIES, "CATEGORY_ID int, CATEGORY_NAME string")
+    categories = literal_rows(spark, DIM_CATEGORY, _CATEGORIES)
     return loads.category_facts(
         b.price_hist(spark, folder), pair, b.currency(spark, folder), categories, ("NATION_1", "NATION_2")
     )
@@ -192,27 +195,28 @@ def category_rejects(spark, folder):
     return _category_load(spark, folder)[1].select("Pair_ID", "Pair_Name", "CURRENCY_ID", "CATEGORY_NAME")
 
 
-# --- whole loads, run twice ------------------------------------------------------------------
+# --- whole loads: a part of the prices first, then all of them ------------------------------------------------------------------
 _FACT = f"""+
 dim_source AS ({_SOURCES})
 SELECT h."Timestamp" AS TIME_ID, h.Pair_ID AS PAIR_ID, s.SOURCE_ID, min(h.Price) AS PRICE
 FROM price_hist h JOIN dim_source s ON s.SOURCE_NAME = h.Source GROUP BY ALL"""
 
 
-def _facts(spark, folder, prices=None):
-    prices = b.price_hist(spark, folder) if prices is None else prices
-    return star.fact_price(prices, star.dim_source(star.seed_sources(spark), b.price_hist(spark, folder)))
+def _published_sources(spark, prices, home):
+    """The source dimension as a stored table, since every load looks it up."""
+    view = "dim_source_" + home[-32:]
+    publish({view: star.dim_source(star.seed_sources(spark), prices)}, home)
+    return spark.table(view)
 
 
 @query(b.sql("price_hist", _FACT))
 def daily_bridge(spark, folder):
     home = new_folder(spark, "star")
     view = "dim_pair_" + home[-32:]
-    early = _until(b.price_hist(spark, folder), LOADED)
-    for prices in (early, None, None):
-        loads.daily_bridge(
-            spark, _facts(spark, folder, prices), b.pair(spark, folder), b.currency(spark, folder), home, view
-        )
+    prices, pair, currency = b.price_hist(spark, folder), b.pair(spark, folder), b.currency(spark, folder)
+    sources = _published_sources(spark, prices, home)
+    for landed in (_until(prices, LOADED), prices):
+        loads.daily_bridge(spark, star.fact_price(landed, sources), pair, currency, home, view)
     return loads.open_fact(spark, home).drop(DAY)
 
 
@@ -230,7 +234,7 @@ SELECT "Timestamp" AS TIME_ID, Pair_ID AS PAIR_ID, 1 AS SOURCE_ID, Price AS PRIC
 def bridge_after_mark(spark, folder):
     home = new_folder(spark, "star")
     early = _until(b.price_hist(spark, folder), LOADED)
-    for prices in (early, b.price_hist(spark, folder), b.price_hist(spark, folder)):
+    for prices in (early, b.price_hist(spark, folder)):
         loads.load_facts_after_mark(spark, star.fact_price(prices), home)
     return loads.open_fact(spark, home).drop(DAY)
 
@@ -242,15 +246,56 @@ def history_reload(spark, folder):
     prices = b.price_hist(spark, folder)
     loads.reload_history(_until(prices, LOADED), home, view)
     loads.reload_history(prices, home, view)
-    loads.reload_history(prices, home, view)
     return spark.table(view).drop(DAY)
 
 
+def _master(spark, folder):
+    """Currency and pair from tickers and quotes, loaded twice into the same views."""
+    home = new_folder(spark, "master")
+    currency_view, pair_view = "currency_" + home[-32:], "pair_" + home[-32:]
+    tickers = b.ticker(spark, folder)
+    for moment in (EARLIER, MOMENT):
+        loads.load_master(spark, tickers, quotes(spark, folder), home, currency_view, pair_view, moment, WORDS)
+    return home, spark.table(currency_view), spark.table(pair_view)
+
+
+@query(b.sql("ticker quote", ASSETS + "SELECT * FROM market"))
+def master_load_pairs(spark, folder):
+    return _master(spark, folder)[2]
+
+
+@query(b.sql("ticker quote", ASSETS + f"""
+SELECT m.Pair_ID, CAST(t.price AS DECIMAL(20,8)) AS Price, r.moment AS "Timestamp", 'Binance' AS Source
+FROM ticker t JOIN market m ON m.Pair_Name = t.symbol,
+(VALUES (TIMESTAMP '{EARLIER}'), (TIMESTAMP '{MOMENT}')) r(moment)"""))
+def master_load_prices(spark, folder):
+    home, _, _ = _master(spark, folder)
+    return loads.open_prices(spark, home).drop(DAY)
+
+
+@query(b.sql("ticker quote", ASSETS + f"""
+SELECT DISTINCT TIMESTAMP '{MOMENT}' AS TIME_ID, CAST(m.Pair_ID AS BIGINT) AS PAIR_ID, o.SOURCE_ID, o.PRICE
+FROM market m
+JOIN (SELECT symbol, any_value(base) AS base, min(CAST(price AS DECIMAL(20,8))) AS price FROM split GROUP BY symbol) s
+     ON s.symbol = m.Pair_Name
+LEFT JOIN quote q ON q.symbol = s.base,
+LATERAL (SELECT s.price AS PRICE, 1 AS SOURCE_ID UNION ALL SELECT q.Global_Price_USD, 2) o
+WHERE o.PRICE <> 0"""))
+def daily_run(spark, folder):
+    home, currency, pair = _master(spark, folder)
+    for _ in range(2):
+        loads.daily_run(
+            spark, b.ticker(spark, folder), quotes(spark, folder), pair, currency, star.seed_sources(spark),
+            home, MOMENT, "dim_pair_" + home[-32:], markets=None,
+        )
+    return loads.open_fact(spark, home).drop(DAY)
+
+
 @query(b.sql("price_hist", _FACT))
 def stream_incremental(spark, folder):
     home = new_folder(spark, "stream")
     events = b.table(spark, folder, "events")
-    sources = star.dim_source(star.seed_sources(spark), b.as_prices(events))
+    sources = _published_sources(spark, b.as_prices(events), home)
     for _ in range(2):  # the second run finds no new file
         load_new_files(
             spark,

@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from marketlake.functions.temporal import from_epoch_millis
+from marketlake.functions.temporal import as_of, from_epoch_millis
 from marketlake.functions.values import to_price, try_price
 from marketlake.operators import sinks
 from marketlake.plans import normalise
+from marketlake.plans.star import unique_metadata
 from marketlake.schemas import PRICE_HIST, TICKER_EXTRACT
 from marketlake.session import new_folder
 from marketlake.sources import files, payloads
@@ -19,8 +20,6 @@ def _quote_payloads(spark, folder):
     assets = b.asset_meta(spark, folder).join(
         b.table(spark, folder, "part").select(F.col("p_partkey").alias("id"), "p_retailprice"), "id"
     )
-    from marketlake.plans.star import unique_metadata
-
     symbol = F.upper(F.replace(F.col("symbol"), F.lit(" "), F.lit("")))
     price = F.struct(F.col("p_retailprice").cast("decimal(30,12)").alias("price"))
     asset = F.struct(F.split("symbol", " ").alias("tags"), F.create_map(F.lit("USD"), price).alias("quote"))
@@ -111,8 +110,6 @@ def csv_roundtrip(spark, folder):
 SELECT symbol AS Symbol, CAST(price AS DECIMAL(20,8)) AS Price, TIMESTAMP '2026-02-04 15:51:49' AS Retrieval_Timestamp
 FROM ticker"""))
 def ticker_extract(spark, folder):
-    from marketlake.functions.temporal import as_of
-
     stamped = b.ticker(spark, folder).select("symbol", "price", as_of("2026-02-04 15:51:49"))
     exported = new_folder(spark, "extract")
     named = stamped.toDF(*TICKER_EXTRACT.names).withColumn("Price", to_price(F.col("Price")))
@@ -121,7 +118,11 @@ def ticker_extract(spark, folder):
 
 
 # --- tickers and quotes to the normalised tables ---------------------------------------------
-_ASSETS = """+
+# When the prices were taken.
+EARLIER = "2026-02-15 10:58:15"
+MOMENT = "2026-02-16 10:58:15"
+
+ASSETS = """+
 split AS (SELECT id, symbol, price,
     CASE WHEN symbol LIKE '%USDT' THEN substr(symbol, 1, length(symbol) - 4)
          WHEN symbol LIKE '%BTC' THEN substr(symbol, 1, length(symbol) - 3) ELSE substr(symbol, 1, 3) END AS base,
@@ -152,26 +153,26 @@ def _pair(spark, folder):
     return normalise.merge_pairs(none_yet, rows)
 
 
-@query(b.sql("ticker quote", _ASSETS + """
+@query(b.sql("ticker quote", ASSETS + """
 SELECT Currency_ID, Currency_Name, Asset_Type, Global_Price_USD, array_to_string(tags, '|') AS tags FROM asset"""))
 def normalised_currency(spark, folder):
     return _currency(spark, folder).withColumn("Raw_Tags", F.array_join("Raw_Tags", "|")).withColumnRenamed("Raw_Tags", "tags")
 
 
-@query(b.sql("ticker quote", _ASSETS + "SELECT * FROM market"))
+@query(b.sql("ticker quote", ASSETS + "SELECT * FROM market"))
 def normalised_pair(spark, folder):
     return _pair(spark, folder)
 
 
-@query(b.sql("ticker quote", _ASSETS + """
+@query(b.sql("ticker quote", ASSETS + """
 SELECT m.Pair_ID, CAST(t.price AS DECIMAL(20,8)) AS Price, TIMESTAMP '2026-02-16 10:58:15' AS "Timestamp",
        'Binance' AS Source
 FROM ticker t JOIN market m ON m.Pair_Name = t.symbol"""))
 def normalised_price(spark, folder):
-    return normalise.price_rows(b.ticker(spark, folder), _pair(spark, folder), "2026-02-16 10:58:15")
+    return normalise.price_rows(b.ticker(spark, folder), _pair(spark, folder), MOMENT)
 
 
-@query(b.sql("ticker quote", _ASSETS + """
+@query(b.sql("ticker quote", ASSETS + """
 SELECT m.Pair_ID, TIMESTAMP '2026-02-16 10:58:15' AS "Timestamp", o.Price, o.Source
 FROM market m JOIN split s ON s.symbol = m.Pair_Name LEFT JOIN quote q ON q.symbol = s.base,
 LATERAL (SELECT CAST(s.price AS DECIMAL(20,8)) AS Price, 'Binance' AS Source
@@ -180,7 +181,7 @@ WHERE o.Price <> 0"""))
 def delta_prices(spark, folder):
     pair = _pair(spark, folder)
     return normalise.delta_prices(
-        b.ticker(spark, folder), quotes(spark, folder), pair, "2026-02-16 10:58:15", markets=None
+        b.ticker(spark, folder), quotes(spark, folder), pair, MOMENT, markets=None
     )
 
 
