@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension rows are a few ids and short names (well under 1 KB), so this many are at most
-# some hundred MB on an executor and usually far less.
+# What may be broadcast: at most this many rows, with at most this much text in them.
 BROADCAST_ROWS = 200_000
+BROADCAST_TEXT = 64 << 20
 
 
-def fits_broadcast(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts the dimension, so the answer is a bound and not an estimate."""
-    return dimension.count() <= max_rows
+def fits_broadcast(dimension: DataFrame, bound: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the dimension is small enough, by counting its rows and the bytes of its text.
+
+    The answer is a bound, not an estimate. ``bound`` is a cheaper frame with at least as many
+    rows: if that is too long already, the dimension itself is not computed for the check.
+    """
+    if bound is not None and bound.count() > max_rows:
+        return False
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in dimension.dtypes if kind == "string"]
+    size = dimension.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0))).first()
+    return size[0] <= max_rows and size[1] <= BROADCAST_TEXT
 
 
 def join_dimension(
@@ -25,11 +33,10 @@ def join_dimension(
 ) -> DataFrame:
     """Join a fact to a dimension with one row per key.
 
-    A dimension counted below ``max_rows`` is broadcast and the fact is not shuffled. A larger one
-    is left to a shuffle join, where adaptive execution splits the partitions of hot keys.
-    ``bound`` is a cheaper frame to count that has at least as many rows as the dimension.
+    A dimension that is counted small is broadcast and the fact is not shuffled. A larger one is
+    left to a shuffle join, where adaptive execution splits the partitions of hot keys.
     """
-    if fits_broadcast(dimension if bound is None else bound, max_rows):
+    if fits_broadcast(dimension, bound, max_rows):
         dimension = F.broadcast(dimension)
     return fact.join(dimension, on, how)
 

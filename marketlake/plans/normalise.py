@@ -80,7 +80,7 @@ def merge_pairs(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 def price_rows(tickers: DataFrame, pair: DataFrame, moment=None, source: str = EXCHANGE) -> DataFrame:
     """Pair_ID, Price, Timestamp, Source: every ticker of a known pair, stamped with the load time."""
     names = pair.select(F.col("Pair_Name").alias("symbol"), "Pair_ID")
-    return join_dimension(tickers, names, "symbol", bound=pair).select(
+    return join_dimension(tickers, names, "symbol").select(
         "Pair_ID",
         to_price(F.col("price")).alias("Price"),
         as_of(moment).alias("Timestamp"),
@@ -95,7 +95,7 @@ def history_rows(candles: DataFrame, pair: DataFrame, stamp: str = "timestamp")
     ``stamp="close_time"`` the time it closed.
     """
     names = pair.select(F.col("Pair_Name").alias("symbol"), "Pair_ID")
-    return join_dimension(candles, names, "symbol", bound=pair).select(
+    return join_dimension(candles, names, "symbol").select(
         "Pair_ID",
         to_price(F.col("close")).alias("Price"),
         from_epoch_millis(F.col(stamp).cast("bigint")).alias("Timestamp"),
@@ -125,9 +125,12 @@ def delta_prices(
     wanted = pair.select("Pair_ID", F.col("Pair_Name").alias("symbol"))
     if markets is not None:
         wanted = only_markets(wanted, markets)
-    wanted = wanted.withColumn("base", base_of(F.col("symbol")))
-    exchange = tickers.select("symbol", to_price(F.col("price")).alias("_exchange"))
-    reference = quotes.select(F.col("symbol").alias("base"), F.col("Global_Price_USD").alias("_reference"))
-    offered = wanted.join(exchange, "symbol", "left").join(reference, "base", "left")
-    both = offered.select("Pair_ID", as_of(moment).alias("Timestamp"), "_exchange", "_reference")
-    return one_row_per_source(both, {EXCHANGE: "_exchange", REFERENCE: "_reference"})
+    exchange = join_dimension(tickers, wanted, "symbol").select(
+        "Pair_ID", to_price(F.col("price")).alias("Price"), F.lit(EXCHANGE).alias("Source")
+    )
+    of_base = wanted.select("Pair_ID", base_of(F.col("symbol")).alias("symbol"))
+    reference = of_base.join(quotes, "symbol").select(
+        "Pair_ID", to_price(F.col("Global_Price_USD")).alias("Price"), F.lit(REFERENCE).alias("Source")
+    )
+    both = exchange.unionByName(reference).filter(is_priced(F.col("Price")))
+    return both.withColumn("Timestamp", as_of(moment))

@@ -128,12 +128,13 @@ def fact_price(prices: DataFrame, sources: DataFrame | None = None, source_id: i
 def category_performance(fact: DataFrame, pairs: DataFrame, times: DataFrame | None = None) -> DataFrame:
     """Prices with category and day parts, for facts with a row in every dimension.
 
-    The time dimension can be as long as the fact. Where the foreign key to it has been checked,
-    leave ``times`` out: the parts then come from TIME_ID itself, and the second large join goes.
+    The time dimension can be as long as the fact, so it is not counted first; Spark broadcasts it
+    if its files are small. Where the foreign key to it has been checked, leave ``times`` out: the
+    parts then come from TIME_ID itself, and the second large join goes.
     """
-    named = join_dimension(fact, pairs.select("PAIR_ID", "PAIR_NAME", "CATEGORY_NAME"), "PAIR_ID", bound=pairs)
+    named = join_dimension(fact, pairs.select("PAIR_ID", "PAIR_NAME", "CATEGORY_NAME"), "PAIR_ID")
     if times is None:
         parts = calendar_parts(F.col("TIME_ID"), {p: p.lower() for p in ("DAY", "MONTH", "YEAR")})
         return named.select("PAIR_NAME", "PRICE", "CATEGORY_NAME", *parts, "TIME_ID")
-    dated = join_dimension(named, times.select("TIME_ID", "DAY", "MONTH", "YEAR"), "TIME_ID")
+    dated = named.join(times.select("TIME_ID", "DAY", "MONTH", "YEAR"), "TIME_ID")
     return dated.select("PAIR_NAME", "PRICE", "CATEGORY_NAME", "DAY", "MONTH", "YEAR", "TIME_ID")

@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# What every job here relies on. Sizes (memory, shuffle partitions, split size) belong to the
-# cluster and are left to spark-submit.
+# What every job here relies on. Memory and cores belong to the cluster and are left to
+# spark-submit; for the shuffle see `shuffle_settings`.
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -19,6 +19,19 @@ SESSION_SETTINGS = {
 }
 
 
+def shuffle_settings(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for jobs whose largest shuffle (a fact's joined columns) has about this size.
+
+    The number of partitions is chosen for that one; adaptive execution merges them for smaller
+    shuffles, but splits only skewed ones, so it has to start high enough.
+    """
+    partitions = max(200, -(-largest_shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def build_session(app: str = "marketlake", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings above; ``settings`` uses ``__`` for dots in the key."""
     builder = SparkSession.builder.appName(app)

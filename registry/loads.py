@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from marketlake.operators import incremental, upsert
-from marketlake.operators.sinks import DAY, publish
+from marketlake.operators.sinks import DAY
 from marketlake.plans import loads, star
 from marketlake.schemas import DIM_CATEGORY, PRICE
 from marketlake.session import new_folder
@@ -13,7 +13,7 @@ from registry import bindings as b
 from registry.book import query
 from registry.payloads import ASSETS, EARLIER, MOMENT, quotes
 from registry.quality import WORDS
-from registry.star import _PARTS, _SOURCES
+from registry.star import _PARTS, _SOURCES, published_sources
 
 # What had been loaded before: prices up to a day, trades up to a day.
 LOADED = "2024-01-20"
@@ -202,19 +202,12 @@ SELECT h."Timestamp" AS TIME_ID, h.Pair_ID AS PAIR_ID, s.SOURCE_ID, min(h.Price)
 FROM price_hist h JOIN dim_source s ON s.SOURCE_NAME = h.Source GROUP BY ALL"""
 
 
-def _published_sources(spark, prices, home):
-    """The source dimension as a stored table, since every load looks it up."""
-    view = "dim_source_" + home[-32:]
-    publish({view: star.dim_source(star.seed_sources(spark), prices)}, home)
-    return spark.table(view)
-
-
 @query(b.sql("price_hist", _FACT))
 def daily_bridge(spark, folder):
     home = new_folder(spark, "star")
     view = "dim_pair_" + home[-32:]
     prices, pair, currency = b.price_hist(spark, folder), b.pair(spark, folder), b.currency(spark, folder)
-    sources = _published_sources(spark, prices, home)
+    sources = published_sources(spark, prices, home)
     for landed in (_until(prices, LOADED), prices):
         loads.daily_bridge(spark, star.fact_price(landed, sources), pair, currency, home, view)
     return loads.open_fact(spark, home).drop(DAY)
@@ -295,7 +288,7 @@ def daily_run(spark, folder):
 def stream_incremental(spark, folder):
     home = new_folder(spark, "stream")
     events = b.table(spark, folder, "events")
-    sources = _published_sources(spark, b.as_prices(events), home)
+    sources = published_sources(spark, b.as_prices(events), home)
     for _ in range(2):  # the second run finds no new file
         load_new_files(
             spark,

@@ -174,9 +174,11 @@ def normalised_price(spark, folder):
 
 @query(b.sql("ticker quote", ASSETS + """
 SELECT m.Pair_ID, TIMESTAMP '2026-02-16 10:58:15' AS "Timestamp", o.Price, o.Source
-FROM market m JOIN split s ON s.symbol = m.Pair_Name LEFT JOIN quote q ON q.symbol = s.base,
-LATERAL (SELECT CAST(s.price AS DECIMAL(20,8)) AS Price, 'Binance' AS Source
-         UNION ALL SELECT q.Global_Price_USD, 'CoinMarketCap') o
+FROM market m JOIN (
+    SELECT symbol, CAST(price AS DECIMAL(20,8)) AS Price, 'Binance' AS Source FROM split
+    UNION ALL
+    SELECT p.symbol, q.Global_Price_USD, 'CoinMarketCap'
+    FROM (SELECT DISTINCT symbol, base FROM split) p JOIN quote q ON q.symbol = p.base) o ON o.symbol = m.Pair_Name
 WHERE o.Price <> 0"""))
 def delta_prices(spark, folder):
     pair = _pair(spark, folder)
