@@ -12,6 +12,7 @@ from marketlake.operators.incremental import at_or_before_mark, high_water_mark
 from marketlake.plans import loads, normalise, star
 from marketlake.session import build_session, new_folder, shared_folder
 from marketlake.sources.literals import literal_rows, no_rows
+from marketlake.streaming import price_stream
 from marketlake.streaming.price_stream import load_new_files
 
 FACTS = [(16, 3, "0.02880000"), (16, 2, "1986.47000000"), (15, 1, "68989.47000000"), (17, 5, "85.94000000"), (16, 4, "618.22000000")]
@@ -199,28 +200,30 @@ def test_missing_and_unpriced_markets(spark):
 
 
 # --- the stream -------------------------------------------------------------------------------
-def test_stream_survives_a_failed_run_and_skips_seen_files(spark):
+def test_stream_survives_a_failed_run_and_skips_seen_files(spark, monkeypatch):
     home = new_folder(spark, "test")
     landing, star_home, checkpoint = f"{home}/landing", f"{home}/star", f"{home}/checkpoint"
-    schema = schemas.FACT_PRICE
     facts(spark, FACTS[:3]).write.mode("append").parquet(landing)
-    fail = {"now": True}
-
-    def sometimes(batch):
-        if fail["now"]:
-            # The facts get in, and the batch fails before it is committed.
-            loads.load_facts(spark, batch, star_home)
-            raise RuntimeError("lost")
-        return batch
-
-    with pytest.raises(Exception, match="lost"):
-        load_new_files(spark, landing, schema, sometimes, star_home, checkpoint)
-    fail["now"] = False
-    assert load_new_files(spark, landing, schema, sometimes, star_home, checkpoint) == 0
+
+    def run(files_per_batch=1000):
+        return load_new_files(
+            spark, landing, schemas.FACT_PRICE, lambda rows: rows, star_home, checkpoint, files_per_batch
+        )
+
+    def load_and_lose(*args):
+        # The facts get in, and the batch fails before it is committed.
+        loads.load_facts(*args)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(price_stream, "load_facts", load_and_lose)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    assert run() == 0
     assert pairs_in(loads.open_fact(spark, star_home)) == [1, 2, 3]
     facts(spark, FACTS[2:]).write.mode("append").parquet(landing)
-    assert load_new_files(spark, landing, schema, sometimes, star_home, checkpoint, files_per_batch=1) == 2
-    assert load_new_files(spark, landing, schema, sometimes, star_home, checkpoint) == 0
+    assert run(files_per_batch=1) == 2
+    assert run() == 0
     assert pairs_in(loads.open_fact(spark, star_home)) == [1, 2, 3, 4, 5]
 
 
