@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.operators.constraints import repeated_keys
+from marketlake.operators.joins import BROADCAST_ROWS, fits_broadcast
+
 
 def _one_row_per_column(totals: DataFrame, columns: Sequence[str], fields: dict[str, str]) -> DataFrame:
     """Turn one row of totals named <column>_<suffix> into a row per column."""
@@ -40,20 +44,28 @@ def distinct_profile(rows: DataFrame, approximate: bool = False) -> DataFrame:
     return _one_row_per_column(totals, rows.columns, {"distinct_values": "_distinct"})
 
 
-def duplicate_profile(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+def _beyond_first(groups: DataFrame, check: str) -> DataFrame:
+    extra = F.coalesce(F.sum(F.col("rows") - 1), F.lit(0))
+    return groups.agg(extra.alias("duplicates")).select(F.lit(check).alias("check"), "duplicates")
+
+
+def duplicate_profile(rows: DataFrame, key: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows beyond the first copy, for whole rows and for the key: check, duplicates.
 
-    Copies are counted inside each map task first, so that a row with very many copies is one row
-    in the shuffle. The key counts are sums of those row counts; the table is read once.
+    A copy of a row repeats its key too. So the key columns alone are grouped first, and if few keys
+    are repeated, only their rows are compared as a whole; a clean table is then never shuffled in
+    full width. With many repeated keys whole rows are grouped, and the key counts are sums of those.
+    Either way copies are counted inside each map task before the shuffle.
     """
+    repeated = repeated_keys(rows, key)
+    if fits_broadcast(repeated, max_rows=max_rows):
+        named = F.broadcast(repeated.select(*[F.col(c).alias(f"_{c}") for c in key]))
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+        copies = rows.join(named, same, "left_semi").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("rows"))
+        return _beyond_first(copies, "full row").unionByName(_beyond_first(repeated, "key"))
     copies = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n"))
     by_key = copies.groupBy(*key).agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_extra"))
-    totals = by_key.agg(F.sum("_extra").alias("full"), F.sum(F.col("_n") - 1).alias("key"))
-    return totals.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("full row").alias("check"), F.coalesce("full", F.lit(0)).alias("duplicates")),
-                F.struct(F.lit("key").alias("check"), F.coalesce("key", F.lit(0)).alias("duplicates")),
-            )
-        )
+    totals = by_key.agg(F.sum("_extra").alias("full row"), F.sum(F.col("_n") - 1).alias("key"))
+    return totals.unpivot([], ["full row", "key"], "check", "duplicates").select(
+        "check", F.coalesce("duplicates", F.lit(0)).alias("duplicates")
     )

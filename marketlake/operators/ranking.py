@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketlake.session import new_folder
+from marketlake.session import stored
 
 # monotonically_increasing_id puts the partition in the bits above these.
 _ROW_BITS = 33
@@ -38,19 +38,15 @@ def with_position(rows: DataFrame, *order: Column | str, name: str = "position")
     ``spark.sql.shuffle.partitions`` of them, which bounds both the window and the broadcast.
     Reading the written table means both passes see the same ranges, also after lost executors.
     """
-    spark = rows.sparkSession
-    folder = new_folder(spark, "positions")
-    placed = rows.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
-    placed.write.parquet(folder)
-    stored = spark.read.schema(placed.schema).parquet(folder)
+    placed = stored(rows.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()), "positions")
 
     within = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     block = F.shiftright("_slot", _ROW_BITS)
-    sizes = stored.groupBy(block.alias("_block")).agg((F.max(within) + 1).alias("_size"))
+    sizes = placed.groupBy(block.alias("_block")).agg((F.max(within) + 1).alias("_size"))
     before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_block", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     return (
-        stored.withColumn("_block", block)
+        placed.withColumn("_block", block)
         .join(F.broadcast(starts), "_block")
         .withColumn(name, F.col("_start") + within)
         .drop("_block", "_start", "_slot")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.operators.ranking import first_per_key, with_position
+from marketlake.session import stored
 
 
 def upsert(
@@ -62,6 +63,7 @@ def with_new_ids(rows: DataFrame, id_column: str, *order: str, start: int | None
 
     ``start`` is the last id in use (one number to the driver); by default the largest in ``rows``.
     """
+    rows = stored(rows, "ids")
     known = rows.filter(F.col(id_column).isNotNull())
     if start is None:
         start = known.agg(F.max(id_column)).first()[0] or 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What every job here relies on. Memory and cores belong to the cluster and are left to
 # spark-submit; for the shuffle see `shuffle_settings`.
@@ -65,3 +65,11 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; nothing is created until a job writes to it."""
     return f"{shared_folder(spark)}/marketlake/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read back: for results that are used several
+    times, or whose later uses must see exactly the same rows."""
+    folder = new_folder(rows.sparkSession, name)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)

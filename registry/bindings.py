@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketlake.schemas import PRICE
 
@@ -73,8 +74,15 @@ def sql(views: str, body: str) -> str:
     return f"WITH {parts}{joiner}{body.lstrip().removeprefix('+')}"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table. Its schema is taken from the files once; a read without one is a job each time."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def currency(spark: SparkSession, folder: str) -> DataFrame:

@@ -242,12 +242,12 @@ def history_reload(spark, folder):
     return spark.table(view).drop(DAY)
 
 
-def _master(spark, folder):
-    """Currency and pair from tickers and quotes, loaded twice into the same views."""
+def _master(spark, folder, moments=(EARLIER, MOMENT)):
+    """Currency and pair from tickers and quotes, loaded at each moment into the same views."""
     home = new_folder(spark, "master")
     currency_view, pair_view = "currency_" + home[-32:], "pair_" + home[-32:]
     tickers = b.ticker(spark, folder)
-    for moment in (EARLIER, MOMENT):
+    for moment in moments:
         loads.load_master(spark, tickers, quotes(spark, folder), home, currency_view, pair_view, moment, WORDS)
     return home, spark.table(currency_view), spark.table(pair_view)
 
@@ -275,7 +275,7 @@ LEFT JOIN quote q ON q.symbol = s.base,
 LATERAL (SELECT s.price AS PRICE, 1 AS SOURCE_ID UNION ALL SELECT q.Global_Price_USD, 2) o
 WHERE o.PRICE <> 0"""))
 def daily_run(spark, folder):
-    home, currency, pair = _master(spark, folder)
+    home, currency, pair = _master(spark, folder, (EARLIER,))
     for _ in range(2):
         loads.daily_run(
             spark, b.ticker(spark, folder), quotes(spark, folder), pair, currency, star.seed_sources(spark),

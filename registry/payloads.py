@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marketlake.functions.temporal import as_of, from_epoch_millis
+from marketlake.functions.temporal import EPOCH, as_of, from_epoch_millis
 from marketlake.functions.values import to_price, try_price
 from marketlake.operators import sinks
 from marketlake.plans import normalise
@@ -68,13 +68,18 @@ def asset_map_files(spark, folder):
     return payloads.read_asset_map(spark, landed)
 
 
+def _millis(timestamp):
+    """Epoch milliseconds of a zone-free time."""
+    return F.timestamp_diff("MILLISECOND", F.lit(EPOCH).cast("timestamp_ntz"), timestamp)
+
+
 @query("""
 SELECT event_type AS symbol, date_trunc('millisecond', ts) AS open_time, CAST(value AS DECIMAL(20,8)) AS close,
        user_id AS num_trades
 FROM events""")
 def candle_files(spark, folder):
     # One payload per event: a list with one candle, its twelve fields in order, as text.
-    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    millis = _millis(F.col("ts")).cast("string")
     zero = F.lit("0")
     price = F.col("value").cast("decimal(20,8)").cast("string")
     candle = F.array(millis, zero, zero, zero, price, zero, millis, zero, F.col("user_id").cast("string"), zero, zero, zero)
@@ -193,7 +198,7 @@ FROM events e JOIN customer c ON c.c_custkey = e.user_id"""))
 def candle_history(spark, folder):
     events = b.table(spark, folder, "events")
     names = b.pair(spark, folder).select(F.col("Pair_ID").alias("user_id"), F.col("Pair_Name").alias("symbol"))
-    millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    millis = _millis(F.col("ts")).cast("string")
     candles = events.join(names, "user_id").select(
         "symbol", millis.alias("timestamp"), F.col("value").cast("string").alias("close")
     )

@@ -155,8 +155,10 @@ def test_profiles(spark):
     assert profile.columns_with_nulls(frame.select("k")).count() == 0
     assert rows(profile.distinct_profile(frame)) == [("k", 2), ("s", 2), ("v", 2)]
     assert rows(profile.distinct_profile(frame, approximate=True)) == [("k", 2), ("s", 2), ("v", 2)]
-    assert rows(profile.duplicate_profile(frame, ["k"])) == [("full row", 3), ("key", 4)]
-    assert rows(profile.duplicate_profile(frame.limit(0), ["k"])) == [("full row", 0), ("key", 0)]
+    for limit in (100, 0):  # few repeated keys, and too many
+        assert rows(profile.duplicate_profile(frame, ["k"], limit)) == [("full row", 3), ("key", 4)]
+        assert rows(profile.duplicate_profile(frame, ["s", "v"], limit)) == [("full row", 3), ("key", 3)]
+        assert rows(profile.duplicate_profile(frame.limit(0), ["k"], limit)) == [("full row", 0), ("key", 0)]
 
 
 def test_constraints(spark):

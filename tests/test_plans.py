@@ -94,7 +94,7 @@ def test_positions_use_no_window_over_the_rows(spark, capsys):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
-@pytest.mark.parametrize("name", ["category_counts", "dim_time", "duplicate_profile"])
+@pytest.mark.parametrize("name", ["category_counts", "dim_time", "duplicate_profile", "duplicate_tickers"])
 def test_grouping_is_done_before_the_shuffle(spark, capsys, name):
     lines = plan(capsys, registry.QUERIES[name](spark, FOLDER)).splitlines()
     shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
