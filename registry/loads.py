@@ -56,15 +56,15 @@ def delta_late_rows(spark, folder):
     return incremental.at_or_before_mark(trades, loaded, ["Timestamp", "Pair_ID"], mark, "Timestamp")
 
 
-# --- upserts: customers with early orders are known, customers with late orders come in -------
+# --- upserts: customers with orders before a day are known, those with orders since come in ---
 _EARLY = """
 known AS (SELECT c_custkey AS Currency_ID, c_name AS Currency_Name, c_mktsegment AS Asset_Type, price AS Global_Price_USD
           FROM customer JOIN (SELECT o_custkey, max(CAST(o_totalprice AS DECIMAL(20,8))) AS price FROM orders
-                              WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY o_custkey) ON o_custkey = c_custkey)"""
+                              WHERE o_orderdate < TIMESTAMP '1998-04-15' GROUP BY o_custkey) ON o_custkey = c_custkey)"""
 _LATE = """
 fresh AS (SELECT c_name AS Currency_Name, 'token' AS Asset_Type, price AS Global_Price_USD
           FROM customer JOIN (SELECT o_custkey, max(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(20,8)) END) AS price
-                              FROM orders WHERE o_orderdate >= TIMESTAMP '2000-08-01' GROUP BY o_custkey) ON o_custkey = c_custkey)"""
+                              FROM orders WHERE o_orderdate >= TIMESTAMP '1998-04-15' GROUP BY o_custkey) ON o_custkey = c_custkey)"""
 
 
 def _orders(spark, folder, when):
@@ -72,7 +72,7 @@ def _orders(spark, folder, when):
 
 
 def _known(spark, folder):
-    best = _orders(spark, folder, "o_orderdate < timestamp_ntz'1996-01-01'").groupBy("o_custkey").agg(F.max("price").alias("price"))
+    best = _orders(spark, folder, "o_orderdate < timestamp_ntz'1998-04-15'").groupBy("o_custkey").agg(F.max("price").alias("price"))
     customer = b.table(spark, folder, "customer")
     return customer.join(best, customer["c_custkey"] == best["o_custkey"]).select(
         F.col("c_custkey").alias("Currency_ID"),
@@ -83,7 +83,7 @@ def _known(spark, folder):
 
 
 def _fresh(spark, folder):
-    late = _orders(spark, folder, "o_orderdate >= timestamp_ntz'2000-08-01'")
+    late = _orders(spark, folder, "o_orderdate >= timestamp_ntz'1998-04-15'")
     finished = F.max(F.when(F.col("o_orderstatus") == "F", F.col("price")))
     best = late.groupBy("o_custkey").agg(finished.alias("price"))
     customer = b.table(spark, folder, "customer")
@@ -122,18 +122,18 @@ def upsert_currency_new_ids(spark, folder):
 
 @query("""
 WITH known AS (SELECT c_custkey AS Pair_ID, c_name AS Pair_Name, c_nationkey AS Base_Currency_ID, c_mktsegment AS Manual_Category
-               FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')),
+               FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1998-04-15')),
 fresh AS (SELECT c_name AS Pair_Name, c_nationkey AS Base_Currency_ID, category AS Manual_Category
           FROM customer JOIN (SELECT o_custkey, max(o_orderpriority) AS category FROM orders
-                              WHERE o_orderdate >= TIMESTAMP '2000-08-01' GROUP BY o_custkey) ON o_custkey = c_custkey)
+                              WHERE o_orderdate >= TIMESTAMP '1998-04-15' GROUP BY o_custkey) ON o_custkey = c_custkey)
 SELECT k.Pair_ID, coalesce(k.Pair_Name, f.Pair_Name) AS Pair_Name,
        coalesce(k.Base_Currency_ID, f.Base_Currency_ID) AS Base_Currency_ID,
        coalesce(f.Manual_Category, k.Manual_Category) AS Manual_Category
 FROM known k FULL JOIN fresh f ON k.Pair_Name = f.Pair_Name""")
 def upsert_pair(spark, folder):
     customer = b.table(spark, folder, "customer")
-    early = _orders(spark, folder, "o_orderdate < timestamp_ntz'1996-01-01'").select(F.col("o_custkey").alias("c_custkey"))
-    late = _orders(spark, folder, "o_orderdate >= timestamp_ntz'2000-08-01'").groupBy(F.col("o_custkey").alias("c_custkey"))
+    early = _orders(spark, folder, "o_orderdate < timestamp_ntz'1998-04-15'").select(F.col("o_custkey").alias("c_custkey"))
+    late = _orders(spark, folder, "o_orderdate >= timestamp_ntz'1998-04-15'").groupBy(F.col("o_custkey").alias("c_custkey"))
     known = customer.join(early, "c_custkey", "left_semi").select(
         F.col("c_custkey").alias("Pair_ID"), F.col("c_name").alias("Pair_Name"),
         F.col("c_nationkey").alias("Base_Currency_ID"), F.col("c_mktsegment").alias("Manual_Category"),
@@ -155,12 +155,12 @@ def insert_absent_time(spark, folder):
 @query("""
 SELECT DISTINCT c_custkey AS Currency_ID, c_name AS Currency_Name, c_mktsegment AS Asset_Type
 FROM customer JOIN orders ON o_custkey = c_custkey
-WHERE o_orderdate >= TIMESTAMP '2000-08-01'
-  AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')""")
+WHERE o_orderdate >= TIMESTAMP '1998-04-15'
+  AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1998-04-15')""")
 def insert_absent_currency(spark, folder):
     # Incoming rows repeat: one per late order.
     customer = b.trade_currency(spark, folder)
-    late = _orders(spark, folder, "o_orderdate >= timestamp_ntz'2000-08-01'").select(F.col("o_custkey").alias("Currency_ID"))
+    late = _orders(spark, folder, "o_orderdate >= timestamp_ntz'1998-04-15'").select(F.col("o_custkey").alias("Currency_ID"))
     return loads.new_currencies(_known(spark, folder), customer.join(late, "Currency_ID"))
 
 

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import registry
+from marketlake.operators import incremental, joins, profile
 from compare import open_tables, spark_rows, sql_rows
 
 FOLDER = "/root/testdata/sf0.01"
@@ -31,3 +32,22 @@ def test_query_matches_sql(spark, database, capsys, name):
     assert columns == expected_columns
     assert len(rows) == len(expected) and len(rows) > 0
     assert rows == expected
+
+
+@pytest.mark.parametrize("name", [
+    "star_enriched", "star_enriched_trades", "linked_prices", "category_facts", "category_rejects",
+    "duplicate_profile", "delta_by_key", "normalised_price",
+])
+def test_same_rows_without_broadcasts(spark, database, monkeypatch, name):
+    # As if every dimension and batch were too large to broadcast.
+    for module in (joins, profile):
+        monkeypatch.setattr(module, "fits_broadcast", lambda *args, **options: False)
+    monkeypatch.setattr(incremental.not_loaded, "__defaults__", (*incremental.not_loaded.__defaults__[:-1], -1))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        columns, rows = spark_rows(registry.QUERIES[name](spark, FOLDER))
+    finally:
+        spark.conf.set(threshold, before)
+    assert (columns, rows) == sql_rows(database, registry.SQL[name])
