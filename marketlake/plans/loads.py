@@ -164,7 +164,7 @@ def category_facts(
         primary_category(F.col("Manual_Category")).alias("CATEGORY_NAME"),
     )
     matched, rejected = lookup(wanted, categories, "CATEGORY_NAME")
-    facts = join_dimension(prices, matched, "Pair_ID", bound=pair).select(
+    facts = join_dimension(prices, matched, "Pair_ID").select(
         F.col("Pair_Name").alias("PAIR_NAME"),
         "CURRENCY_ID",
         F.col("Timestamp").alias("TIME_ID"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.classify import category_or_default
 from marketlake.functions.values import to_price
+from marketlake.operators.incremental import high_water_mark
 from marketlake.operators.joins import join_dimension
 from marketlake.operators.ranking import top_rows, with_position
 from marketlake.plans.star import with_assets
@@ -64,9 +65,22 @@ def price_against_reference(
     )
 
 
-def latest_against_reference(prices: DataFrame, pair: DataFrame, currency: DataFrame, count: int = 10, **options) -> DataFrame:
-    rows = price_against_reference(prices, pair, currency, **options)
-    return top_rows(rows, count, F.col("Timestamp").desc_nulls_last(), F.col("Price_Hist_ID").desc())
+def latest_against_reference(
+    prices: DataFrame, pair: DataFrame, currency: DataFrame, count: int = 10, day: str | None = None, **options
+) -> DataFrame:
+    """The newest ``count`` rows of the comparison.
+
+    With ``day``, the date partition column of a stored price table, its newest day is tried first:
+    if that has enough rows, no other day is read.
+    """
+    order = F.col("Timestamp").desc_nulls_last(), F.col("Price_Hist_ID").desc()
+    if day:
+        newest = high_water_mark(prices, day)
+        recent = prices.filter(F.col(day) == F.lit(str(newest)).cast("date"))
+        rows = top_rows(price_against_reference(recent, pair, currency, **options), count, *order)
+        if rows.count() == count:
+            return rows
+    return top_rows(price_against_reference(prices, pair, currency, **options), count, *order)
 
 
 def linked_prices(
@@ -87,7 +101,7 @@ def linked_prices(
         F.col("Manual_Category").alias("Market_Sector"),
         F.col("Global_Price_USD").alias("Global_Ref"),
     )
-    rows = join_dimension(prices, dimension, "Pair_ID", bound=pair)
+    rows = join_dimension(prices, dimension, "Pair_ID", bound=pair if quotes is None else None)
     newest = rows.orderBy(F.col("Timestamp").desc_nulls_last(), F.col("Price_Hist_ID").desc())
     return newest.select(
         "Base_Asset", "Base_Type", "Quote_Asset", "Quote_Type", "Trading_Pair", "Market_Sector",

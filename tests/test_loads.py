@@ -1,5 +1,6 @@
 """Loads that run twice, fail half-way, or get their rows late."""
 
+import re
 from datetime import datetime
 from decimal import Decimal
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.operators import sinks
 from marketlake.operators.incremental import at_or_before_mark, high_water_mark
-from marketlake.plans import loads, normalise, star
+from marketlake.plans import loads, normalise, reports, star
 from marketlake.session import build_session, new_folder, shared_folder
 from marketlake.sources.literals import literal_rows, no_rows
 from marketlake.streaming import price_stream
@@ -77,6 +78,22 @@ def test_only_the_days_of_the_batch_are_read(spark, capsys):
     assert "GreaterThanOrEqual(TIME_ID" in scan and "PRICE" not in scan.split("ReadSchema:")[1]
 
 
+def test_newest_rows_come_from_the_newest_day_if_it_has_enough(spark, capsys):
+    rows = [(i, 1, "5", f"2024-01-0{1 + i // 4} 10:00:0{i % 4}", "a") for i in range(8)] + [(8, 2, "6", "2024-01-02 11:00:00", "a")]
+    folder = new_folder(spark, "test")
+    sinks.append_by_day(literal_rows(spark, schemas.PRICE_HIST, rows), folder, "Timestamp")
+    prices = sinks.open_by_day(spark, folder, schemas.PRICE_HIST)
+    pair = spark.createDataFrame([(1, "ETHBTC", "A", 1, 2)], "Pair_ID int, Pair_Name string, Manual_Category string, Base_Currency_ID int, Quote_Currency_ID int")
+    currency = spark.createDataFrame([(1, "ETH", Decimal(2)), (2, "BTC", None)], "Currency_ID int, Currency_Name string, Global_Price_USD decimal(20,8)")
+    for count, read in ((4, 1), (6, 2)):  # the price of the unknown pair on the newest day does not count
+        got = reports.latest_against_reference(prices, pair, currency, count, day=sinks.DAY)
+        assert [r.Price_Hist_ID for r in got.collect()] == list(range(7, 7 - count, -1))
+        assert {(r.Price_Difference, r.comparable) for r in got.collect()} == {(Decimal(3), False)}
+        got.explain()
+        scan = next(line for line in capsys.readouterr().out.splitlines() if "FileScan" in line)
+        assert ("event_date" in scan.split("PartitionFilters:")[1].split("PushedFilters:")[0]) == (read == 1)
+
+
 # --- versions ---------------------------------------------------------------------------------
 def test_publish_switches_only_after_all_writes(spark):
     folder = new_folder(spark, "test")
@@ -113,6 +130,19 @@ def test_staging_and_append(spark):
     assert spark.read.parquet(f"{folder}/log").count() == 4
 
 
+def test_a_day_is_clustered_and_sorted_by_time(spark, capsys):
+    start = F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")
+    frame = spark.range(2000).select("id", F.timestamp_add("MINUTE", -(F.col("id") * 7919 % 2000), start).alias("t"))
+    sinks.by_day(frame, "t").explain()
+    text = capsys.readouterr().out
+    assert "REBALANCE" in text and len(re.findall(r"Sort \[event_date#\d+ ASC NULLS FIRST, t#", text)) == 1
+    folder = new_folder(spark, "test")
+    sinks.append_by_day(frame, folder, "t")
+    for day in ("2023-12-31", "2024-01-01"):
+        times = [r.t for r in spark.read.parquet(f"{folder}/event_date={day}").collect()]
+        assert times and times == sorted(times)
+
+
 def test_a_day_with_most_rows_is_written_in_parts(spark):
     folder = new_folder(spark, "test")
     advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
