@@ -33,7 +33,7 @@ from marketlake.plans.normalise import (
     price_rows,
 )
 from marketlake.plans.star import dim_pair, dim_time, fact_price
-from marketlake.schemas import CURRENCY, DIM_TIME, FACT_KEY, FACT_PRICE, PAIR, PRICES
+from marketlake.schemas import CURRENCY, DIM_TIME, FACT_KEY, FACT_PRICE, PAIR, PRICE_KEY, PRICES
 
 
 def open_fact(spark: SparkSession, star: str) -> DataFrame:
@@ -98,18 +98,21 @@ def load_master(
     pair_view: str = "pair",
     moment=None,
     keywords: Mapping[str, Sequence[str]] = CATEGORY_KEYWORDS,
+    keep_existing_on_null: bool = False,
 ) -> int:
     """Merge the assets and pairs of these tickers into the master tables and append their prices.
 
     Both tables get a new version; the views move together once both are written. Pairs are built
-    from the stored currencies, so that all steps see the same ids.
+    from the stored currencies, so that all steps see the same ids. Prices come last: a load that
+    stopped before them is finished by running it again.
     """
     version = new_version(home)
     currency = current(spark, currency_view, CURRENCY)
-    append(merge_currencies(currency, currency_rows(tickers, quotes)), f"{version}/currency")
-    stored = spark.read.schema(CURRENCY).parquet(f"{version}/currency")
+    merged = merge_currencies(currency, currency_rows(tickers, quotes), keep_existing_on_null)
+    append(merged, f"{version}/currency")
+    merged = spark.read.schema(CURRENCY).parquet(f"{version}/currency")
     pair = current(spark, pair_view, PAIR)
-    append(merge_pairs(pair, pair_rows(tickers, stored, keywords)), f"{version}/pair")
+    append(merge_pairs(pair, pair_rows(tickers, merged, keywords)), f"{version}/pair")
     point(currency_view, f"{version}/currency", spark)
     point(pair_view, f"{version}/pair", spark)
     return append_prices(spark, price_rows(tickers, spark.table(pair_view), moment), home)
@@ -120,8 +123,12 @@ def open_prices(spark: SparkSession, home: str) -> DataFrame:
 
 
 def append_prices(spark: SparkSession, prices: DataFrame, home: str) -> int:
-    """Append to the price history as it comes; every price is a row, also if it was there before."""
-    return append_by_day(prices.select(*PRICES.names), f"{home}/price_hist", "Timestamp")
+    """Append to the price history what it does not have of these times, pairs and sources.
+
+    Repeats inside one batch stay as they are; a batch that was loaded before adds nothing.
+    """
+    fresh = not_loaded(prices, open_prices(spark, home), PRICE_KEY, "Timestamp", DAY)
+    return append_by_day(fresh.select(*PRICES.names), f"{home}/price_hist", "Timestamp")
 
 
 def daily_run(
@@ -140,9 +147,7 @@ def daily_run(
 
     ``moment`` names the run. A run that is repeated for the same moment adds nothing.
     """
-    offered = delta_prices(tickers, quotes, pair, moment, markets)
-    fresh = not_loaded(offered, open_prices(spark, home), ["Timestamp", "Pair_ID", "Source"], "Timestamp", DAY)
-    append_prices(spark, fresh, home)
+    append_prices(spark, delta_prices(tickers, quotes, pair, moment, markets), home)
     day = open_prices(spark, home).filter(F.col(DAY) == F.to_date(as_of(moment)))
     return daily_bridge(spark, fact_price(day, sources), pair, currency, home, view)
 

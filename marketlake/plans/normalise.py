@@ -51,8 +51,15 @@ def currency_rows(tickers: DataFrame, quotes: DataFrame) -> DataFrame:
 
 
 def merge_currencies(existing: DataFrame, incoming: DataFrame, keep_existing_on_null: bool = False) -> DataFrame:
-    """Currency after the load: known names take the new price and tags and keep their type."""
+    """Currency after the load: known names take the new price and tags and keep their type.
+
+    With ``keep_existing_on_null`` an asset without a quote in this load keeps price and tags.
+    """
+    tags = F.col("Raw_Tags")
+    if keep_existing_on_null:
+        incoming = incoming.withColumn("Raw_Tags", F.when(F.size(tags) > 0, tags))
     merged = upsert(existing, incoming, "Currency_Name", CURRENCY_UPDATES, keep_existing_on_null)
+    merged = merged.withColumn("Raw_Tags", F.coalesce(tags, F.array().cast("array<string>")))
     return with_new_ids(merged, "Currency_ID", "Currency_Name")
 
 

@@ -41,6 +41,7 @@ PRICE_HIST = _schema(
 
 # The history as loads append to it; a stored row has no id of its own.
 PRICES = _schema(("Pair_ID", T.IntegerType()), ("Price", PRICE), ("Timestamp", NTZ), ("Source", T.StringType()))
+PRICE_KEY = ["Timestamp", "Pair_ID", "Source"]
 
 # --- star tables -----------------------------------------------------------------------------
 DIM_TIME = _schema(

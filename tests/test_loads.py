@@ -196,6 +196,10 @@ def test_master_load_and_scheduled_run(spark):
     categories = {r.Pair_Name: r.Manual_Category for r in spark.table(pair).collect()}
     assert categories["ETHUSDT"] == "DeFi (Decentralized Finance)" and categories["SOLUSDT"] == "Other / Not Mapped"
     assert loads.open_prices(spark, home).count() == 7
+    # Once more for the same time, without any quote: prices are there already, and what was known stays.
+    assert loads.load_master(spark, tickers, quotes.limit(0), *args, moment=at(2), keep_existing_on_null=True) == 0
+    assert {r.Currency_Name: r for r in spark.table(currency).collect()} == second
+    assert loads.open_prices(spark, home).count() == 7
 
     # The scheduled run, twice for the same moment: both sources, without the zero price. The day's
     # earlier history, the seven prices of the master loads, is bridged with it.
