@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.sources.literals import no_rows
+from marketlake.schemas import VERSIONS
+from marketlake.sources.literals import literal_rows, no_rows
 
 DAY = "event_date"
 # Spark's own CSV default stops at milliseconds.
@@ -69,33 +70,44 @@ def open_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(full).parquet(path)
 
 
-def point(view: str, path: str, spark: SparkSession) -> None:
-    """Make the view read the table at ``path`` from now on."""
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
-
-
 def new_version(folder: str) -> str:
     return f"{folder}/version={uuid4().hex}"
 
 
+def versions(spark: SparkSession, folder: str) -> DataFrame:
+    """What was published in the folder: view, path, published. Rows are only ever added."""
+    path = f"{folder}/versions"
+    no_rows(spark, VERSIONS).write.mode("ignore").parquet(path)
+    return spark.read.schema(VERSIONS).parquet(path)
+
+
+def announce(spark: SparkSession, folder: str, paths: Mapping[str, str]) -> None:
+    """Make these versions the current ones, all with one append, and point the session's views at them."""
+    rows = literal_rows(spark, VERSIONS, [(view, path, None) for view, path in paths.items()])
+    stamped = rows.withColumn("published", F.current_timestamp().cast("timestamp_ntz"))
+    stamped.coalesce(1).write.mode("append").parquet(f"{folder}/versions")
+    for view, path in paths.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+
+
+def current(spark: SparkSession, view: str, schema: T.StructType, folder: str) -> DataFrame:
+    """The current version of a published table, whichever session wrote it; no rows before the first."""
+    path = versions(spark, folder).filter(F.col("view") == view).agg(F.max_by("path", "published")).first()[0]
+    return spark.read.schema(schema).parquet(path) if path else no_rows(spark, schema)
+
+
 def publish(tables: Mapping[str, DataFrame], folder: str, by_column: Mapping[str, str] | None = None) -> dict[str, int]:
-    """Replace tables together: write a new version of each, then point their views at it.
+    """Replace tables together: write a new version of each, then announce them with one append.
 
-    The views move only after every write has succeeded, so a failed load changes nothing. Readers
-    that already run keep their version, and the version being read is never overwritten.
-    ``by_column`` names the time column of tables to be stored in day folders.
+    A failed write changes nothing. Readers that already run keep their version, and the version
+    being read is never overwritten. ``by_column`` names the time column of tables to be stored in
+    day folders.
     """
     version = new_version(folder)
-    written = {}
+    written, paths = {}, {}
     for view, rows in tables.items():
         column = (by_column or {}).get(view)
-        path = f"{version}/{view}"
-        written[view] = append_by_day(rows, path, column) if column else append(rows, path)
-    for view, rows in tables.items():
-        point(view, f"{version}/{view}", rows.sparkSession)
+        paths[view] = f"{version}/{view}"
+        written[view] = append_by_day(rows, paths[view], column) if column else append(rows, paths[view])
+    announce(next(iter(tables.values())).sparkSession, folder, paths)
     return written
-
-
-def current(spark: SparkSession, view: str, schema: T.StructType) -> DataFrame:
-    """The published table, or no rows before the first version."""
-    return spark.table(view) if spark.catalog.tableExists(view) else no_rows(spark, schema)

@@ -22,7 +22,16 @@ from marketlake.operators.incremental import (
     one_per_key,
 )
 from marketlake.operators.joins import join_dimension, lookup
-from marketlake.operators.sinks import DAY, append, append_by_day, current, new_version, open_by_day, point, publish
+from marketlake.operators.sinks import (
+    DAY,
+    announce,
+    append,
+    append_by_day,
+    current,
+    new_version,
+    open_by_day,
+    publish,
+)
 from marketlake.operators.upsert import absent
 from marketlake.plans.normalise import (
     currency_rows,
@@ -102,19 +111,18 @@ def load_master(
 ) -> int:
     """Merge the assets and pairs of these tickers into the master tables and append their prices.
 
-    Both tables get a new version; the views move together once both are written. Pairs are built
+    Both tables get a new version, announced together once both are written. Pairs are built
     from the stored currencies, so that all steps see the same ids. Prices come last: a load that
     stopped before them is finished by running it again.
     """
     version = new_version(home)
-    currency = current(spark, currency_view, CURRENCY)
+    currency = current(spark, currency_view, CURRENCY, home)
     merged = merge_currencies(currency, currency_rows(tickers, quotes), keep_existing_on_null)
     append(merged, f"{version}/currency")
     merged = spark.read.schema(CURRENCY).parquet(f"{version}/currency")
-    pair = current(spark, pair_view, PAIR)
+    pair = current(spark, pair_view, PAIR, home)
     append(merge_pairs(pair, pair_rows(tickers, merged, keywords)), f"{version}/pair")
-    point(currency_view, f"{version}/currency", spark)
-    point(pair_view, f"{version}/pair", spark)
+    announce(spark, home, {currency_view: f"{version}/currency", pair_view: f"{version}/pair"})
     return append_prices(spark, price_rows(tickers, spark.table(pair_view), moment), home)
 
 

@@ -109,17 +109,19 @@ def history_rows(candles: DataFrame, pair: DataFrame, stamp: str = "timestamp")
     )
 
 
-def one_row_per_source(rows: DataFrame, prices: Mapping[str, str]) -> DataFrame:
+def one_row_per_source(rows: DataFrame, prices: Mapping[str, str], left_out: bool = False) -> DataFrame:
     """Turn price columns into rows (Price, Source); absent and zero prices are left out.
 
-    ``prices`` maps each source to the column with its price.
+    ``prices`` maps each source to the column with its price. With ``left_out`` only the rows that
+    are otherwise left out are given, for a report.
     """
     others = [c for c in rows.columns if c not in prices.values()]
     offers = F.array(*[
         F.struct(to_price(F.col(column)).alias("Price"), F.lit(source).alias("Source"))
         for source, column in prices.items()
     ])
-    return rows.select(*others, F.inline(offers)).filter(is_priced(F.col("Price")))
+    priced = is_priced(F.col("Price"))
+    return rows.select(*others, F.inline(offers)).filter(~priced if left_out else priced)
 
 
 def delta_prices(

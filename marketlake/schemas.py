@@ -64,6 +64,9 @@ FACT_PRICE = _schema(
 )
 FACT_KEY = ["TIME_ID", "PAIR_ID", "SOURCE_ID"]
 
+# --- which version of a replaced table is current ----------------------------------------------
+VERSIONS = _schema(("view", T.StringType()), ("path", T.StringType()), ("published", NTZ))
+
 # --- landed payloads -------------------------------------------------------------------------
 CORRUPT = "_corrupt_record"
 TICKER = _schema(("symbol", T.StringType()), ("price", T.StringType()), (CORRUPT, T.StringType()))

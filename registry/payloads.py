@@ -205,13 +205,25 @@ def candle_history(spark, folder):
     return normalise.history_rows(candles, b.pair(spark, folder))
 
 
-@query("""
+_OFFERS = """
 SELECT p_partkey AS Pair_ID, Price, Source
 FROM (SELECT p_partkey, CAST(p_retailprice AS DECIMAL(20,8)) AS Price, 'A' AS Source FROM part
       UNION ALL
       SELECT p_partkey, CASE WHEN p_type = 'SMALL' THEN NULL ELSE CAST(p_size - 1 AS DECIMAL(20,8)) END, 'B' FROM part)
-WHERE Price IS NOT NULL AND Price <> 0""")
-def dual_source(spark, folder):
+WHERE """
+
+
+def _offers(spark, folder):
     second = F.when(F.col("p_type") != "SMALL", F.col("p_size") - 1)
-    rows = b.table(spark, folder, "part").select(F.col("p_partkey").alias("Pair_ID"), F.col("p_retailprice").alias("a"), second.alias("b"))
-    return normalise.one_row_per_source(rows, {"A": "a", "B": "b"})
+    part = b.table(spark, folder, "part")
+    return part.select(F.col("p_partkey").alias("Pair_ID"), F.col("p_retailprice").alias("a"), second.alias("b"))
+
+
+@query(_OFFERS + "Price IS NOT NULL AND Price <> 0")
+def dual_source(spark, folder):
+    return normalise.one_row_per_source(_offers(spark, folder), {"A": "a", "B": "b"})
+
+
+@query(_OFFERS + "Price IS NULL OR Price = 0")
+def dual_source_left_out(spark, folder):
+    return normalise.one_row_per_source(_offers(spark, folder), {"A": "a", "B": "b"}, left_out=True)

@@ -1,5 +1,6 @@
 """Loads that run twice, fail half-way, or get their rows late."""
 
+import json
 import re
 from datetime import datetime
 from decimal import Decimal
@@ -7,11 +8,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake import schemas
+from marketlake import jobs, schemas
 from marketlake.operators import sinks
 from marketlake.operators.incremental import at_or_before_mark, high_water_mark
 from marketlake.plans import loads, normalise, reports, star
 from marketlake.session import build_session, new_folder, shared_folder
+from marketlake.sources import files
 from marketlake.sources.literals import literal_rows, no_rows
 from marketlake.streaming import price_stream
 from marketlake.streaming.price_stream import load_new_files
@@ -107,6 +109,11 @@ def test_publish_switches_only_after_all_writes(spark):
     # A new version may be made from the current one; who reads the old one still can.
     sinks.publish({one: spark.table(one).unionAll(spark.table(one))}, folder)
     assert (spark.table(one).count(), before.count()) == (6, 3)
+    # A session that has not seen the views finds the current versions, too.
+    schema = spark.range(1).schema
+    assert sinks.current(spark, one, schema, folder).count() == 6
+    assert sinks.current(spark, two, schema, folder).count() == 4
+    assert sinks.current(spark, "three", schema, folder).count() == 0
     assert one in {t.name for t in spark.catalog.listTables()}
     assert [r.col_name for r in spark.sql(f"DESCRIBE {one}").collect()] == ["id"]
 
@@ -261,6 +268,29 @@ def test_stream_survives_a_failed_run_and_skips_seen_files(spark, monkeypatch):
     assert pairs_in(loads.open_fact(spark, star_home)) == [1, 2, 3, 4, 5]
 
 
+# --- the jobs ---------------------------------------------------------------------------------
+def test_jobs_from_landed_files_to_exports(spark, tmp_path):
+    (tmp_path / "tickers.json").write_text(json.dumps([{"symbol": s, "price": p} for s, p in TICKERS]))
+    data = {s: {"tags": t, "quote": {"USD": {"price": p and float(p)}}} for s, t, p in QUOTES}
+    (tmp_path / "quotes.json").write_text(json.dumps({"data": data}))
+    (tmp_path / "candles" / "symbol=ETHBTC").mkdir(parents=True)
+    candles = [[1704067200000 + d * 86_400_000, *["1"] * 3, f"0.0{d + 1}", "1", 1704153599999, *["1"] * 5] for d in range(3)]
+    (tmp_path / "candles" / "symbol=ETHBTC" / "c.json").write_text(json.dumps(candles))
+    home, landed_files = new_folder(spark, "test"), ["--tickers", str(tmp_path / "tickers.json"), "--quotes", str(tmp_path / "quotes.json")]
+
+    assert jobs.run(["master", *landed_files, "--home", home]) == 4
+    for added in (3, 0):
+        assert jobs.run(["history", "--candles", str(tmp_path / "candles"), "--home", home]) == added
+    for added in (6, 0):
+        assert jobs.run(["daily", *landed_files, "--home", home, "--moment", "2020-01-01 00:00:00"]) == added
+    jobs.run(["export", "--home", home, "--to", str(tmp_path / "out")])
+    out = files.read_star_export(spark, str(tmp_path / "out"))
+    assert out["fact_pairs"].count() == 4 + 3 + 6
+    assert out["dim_time"].count() == 1 + 3 + 1 and out["dim_currency"].count() == 4
+    with pytest.raises(SystemExit):
+        jobs.run(["daily", "--home", home])
+
+
 # --- settings ---------------------------------------------------------------------------------
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
