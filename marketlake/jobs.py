@@ -1,9 +1,9 @@
-"""The scheduled jobs as commands, for spark-submit: one run each, started by an outside scheduler.
+"""The scheduled jobs as commands: one run each, started by an outside scheduler.
 
-    spark-submit -m marketlake.jobs master  --tickers P --quotes P --home P
-    spark-submit -m marketlake.jobs history --candles P --home P
-    spark-submit -m marketlake.jobs daily   --tickers P --quotes P --home P --moment "2026-02-16 10:58:15"
-    spark-submit -m marketlake.jobs export  --home P --to P
+    python -m marketlake.jobs master  --tickers P --quotes P --home P
+    python -m marketlake.jobs history --candles P --home P      (or backfill)
+    python -m marketlake.jobs daily   --tickers P --quotes P --home P --moment "2026-02-16 10:58:15"
+    python -m marketlake.jobs export  --home P --to P
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from marketlake.operators.sinks import current, export_csv
 from marketlake.plans import loads, star
 from marketlake.plans.normalise import EXCHANGE, history_rows, only_markets
-from marketlake.schemas import CURRENCY, PAIR
+from marketlake.schemas import CURRENCY, PAIR, PRICES
 from marketlake.session import build_session
 from marketlake.sources import payloads
 
@@ -36,11 +36,20 @@ def master(spark: SparkSession, options: argparse.Namespace) -> int:
     return loads.load_master(spark, *_landed(spark, options), options.home, moment=options.moment)
 
 
-def history(spark: SparkSession, options: argparse.Namespace) -> int:
-    """The price history that the candles give, added to what is there."""
+def _candles(spark: SparkSession, options: argparse.Namespace):
     candles = payloads.parse_candles(payloads.read_candles(spark, options.candles))
-    rows = history_rows(candles, _master(spark, options.home)[0]).withColumn("Source", F.lit(EXCHANGE))
-    return loads.append_prices(spark, rows, options.home)
+    rows = history_rows(candles, _master(spark, options.home)[0])
+    return rows.withColumn("Source", F.lit(EXCHANGE)).select(*PRICES.names)
+
+
+def history(spark: SparkSession, options: argparse.Namespace) -> int:
+    """Replace the price history by what the candles give."""
+    return loads.reload_history(_candles(spark, options), options.home)
+
+
+def backfill(spark: SparkSession, options: argparse.Namespace) -> int:
+    """Add to the price history what the candles have and it has not."""
+    return loads.append_prices(spark, _candles(spark, options), options.home)
 
 
 def daily(spark: SparkSession, options: argparse.Namespace) -> int:
@@ -64,6 +73,7 @@ def export(spark: SparkSession, options: argparse.Namespace) -> int:
 JOBS = {
     master: ("tickers", "quotes", "home"),
     history: ("candles", "home"),
+    backfill: ("candles", "home"),
     daily: ("tickers", "quotes", "home", "moment"),
     export: ("home", "to"),
 }

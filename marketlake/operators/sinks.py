@@ -90,9 +90,14 @@ def announce(spark: SparkSession, folder: str, paths: Mapping[str, str]) -> None
         spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
 
 
+def current_path(spark: SparkSession, view: str, folder: str) -> str | None:
+    """Where the current version is, whichever session wrote it."""
+    return versions(spark, folder).filter(F.col("view") == view).agg(F.max_by("path", "published")).first()[0]
+
+
 def current(spark: SparkSession, view: str, schema: T.StructType, folder: str) -> DataFrame:
-    """The current version of a published table, whichever session wrote it; no rows before the first."""
-    path = versions(spark, folder).filter(F.col("view") == view).agg(F.max_by("path", "published")).first()[0]
+    """The current version of a published table; no rows before the first."""
+    path = current_path(spark, view, folder)
     return spark.read.schema(schema).parquet(path) if path else no_rows(spark, schema)
 
 

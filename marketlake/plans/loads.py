@@ -28,6 +28,7 @@ from marketlake.operators.sinks import (
     append,
     append_by_day,
     current,
+    current_path,
     new_version,
     open_by_day,
     publish,
@@ -44,6 +45,8 @@ from marketlake.plans.normalise import (
 from marketlake.plans.star import dim_pair, dim_time, fact_price
 from marketlake.schemas import CURRENCY, DIM_TIME, FACT_KEY, FACT_PRICE, PAIR, PRICE_KEY, PRICES
 
+PRICES_VIEW = "price_hist"
+
 
 def open_fact(spark: SparkSession, star: str) -> DataFrame:
     return open_by_day(spark, f"{star}/fact_price", FACT_PRICE)
@@ -126,8 +129,13 @@ def load_master(
     return append_prices(spark, price_rows(tickers, spark.table(pair_view), moment), home)
 
 
+def _prices_path(spark: SparkSession, home: str) -> str:
+    return current_path(spark, PRICES_VIEW, home) or f"{home}/{PRICES_VIEW}"
+
+
 def open_prices(spark: SparkSession, home: str) -> DataFrame:
-    return open_by_day(spark, f"{home}/price_hist", PRICES)
+    """The price history: what the last reload gave, if any, and what was appended since."""
+    return open_by_day(spark, _prices_path(spark, home), PRICES)
 
 
 def append_prices(spark: SparkSession, prices: DataFrame, home: str) -> int:
@@ -136,7 +144,7 @@ def append_prices(spark: SparkSession, prices: DataFrame, home: str) -> int:
     Repeats inside one batch stay as they are; a batch that was loaded before adds nothing.
     """
     fresh = not_loaded(prices, open_prices(spark, home), PRICE_KEY, "Timestamp", DAY)
-    return append_by_day(fresh.select(*PRICES.names), f"{home}/price_hist", "Timestamp")
+    return append_by_day(fresh.select(*PRICES.names), _prices_path(spark, home), "Timestamp")
 
 
 def daily_run(
@@ -193,11 +201,11 @@ def new_currencies(existing: DataFrame, currency: DataFrame) -> DataFrame:
     return absent(existing, currency.select("Currency_ID", "Currency_Name", "Asset_Type"), "Currency_ID")
 
 
-def reload_history(history: DataFrame, folder: str, view: str, one_per_time: bool = False) -> int:
+def reload_history(history: DataFrame, home: str, view: str = PRICES_VIEW, one_per_time: bool = False) -> int:
     """Replace the whole price history in one step.
 
     Input rows are kept as they are; ``one_per_time`` keeps one per pair and time.
     """
     if one_per_time:
         history = one_per_key(history, ["Pair_ID", "Timestamp"])
-    return publish({view: history}, folder, {view: "Timestamp"})[view]
+    return publish({view: history}, home, {view: "Timestamp"})[view]

@@ -279,14 +279,20 @@ def test_jobs_from_landed_files_to_exports(spark, tmp_path):
     home, landed_files = new_folder(spark, "test"), ["--tickers", str(tmp_path / "tickers.json"), "--quotes", str(tmp_path / "quotes.json")]
 
     assert jobs.run(["master", *landed_files, "--home", home]) == 4
+    given = ["--candles", str(tmp_path / "candles"), "--home", home]
     for added in (3, 0):
-        assert jobs.run(["history", "--candles", str(tmp_path / "candles"), "--home", home]) == added
+        assert jobs.run(["backfill", *given]) == added
+    assert loads.open_prices(spark, home).count() == 4 + 3
+    for _ in range(2):
+        assert jobs.run(["history", *given]) == 3
+    assert loads.open_prices(spark, home).count() == 3
+    assert jobs.run(["backfill", *given]) == 0
     for added in (6, 0):
         assert jobs.run(["daily", *landed_files, "--home", home, "--moment", "2020-01-01 00:00:00"]) == added
     jobs.run(["export", "--home", home, "--to", str(tmp_path / "out")])
     out = files.read_star_export(spark, str(tmp_path / "out"))
-    assert out["fact_pairs"].count() == 4 + 3 + 6
-    assert out["dim_time"].count() == 1 + 3 + 1 and out["dim_currency"].count() == 4
+    assert out["fact_pairs"].count() == 3 + 6
+    assert out["dim_time"].count() == 3 + 1 and out["dim_currency"].count() == 4
     with pytest.raises(SystemExit):
         jobs.run(["daily", "--home", home])
 
