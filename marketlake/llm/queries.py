@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.llm import packing, sentencepieces, shards
+from marketlake.llm import chaining, fingerprints, language, licences, packing, pca_tiles, sentencepieces, setsketch, shards, warc
 from marketlake.llm.book import QUERIES, SQL, query, table, tokenizer_file
 
 __all__ = ["QUERIES", "SQL"]
@@ -34,3 +34,57 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.encode_documents(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query()
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return pca_tiles.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query()
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+@query()
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
+@query()
+def op6_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan_documents(table(spark, folder, "documents"))
+
+
+@query("""
+    WITH payloads AS (
+        SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+    ), hashed AS (
+        SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest FROM payloads
+    ), marked AS (
+        SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS original FROM hashed
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+           CASE WHEN original IS NOT NULL AND original IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN original IS DISTINCT FROM page_id THEN original END AS refers_to
+    FROM marked
+""")
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.archive_pages(table(spark, folder, "pages"))
+    return records.filter("gap_reason is null").select(
+        warc.page_id_of("record_id").alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.page_id_of("refers_to").alias("refers_to"),
+    )
+
+
+@query()
+def op4_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return chaining.passages(table(spark, folder, "documents"))
