@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from marketlake.session import build_session
@@ -33,6 +34,8 @@ def main() -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(registry.QUERIES)
     timed(spark, "star_enriched")  # starts the JVM's compilers; not counted
     seconds = {name: round(timed(spark, name), 3) for name in names}

@@ -19,6 +19,14 @@ def repeated_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
+def require_unique(rows: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a value of one of these columns occurs more than once, naming the first such values."""
+    for key in keys:
+        found = repeated_keys(rows, [key]).orderBy(key).limit(5).collect()
+        if found:
+            raise ValueError(f"{key} is not unique: " + ", ".join(str(x[0]) for x in found))
+
+
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Foreign-key values without a parent, with the number of rows; NULL is no violation.
 

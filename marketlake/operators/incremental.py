@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators.joins import BROADCAST_ROWS
+from marketlake.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, row_bytes
 from marketlake.operators.ranking import first_per_key
 
 
@@ -18,14 +20,23 @@ def _literal(value, rows: DataFrame, column: str) -> Column:
     return F.lit(str(value)).cast(rows.schema[column].dataType)
 
 
-def high_water_mark(target: DataFrame, column: str, day: str | None = None):
+def newest_day(spark: SparkSession, path: str, day: str):
+    """The last date that has a folder ``day=...`` in a table's path, or None: names are listed, no file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [x.getPath().getName() for x in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    days = [x.removeprefix(f"{day}=") for x in names if x.startswith(f"{day}=")]
+    return max((date.fromisoformat(x) for x in days if x[:1].isdigit()), default=None)
+
+
+def high_water_mark(target: DataFrame, column: str, day: str | None = None, path: str | None = None):
     """The largest value in the table, or None for an empty one: a single value to the driver.
 
     With ``day``, the table's date partition column that is derived from ``column``, only the
-    newest day is read for it; finding that day needs no data column at all.
+    newest day is read for it. That day comes from the names of the folders in ``path``, or without
+    one from a query that reads no data column but opens every file.
     """
     if day:
-        newest = target.agg(F.max(day)).first()[0]
+        newest = newest_day(target.sparkSession, path, day) if path else target.agg(F.max(day)).first()[0]
         if newest is not None:
             target = target.filter(F.col(day) == _literal(newest, target, day))
     return target.agg(F.max(column)).first()[0]
@@ -48,15 +59,22 @@ def at_or_before_mark(batch: DataFrame, target: DataFrame, keys: Sequence[str],
 
 
 class Extent(NamedTuple):
-    """Number of rows and the first and last value of a column."""
+    """Number of rows, first and last value of a column, rows without one, and bytes of the key columns."""
 
     rows: int
     first: object
     last: object
+    nulls: int
+    bytes: int
+
+
+def extent(rows: DataFrame, column: str, keys: Sequence[str] | None = None) -> Extent:
+    size = F.coalesce(F.sum(row_bytes(rows.select(*(keys or [column])))), F.lit(0))
+    return Extent(*rows.agg(F.count(F.lit(1)), F.min(column), F.max(column), F.count_if(F.col(column).isNull()), size).first())
 
 
-def extent(rows: DataFrame, column: str) -> Extent:
-    return Extent(*rows.agg(F.count(F.lit(1)), F.min(column), F.max(column)).first())
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
 
 
 def not_loaded(
@@ -68,7 +86,7 @@ def not_loaded(
     within: Extent | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows of the batch whose key the table lacks.
+    """Rows of the batch whose key the table lacks. NULL in a key is a value like any other.
 
     One pass over the batch gives its extent in time, unless the caller knows it (``within``). It
     limits the part of the table that is read, by ``day`` (a date partition column) and by the time
@@ -76,19 +94,24 @@ def not_loaded(
     the anti-join, so that the table is scanned but never shuffled.
     """
     keys = list(keys)
-    within = within or extent(batch, column)
+    within = within or extent(batch, column, keys)
     if within.rows == 0:
         return batch
     known = target
     if within.first is not None:
         first, last = _literal(within.first, batch, column), _literal(within.last, batch, column)
+        between = {column: F.col(column).between(first, last)}
         if day:
-            known = known.filter(F.col(day).between(first.cast("date"), last.cast("date")))
-        known = known.filter(F.col(column).between(first, last))
-    known = known.select(*keys)
-    if within.rows <= max_rows:
-        known = known.join(F.broadcast(batch.select(*keys)), keys, "left_semi")
-    return batch.join(known, keys, "left_anti")
+            between[day] = F.col(day).between(first.cast("date"), last.cast("date"))
+        for name, found in between.items():
+            known = known.filter(found | F.col(name).isNull() if within.nulls else found)
+    else:
+        known = known.filter(F.col(column).isNull())
+    known = known.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    if within.rows <= max_rows and within.bytes <= BROADCAST_BYTES:
+        fresh = batch.select(*keys)
+        known = known.join(F.broadcast(fresh), _same(fresh, known, keys), "left_semi")
+    return batch.join(known, _same(batch, known, keys), "left_anti")
 
 
 def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# What may be broadcast: at most this many rows, with at most this much text in them.
+# What may be broadcast: at most this many rows and this many bytes in them.
 BROADCAST_ROWS = 200_000
-BROADCAST_TEXT = 64 << 20
+BROADCAST_BYTES = 64 << 20
+
+
+def row_bytes(rows: DataFrame) -> Column:
+    """About the bytes of a row: text and binary by their length, arrays, maps and structs by their JSON."""
+    sizes = [F.lit(0)]
+    for field in rows.schema:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.to_json(F.struct(column))
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.lit(16))
+            continue
+        sizes.append(F.coalesce(F.octet_length(column), F.lit(0)))
+    return sum(sizes[1:], sizes[0]).cast("long")
 
 
 def fits_broadcast(dimension: DataFrame, bound: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the dimension is small enough, by counting its rows and the bytes of its text.
+    """Whether the dimension is small enough, by counting its rows and their bytes.
 
     The answer is a bound, not an estimate. ``bound`` is a cheaper frame with at least as many
     rows: if that is too long already, the dimension itself is not computed for the check.
     """
     if bound is not None and bound.count() > max_rows:
         return False
-    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in dimension.dtypes if kind == "string"]
-    size = dimension.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(texts, F.lit(0))), F.lit(0))).first()
-    return size[0] <= max_rows and size[1] <= BROADCAST_TEXT
+    size = dimension.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(dimension)), F.lit(0))).first()
+    return size[0] <= max_rows and size[1] <= BROADCAST_BYTES
 
 
 def join_dimension(
@@ -34,7 +48,8 @@ def join_dimension(
     """Join a fact to a dimension with one row per key.
 
     A dimension that is counted small is broadcast and the fact is not shuffled. A larger one is
-    left to a shuffle join, where adaptive execution splits the partitions of hot keys.
+    left to a shuffle join, where adaptive execution splits the partitions of hot keys. A dimension that is a
+    join or an aggregate itself is best given ``stored``: it is read once for the check and once for the join.
     """
     if fits_broadcast(dimension, bound, max_rows):
         dimension = F.broadcast(dimension)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators.constraints import repeated_keys
 from marketlake.operators.joins import BROADCAST_ROWS, fits_broadcast
+from marketlake.session import stored
 
 
 def _one_row_per_column(totals: DataFrame, columns: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -52,12 +53,12 @@ def _beyond_first(groups: DataFrame, check: str) -> DataFrame:
 def duplicate_profile(rows: DataFrame, key: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows beyond the first copy, for whole rows and for the key: check, duplicates.
 
-    A copy of a row repeats its key too. So the key columns alone are grouped first, and if few keys
+    A copy of a row repeats its key too. So the key columns alone are grouped first and written, and if few keys
     are repeated, only their rows are compared as a whole; a clean table is then never shuffled in
     full width. With many repeated keys whole rows are grouped, and the key counts are sums of those.
     Either way copies are counted inside each map task before the shuffle.
     """
-    repeated = repeated_keys(rows, key)
+    repeated = stored(repeated_keys(rows, key), "repeated")
     if fits_broadcast(repeated, max_rows=max_rows):
         named = F.broadcast(repeated.select(*[F.col(c).alias(f"_{c}") for c in key]))
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])

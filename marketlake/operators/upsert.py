@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.operators.ranking import first_per_key, with_position
@@ -26,14 +26,14 @@ def upsert(
 
     New keys bring all their columns. A known key takes only the ``update`` columns from the
     incoming row; with ``keep_existing_on_null`` an incoming NULL does not replace a value.
-    ``incoming`` has one row per key. Columns it lacks are NULL in new rows.
+    Columns that ``incoming`` lacks are NULL in new rows; a key that comes twice in it is an error.
     """
     old = existing.withColumn("_old", F.lit(True)).alias("old")
-    new = incoming.withColumn("_new", F.lit(True)).alias("new")
+    new = _counted(incoming, key).withColumn("_new", F.lit(True)).alias("new")
     columns = []
     for name in existing.columns:
         if name == key:
-            columns.append(F.col(key))
+            columns.append(_refused(key))
             continue
         was = F.col(f"old.{name}")
         if name not in incoming.columns:
@@ -50,6 +50,45 @@ def upsert(
     return old.join(new, key, "full_outer").select(*columns)
 
 
+def _counted(incoming: DataFrame, key: str) -> DataFrame:
+    """One row per key and the number of rows it had, with the shuffle that the join needs anyway."""
+    others = [c for c in incoming.columns if c != key]
+    rows = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.first(F.struct(key, *others)).alias("_row"))
+    return rows.select(key, "_rows", *(F.col(f"_row.{c}").alias(c) for c in others))
+
+
+def _refused(key: str) -> Column:
+    fault = F.raise_error(F.concat(F.lit(f"more than one incoming row for {key} "), F.col(key).cast("string")))
+    return F.when(F.col("_rows") > 1, fault).otherwise(F.col(key)).alias(key)
+
+
+def upsert_with_ids(
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    update: Sequence[str],
+    id_column: str,
+    keep_existing_on_null: bool = False,
+) -> DataFrame:
+    """The table after the upsert, where new keys get the next ids in their order.
+
+    Only the new rows are numbered, from the largest id in the table on (one number to the driver).
+    """
+    known = upsert(existing, incoming.join(existing.select(key), key, "left_semi"), key, update, keep_existing_on_null)
+    last = existing.agg(F.max(id_column)).first()[0] or 0
+    new = _counted(incoming, key).join(existing.select(key), key, "left_anti").withColumn(key, _refused(key)).drop("_rows")
+    fresh = with_position(new, key, name="_position")
+    columns = []
+    for field in existing.schema:
+        if field.name == id_column:
+            columns.append((F.col("_position") + F.lit(last + 1)).cast(field.dataType).alias(id_column))
+        elif field.name in incoming.columns:
+            columns.append(F.col(field.name))
+        else:
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+    return known.unionByName(fresh.select(*columns))
+
+
 def absent(existing: DataFrame, incoming: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Incoming rows whose key the table lacks, one per key."""
     keys = [keys] if isinstance(keys, str) else list(keys)

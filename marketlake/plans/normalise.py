@@ -15,7 +15,8 @@ from marketlake.functions.symbols import MARKETS, base_of, is_market, quote_of
 from marketlake.functions.temporal import as_of, from_epoch_millis
 from marketlake.functions.values import is_priced, to_price
 from marketlake.operators.joins import join_dimension
-from marketlake.operators.upsert import upsert, with_new_ids
+from marketlake.operators.ranking import first_per_key
+from marketlake.operators.upsert import upsert_with_ids
 
 CURRENCY_UPDATES = ("Global_Price_USD", "Raw_Tags")
 PAIR_UPDATES = ("Manual_Category",)
@@ -25,6 +26,15 @@ EXCHANGE = "Binance"
 REFERENCE = "CoinMarketCap"
 
 
+def one_quote(quotes: DataFrame) -> DataFrame:
+    """One quote per symbol: the one landed last (where ``landed`` says when), then one with a price, the higher
+    price, and the tags as text, so that the choice is the same on every run."""
+    order = [F.col("Global_Price_USD").desc_nulls_last(), F.to_json("Raw_Tags")]
+    if "landed" in quotes.columns:
+        order.insert(0, F.col("landed").desc_nulls_last())
+    return first_per_key(quotes, "symbol", *order).select("symbol", "Raw_Tags", "Global_Price_USD")
+
+
 def only_markets(tickers: DataFrame, markets: Sequence[str] = MARKETS) -> DataFrame:
     return tickers.filter(is_market(F.col("symbol"), markets))
 
@@ -38,10 +48,11 @@ def split_symbols(tickers: DataFrame, every_occurrence: bool = False) -> DataFra
 def currency_rows(tickers: DataFrame, quotes: DataFrame) -> DataFrame:
     """Currency_Name, Asset_Type, Global_Price_USD, Raw_Tags of every base and quote asset.
 
-    Names are made distinct before the quotes are joined: a quote asset stands in most symbols.
+    Names are made distinct before the quotes are joined: a quote asset stands in most symbols. Of
+    several quotes for a symbol the newest counts, so there is one row per name.
     """
     assets = split_symbols(tickers).select(F.explode(F.array("base", "quote")).alias("Currency_Name")).distinct()
-    quoted = quotes.withColumnRenamed("symbol", "Currency_Name")
+    quoted = one_quote(quotes).withColumnRenamed("symbol", "Currency_Name")
     return assets.join(quoted, "Currency_Name", "left").select(
         "Currency_Name",
         asset_type(F.col("Currency_Name")).alias("Asset_Type"),
@@ -58,9 +69,8 @@ def merge_currencies(existing: DataFrame, incoming: DataFrame, keep_existing_on_
     tags = F.col("Raw_Tags")
     if keep_existing_on_null:
         incoming = incoming.withColumn("Raw_Tags", F.when(F.size(tags) > 0, tags))
-    merged = upsert(existing, incoming, "Currency_Name", CURRENCY_UPDATES, keep_existing_on_null)
-    merged = merged.withColumn("Raw_Tags", F.coalesce(tags, F.array().cast("array<string>")))
-    return with_new_ids(merged, "Currency_ID", "Currency_Name")
+    merged = upsert_with_ids(existing, incoming, "Currency_Name", CURRENCY_UPDATES, "Currency_ID", keep_existing_on_null)
+    return merged.withColumn("Raw_Tags", F.coalesce(tags, F.array().cast("array<string>")))
 
 
 def pair_rows(
@@ -81,7 +91,7 @@ def pair_rows(
 
 def merge_pairs(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Pair after the load: known names take only the new category."""
-    return with_new_ids(upsert(existing, incoming, "Pair_Name", PAIR_UPDATES), "Pair_ID", "Pair_Name")
+    return upsert_with_ids(existing, incoming, "Pair_Name", PAIR_UPDATES, "Pair_ID")
 
 
 def price_rows(tickers: DataFrame, pair: DataFrame, moment=None, source: str = EXCHANGE) -> DataFrame:
@@ -138,7 +148,7 @@ def delta_prices(
         "Pair_ID", to_price(F.col("price")).alias("Price"), F.lit(EXCHANGE).alias("Source")
     )
     of_base = wanted.select("Pair_ID", base_of(F.col("symbol")).alias("symbol"))
-    reference = of_base.join(quotes, "symbol").select(
+    reference = of_base.join(one_quote(quotes), "symbol").select(
         "Pair_ID", to_price(F.col("Global_Price_USD")).alias("Price"), F.lit(REFERENCE).alias("Source")
     )
     both = exchange.unionByName(reference).filter(is_priced(F.col("Price")))

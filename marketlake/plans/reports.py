@@ -76,6 +76,8 @@ def latest_against_reference(
     order = F.col("Timestamp").desc_nulls_last(), F.col("Price_Hist_ID").desc()
     if day:
         newest = high_water_mark(prices, day)
+        if newest is None:
+            return price_against_reference(prices, pair, currency, **options).limit(0)
         recent = prices.filter(F.col(day) == F.lit(str(newest)).cast("date"))
         rows = top_rows(price_against_reference(recent, pair, currency, **options), count, *order)
         if rows.count() == count:

@@ -6,19 +6,21 @@ is counted small, else joined by a single shuffle of the fact.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.temporal import calendar_parts
 from marketlake.operators.joins import join_dimension
 from marketlake.operators.ranking import first_per_key
-from marketlake.operators.upsert import absent, with_new_ids
+from marketlake.operators.upsert import upsert_with_ids
 from marketlake.plans.normalise import EXCHANGE, REFERENCE
 from marketlake.schemas import DIM_SOURCE
 from marketlake.sources.literals import literal_rows
 
 # The rows the source dimension starts with.
 SOURCE_SEED = ((1, EXCHANGE), (2, REFERENCE))
+# The member that prices without a source belong to.
+UNKNOWN_SOURCE = "unknown"
 
 _STAR_PARTS = {p.upper(): p for p in ("day", "month", "year", "quarter", "hour", "minute", "second")}
 _EXPORT_PARTS = {p.capitalize(): p for p in ("year", "month", "day", "quarter")}
@@ -102,21 +104,27 @@ def seed_sources(spark: SparkSession) -> DataFrame:
 
 
 def dim_source(existing: DataFrame, prices: DataFrame) -> DataFrame:
-    """The source dimension with the sources of these prices; known ones keep their id."""
-    seen = prices.select(F.col("Source").alias("SOURCE_NAME")).filter("SOURCE_NAME IS NOT NULL").distinct()
-    fresh = absent(existing, seen, "SOURCE_NAME").withColumn("SOURCE_ID", F.lit(None).cast("int"))
-    return with_new_ids(existing.unionByName(fresh), "SOURCE_ID", "SOURCE_NAME")
+    """The source dimension with the sources of these prices; known ones keep their id. Prices without a
+    source add the member ``unknown``."""
+    seen = prices.select(_source().alias("SOURCE_NAME")).distinct()
+    return upsert_with_ids(existing, seen, "SOURCE_NAME", (), "SOURCE_ID")
+
+
+def _source() -> Column:
+    return F.coalesce("Source", F.lit(UNKNOWN_SOURCE))
 
 
 def fact_price(prices: DataFrame, sources: DataFrame | None = None, source_id: int = 1) -> DataFrame:
     """TIME_ID, PAIR_ID, SOURCE_ID, PRICE in load order of columns.
 
-    With the source dimension each price gets the id of its own source, else all get ``source_id``.
+    With the source dimension each price gets the id of its own source, else all get ``source_id``. No price
+    is left out: one whose source the dimension lacks has a NULL id, which the foreign-key check shows.
     """
     if sources is None:
         rows = prices.withColumn("SOURCE_ID", F.lit(source_id))
     else:
-        rows = join_dimension(prices, sources.withColumnRenamed("SOURCE_NAME", "Source"), "Source")
+        named = prices.withColumn("Source", _source())
+        rows = join_dimension(named, sources.withColumnRenamed("SOURCE_NAME", "Source"), "Source", "left")
     return rows.select(
         F.col("Timestamp").alias("TIME_ID"),
         F.col("Pair_ID").cast("bigint").alias("PAIR_ID"),

@@ -16,6 +16,7 @@ def _schema(*fields) -> T.StructType:
     return out
 
 
+# Names and order of the stored columns.
 # --- normalised tables -----------------------------------------------------------------------
 CURRENCY = _schema(
     ("Currency_ID", T.IntegerType(), "not null"),
@@ -62,7 +63,19 @@ DIM_SOURCE = _schema(("SOURCE_ID", T.IntegerType(), "not null"), ("SOURCE_NAME",
 FACT_PRICE = _schema(
     ("TIME_ID", NTZ), ("PAIR_ID", T.LongType()), ("SOURCE_ID", T.IntegerType()), ("PRICE", PRICE)
 )
-FACT_KEY = ["TIME_ID", "PAIR_ID", "SOURCE_ID"]
+# A fact is its whole row: every distinct price of a time, pair and source is one.
+FACT_KEY = FACT_PRICE.names
+FACT_PAIRS = _schema(
+    ("PAIR_NAME", T.StringType()),
+    ("CURRENCY_ID", T.IntegerType()),
+    ("TIME_ID", NTZ),
+    ("CATEGORY_ID", T.IntegerType()),
+    ("SOURCE_ID", T.IntegerType()),
+    ("PRICE", PRICE),
+)
+DIM_CURRENCY = _schema(
+    ("Currency_ID", T.IntegerType(), "not null"), ("Currency_Name", T.StringType()), ("Asset_Type", T.StringType())
+)
 
 # --- which version of a replaced table is current ----------------------------------------------
 VERSIONS = _schema(("view", T.StringType()), ("path", T.StringType()), ("published", NTZ))
@@ -71,7 +84,8 @@ VERSIONS = _schema(("view", T.StringType()), ("path", T.StringType()), ("publish
 CORRUPT = "_corrupt_record"
 TICKER = _schema(("symbol", T.StringType()), ("price", T.StringType()), (CORRUPT, T.StringType()))
 ASSET = _schema(
-    ("id", T.LongType()), ("symbol", T.StringType()), ("name", T.StringType()), ("rank", T.IntegerType())
+    ("id", T.LongType()), ("symbol", T.StringType()), ("name", T.StringType()), ("rank", T.IntegerType()),
+    (CORRUPT, T.StringType()),
 )
 QUOTE = _schema(
     ("tags", T.ArrayType(T.StringType())),

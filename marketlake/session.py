@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,21 +46,14 @@ def build_session(app: str = "marketlake", master: str | None = None, **settings
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``.
+    """The folder all executors can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` named.
 
-    Only a local session, where driver and executors are one process, may fall back to a
-    temporary folder. A cluster without the setting is an error, not a silent local write.
+    Without either this is an error, not a silent write to one machine's disk.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="marketlake-"))
-    return context.getCheckpointDir()
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -67,9 +61,30 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/marketlake/{name}-{uuid.uuid4().hex}"
 
 
+_open_scratch: list[list[str]] = []
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read back: for results that are used several
     times, or whose later uses must see exactly the same rows."""
     folder = new_folder(rows.sparkSession, name)
+    for made in _open_scratch[-1:]:
+        made.append(folder)
     rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what ``stored`` wrote inside. For jobs that leave tables, not lazy frames."""
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        for folder in _open_scratch.pop():
+            remove(spark, folder)

@@ -36,13 +36,17 @@ def set_aside(records: DataFrame, required: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_quotes(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Quote payloads as landed: ``data`` maps each asset to its tags and prices."""
-    return _json(spark, path, schemas.QUOTES, multiline)
+    """Quote payloads as landed: ``data`` maps each asset to its tags and prices; ``landed`` is the
+    time of the file. ``set_aside(..., "data")`` gives the payloads that did not parse."""
+    return _json(spark, path, schemas.QUOTES, multiline).withColumn("landed", F.col("_metadata.file_modification_time"))
 
 
 def flatten_quotes(payloads: DataFrame, currency: str = "USD") -> DataFrame:
-    """One row per asset: symbol, Raw_Tags (empty if missing), Global_Price_USD (NULL if missing)."""
-    return payloads.select(F.explode("data").alias("symbol", "asset")).select(
+    """One row per asset: symbol, Raw_Tags (empty if missing), Global_Price_USD (NULL if missing), and the
+    other columns of the payload. Payloads without ``data`` have no rows: set them aside first."""
+    others = [c for c in payloads.columns if c not in ("data", CORRUPT)]
+    return payloads.select(*others, F.explode("data").alias("symbol", "asset")).select(
+        *others,
         "symbol",
         F.coalesce(F.col("asset.tags"), F.array().cast("array<string>")).alias("Raw_Tags"),
         F.try_element_at(F.col("asset.quote"), F.lit(currency))["price"].cast(schemas.PRICE).alias("Global_Price_USD"),
@@ -56,11 +60,13 @@ def parse_quotes(payloads: DataFrame, text: str) -> DataFrame:
 
 
 def read_asset_map(spark: SparkSession, path: str, enveloped: bool = False, multiline: bool = False) -> DataFrame:
-    """The asset map: id, symbol, name, rank; ``enveloped`` if the list sits under ``data``."""
+    """The asset map: id, symbol, name, rank, and the text of what did not parse (see :func:`set_aside`);
+    ``enveloped`` if the list sits under ``data``."""
     if not enveloped:
         return _json(spark, path, schemas.ASSET, multiline)
-    envelope = T.StructType().add("data", T.ArrayType(schemas.ASSET))
-    return _json(spark, path, envelope, multiline).select(F.inline("data"))
+    asset = T.StructType([f for f in schemas.ASSET if f.name != CORRUPT])
+    envelope = T.StructType().add("data", T.ArrayType(asset)).add(CORRUPT, T.StringType())
+    return _json(spark, path, envelope, multiline).select(CORRUPT, F.inline_outer("data")).select(*schemas.ASSET.names)
 
 
 def read_candles(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
@@ -72,8 +78,21 @@ def read_candles(spark: SparkSession, path: str, whole_files: bool = True) -> Da
     return spark.read.text(path, wholetext=whole_files)
 
 
+def set_aside_candles(payloads: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Payloads that are a list of candles with a time and a close, and all others."""
+    candles = F.from_json(text, "array<array<string>>")
+    whole = F.forall(candles, lambda c: c.isNotNull() & _field(c, "timestamp").isNotNull() & _field(c, "close").isNotNull())
+    good = F.coalesce(whole, F.lit(False))
+    return payloads.filter(good), payloads.filter(~good)
+
+
+def _field(candle: Column, name: str) -> Column:
+    return F.try_element_at(candle, F.lit(CANDLE_FIELDS.index(name) + 1))
+
+
 def parse_candles(payloads: DataFrame, text: str = "value") -> DataFrame:
-    """One row per candle with its twelve fields as text, next to the payload's other columns."""
+    """One row per candle with its twelve fields as text, next to the payload's other columns. Payloads that do
+    not parse have no rows: see :func:`set_aside_candles`."""
     others = [c for c in payloads.columns if c != text]
     candle = F.explode(F.from_json(text, "array<array<string>>")).alias("candle")
     fields: list[Column] = [

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from marketlake.plans.loads import load_facts
+from marketlake.streaming.files import each_new_batch
 
 
 def load_new_files(
@@ -21,28 +22,8 @@ def load_new_files(
 ) -> int:
     """Load the Parquet price files under ``landing`` that no earlier run has seen.
 
-    One call is one scheduled run; the checkpoint replaces the newest-time query. ``to_facts`` turns
-    landed rows into TIME_ID, PAIR_ID, SOURCE_ID, PRICE; it is part of the stream, so that only the
-    columns it needs are read. A batch that is repeated after a failure adds nothing, because the
-    load compares keys. Returns the number of facts added.
+    ``to_facts`` turns landed rows into TIME_ID, PAIR_ID, SOURCE_ID, PRICE. Returns the number of facts added.
     """
-    added = []
-    landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        # A batch is bounded by its number of files, and the load goes over it several times.
-        batch.persist()
-        try:
-            added.append(load_facts(batch.sparkSession, batch, star))
-        finally:
-            batch.unpersist()
-
-    run = (
-        to_facts(landed)
-        .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    return each_new_batch(
+        spark, landing, schema, checkpoint, lambda batch: load_facts(spark, batch, star), to_facts, files_per_batch
     )
-    run.awaitTermination()
-    return sum(added)

@@ -3,15 +3,16 @@
 from pyspark.sql import functions as F
 
 from marketlake.operators import incremental, upsert
-from marketlake.operators.sinks import DAY
+from marketlake.operators.sinks import DAY, current
 from marketlake.plans import loads, star
-from marketlake.schemas import DIM_CATEGORY, PRICE
+from marketlake.schemas import DIM_CATEGORY, DIM_CURRENCY, DIM_PAIR, PRICE
 from marketlake.session import new_folder
+from marketlake.sources import payloads
 from marketlake.sources.literals import literal_rows
 from marketlake.streaming.price_stream import load_new_files
 from registry import bindings as b
-from registry.book import query
-from registry.payloads import ASSETS, EARLIER, MOMENT, quotes
+from registry.book import SQL, query
+from registry.payloads import ASSETS, EARLIER, MOMENT, quote_payloads, quotes
 from registry.quality import WORDS
 from registry.star import _PARTS, _SOURCES, published_sources
 
@@ -21,6 +22,7 @@ TRADES_LOADED = "2000-01-01"
 KEY = ["Timestamp", "Pair_ID", "Source"]
 
 _HIST = """SELECT Price_Hist_ID, Pair_ID, Price, "Timestamp", Source FROM price_hist"""
+_STORED = """SELECT CAST(Pair_ID AS INT) AS Pair_ID, Price, "Timestamp", Source FROM price_hist"""
 
 
 def _until(rows, day):
@@ -116,8 +118,9 @@ def upsert_currency_keep_known(spark, folder):
           row_number() OVER (PARTITION BY k.Currency_ID IS NULL ORDER BY f.Currency_Name))""",
     price=_REPLACED))
 def upsert_currency_new_ids(spark, folder):
-    merged = upsert.upsert(_known(spark, folder), _fresh(spark, folder), "Currency_Name", ["Global_Price_USD"])
-    return upsert.with_new_ids(merged, "Currency_ID", "Currency_Name")
+    return upsert.upsert_with_ids(
+        _known(spark, folder), _fresh(spark, folder), "Currency_Name", ["Global_Price_USD"], "Currency_ID"
+    )
 
 
 @query("""
@@ -198,8 +201,8 @@ def category_rejects(spark, folder):
 # --- whole loads: a part of the prices first, then all of them ------------------------------------------------------------------
 _FACT = f"""+
 dim_source AS ({_SOURCES})
-SELECT h."Timestamp" AS TIME_ID, h.Pair_ID AS PAIR_ID, s.SOURCE_ID, min(h.Price) AS PRICE
-FROM price_hist h JOIN dim_source s ON s.SOURCE_NAME = h.Source GROUP BY ALL"""
+SELECT DISTINCT h."Timestamp" AS TIME_ID, h.Pair_ID AS PAIR_ID, s.SOURCE_ID, h.Price AS PRICE
+FROM price_hist h JOIN dim_source s ON s.SOURCE_NAME = h.Source"""
 
 
 @query(b.sql("price_hist", _FACT))
@@ -232,14 +235,84 @@ def bridge_after_mark(spark, folder):
     return loads.open_fact(spark, home).drop(DAY)
 
 
-@query(b.sql("price_hist", _HIST))
+@query(b.sql("price_hist", _STORED))
 def history_reload(spark, folder):
     home = new_folder(spark, "history")
-    view = "price_hist_" + home[-32:]
     prices = b.price_hist(spark, folder)
-    loads.reload_history(_until(prices, LOADED), home, view)
-    loads.reload_history(prices, home, view)
-    return spark.table(view).drop(DAY)
+    loads.reload_history(_until(prices, LOADED), home)
+    loads.reload_history(prices, home)
+    return loads.open_prices(spark, home).drop(DAY)
+
+
+def _history_bridge(spark, folder):
+    """A part of the history, bridged; then all of it in its place, bridged twice."""
+    home = new_folder(spark, "bridge")
+    prices, pair, currency = b.price_hist(spark, folder), b.pair(spark, folder), b.currency(spark, folder)
+    view = "dim_pair_" + home[-32:]
+    loads.reload_history(_until(prices, LOADED).withColumn("Price", F.col("Price") + 1), home)
+    loads.bridge(spark, pair, currency, home, view)
+    loads.reload_history(prices, home)
+    added = [loads.bridge(spark, pair, currency, home, view) for _ in range(2)]
+    if added[1]:
+        raise AssertionError(f"the second run added {added[1]} facts")
+    return home, view
+
+
+@query(b.sql("price_hist", _FACT))
+def history_bridge(spark, folder):
+    home, _ = _history_bridge(spark, folder)
+    return loads.open_fact(spark, loads.star_folder(spark, home)).drop(DAY)
+
+
+@query(_SOURCES)
+def stored_dim_source(spark, folder):
+    return loads.open_sources(spark, _history_bridge(spark, folder)[0])
+
+
+@query(f"SELECT CAST(PAIR_ID AS INT) AS PAIR_ID, * EXCLUDE (PAIR_ID) FROM ({SQL['dim_pair']})")
+def published_dim_pair(spark, folder):
+    home, view = _history_bridge(spark, folder)
+    return current(spark, view, DIM_PAIR, f"{home}/dim_pair")
+
+
+# Prices without a source or without a time, as a broken feed would give them.
+@query(b.sql("price_hist", """
+SELECT CAST(Pair_ID AS INT) AS Pair_ID, Price, CASE WHEN Pair_ID % 7 <> 0 THEN "Timestamp" END AS "Timestamp",
+       CASE WHEN Pair_ID % 3 <> 0 THEN Source END AS Source
+FROM price_hist"""))
+def delta_null_keys(spark, folder):
+    home = new_folder(spark, "nulls")
+    prices = b.price_hist(spark, folder).withColumns({
+        "Timestamp": F.when(F.col("Pair_ID") % 7 != 0, F.col("Timestamp")),
+        "Source": F.when(F.col("Pair_ID") % 3 != 0, F.col("Source")),
+    })
+    for batch in (prices, prices):
+        loads.append_prices(spark, batch, home)
+    return loads.open_prices(spark, home).drop(DAY)
+
+
+def _stored_categories(spark, folder):
+    home = new_folder(spark, "categories")
+    pair = b.pair(spark, folder).withColumn("Manual_Category", F.concat("Manual_Category", F.lit(" , Other")))
+    categories, currency = literal_rows(spark, DIM_CATEGORY, _CATEGORIES), b.currency(spark, folder)
+    prices = b.price_hist(spark, folder)
+    for part in (_until(prices, LOADED), prices):
+        loads.load_categories(spark, part, pair, currency, categories, home, ("NATION_1", "NATION_2"))
+    return home
+
+
+@query(b.sql("currency pair price_hist", f"""+{_CATEGORY_SQL}
+SELECT DISTINCT p.Pair_Name AS PAIR_NAME, CAST(c.Currency_ID AS INT) AS CURRENCY_ID, h."Timestamp" AS TIME_ID, k.CATEGORY_ID, 1 AS SOURCE_ID, h.Price AS PRICE
+FROM price_hist h JOIN pair p ON h.Pair_ID = p.Pair_ID JOIN currency c ON p.Base_Currency_ID = c.Currency_ID
+JOIN category k ON k.CATEGORY_NAME = trim(string_split(p.Manual_Category || ' , Other', ',')[1])
+WHERE {_WANTED}"""))
+def category_load(spark, folder):
+    return loads.open_fact_pairs(spark, _stored_categories(spark, folder)).drop(DAY)
+
+
+@query(b.sql("currency", "SELECT CAST(Currency_ID AS INT) AS Currency_ID, Currency_Name, Asset_Type FROM currency"))
+def stored_dim_currency(spark, folder):
+    return current(spark, "dim_currency", DIM_CURRENCY, _stored_categories(spark, folder))
 
 
 def _master(spark, folder, moments=(EARLIER, MOMENT)):
@@ -267,23 +340,42 @@ def master_load_prices(spark, folder):
 
 
 @query(b.sql("ticker quote", ASSETS + f"""
-SELECT DISTINCT TIMESTAMP '{MOMENT}' AS TIME_ID, CAST(m.Pair_ID AS BIGINT) AS PAIR_ID, o.SOURCE_ID, o.PRICE
-FROM market m
-JOIN (SELECT symbol, any_value(base) AS base, min(CAST(price AS DECIMAL(20,8))) AS price FROM split GROUP BY symbol) s
-     ON s.symbol = m.Pair_Name
-LEFT JOIN quote q ON q.symbol = s.base,
+, offer AS (SELECT symbol, base, CAST(price AS DECIMAL(20,8)) AS price FROM split)
+SELECT TIMESTAMP '{EARLIER}' AS TIME_ID, CAST(m.Pair_ID AS BIGINT) AS PAIR_ID, 1 AS SOURCE_ID, s.price AS PRICE
+FROM market m JOIN offer s ON s.symbol = m.Pair_Name
+UNION
+SELECT TIMESTAMP '{MOMENT}', m.Pair_ID, o.SOURCE_ID, o.PRICE
+FROM market m JOIN offer s ON s.symbol = m.Pair_Name LEFT JOIN quote q ON q.symbol = s.base,
 LATERAL (SELECT s.price AS PRICE, 1 AS SOURCE_ID UNION ALL SELECT q.Global_Price_USD, 2) o
 WHERE o.PRICE <> 0"""))
 def daily_run(spark, folder):
+    # The master load's prices were never bridged: the first run finds them, the second nothing new.
     home, currency, pair = _master(spark, folder, (EARLIER,))
     for _ in range(2):
         loads.daily_run(
-            spark, b.ticker(spark, folder), quotes(spark, folder), pair, currency, star.seed_sources(spark),
-            home, MOMENT, "dim_pair_" + home[-32:], markets=None,
+            spark, b.ticker(spark, folder), quotes(spark, folder), pair, currency, home, MOMENT,
+            "dim_pair_" + home[-32:], markets=None,
         )
     return loads.open_fact(spark, home).drop(DAY)
 
 
+@query(b.sql("ticker quote", ASSETS + "SELECT * FROM market"))
+def master_load_repeated_payloads(spark, folder):
+    # Quotes and tickers landed in two files each; the older quotes have other prices and no tags.
+    home = new_folder(spark, "landed")
+    payload = F.from_json("value", "struct<data: map<string, struct<tags: array<string>, quote: map<string, struct<price: decimal(30,12)>>>>>")
+    old = F.transform_values(payload["data"], lambda k, v: v.withField("tags", F.lit(None).cast("array<string>")))
+    landed = quote_payloads(spark, folder)
+    landed.select(F.to_json(F.struct(old.alias("data"))).alias("value")).write.text(f"{home}/quotes/a")
+    landed.write.text(f"{home}/quotes/b")
+    quoted = payloads.flatten_quotes(payloads.set_aside(payloads.read_quotes(spark, f"{home}/quotes/*"), "data")[0])
+    tickers = b.ticker(spark, folder)
+    currency_view, pair_view = "currency_" + home[-32:], "pair_" + home[-32:]
+    for moment in (EARLIER, MOMENT):
+        loads.load_master(spark, tickers.unionAll(tickers), quoted, f"{home}/master", currency_view, pair_view, moment, WORDS)
+    return spark.table(pair_view)
+
+
 @query(b.sql("price_hist", _FACT))
 def stream_incremental(spark, folder):
     home = new_folder(spark, "stream")

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from marketlake.functions.temporal import EPOCH, as_of, from_epoch_millis
 from marketlake.functions.values import to_price, try_price
 from marketlake.operators import sinks
+from marketlake.operators.joins import missing_keys
 from marketlake.plans import normalise
 from marketlake.plans.star import unique_metadata
-from marketlake.schemas import PRICE_HIST, TICKER_EXTRACT
+from marketlake.schemas import CORRUPT, PRICE_HIST, TICKER_EXTRACT
 from marketlake.session import new_folder
 from marketlake.sources import files, payloads
 from registry import bindings as b
@@ -15,7 +16,7 @@ from registry.book import query
 from registry.quality import WORDS, categories_sql
 
 
-def _quote_payloads(spark, folder):
+def quote_payloads(spark, folder):
     """One quotes payload per base asset, as the JSON text the API would have given."""
     assets = b.asset_meta(spark, folder).join(
         b.table(spark, folder, "part").select(F.col("p_partkey").alias("id"), "p_retailprice"), "id"
@@ -27,13 +28,13 @@ def _quote_payloads(spark, folder):
 
 
 def quotes(spark, folder):
-    return payloads.parse_quotes(_quote_payloads(spark, folder), "value")
+    return payloads.parse_quotes(quote_payloads(spark, folder), "value")
 
 
 @query(b.sql("quote", "SELECT symbol, array_to_string(tags, '|') AS tags, Global_Price_USD FROM quote"))
 def quotes_flatten(spark, folder):
     landed = new_folder(spark, "quotes")
-    _quote_payloads(spark, folder).write.text(landed)
+    quote_payloads(spark, folder).write.text(landed)
     flat = payloads.flatten_quotes(payloads.read_quotes(spark, landed))
     return flat.select("symbol", F.array_join("Raw_Tags", "|").alias("tags"), "Global_Price_USD")
 
@@ -65,7 +66,26 @@ def ticker_bad_prices(spark, folder):
 def asset_map_files(spark, folder):
     landed = new_folder(spark, "assets")
     b.asset_meta(spark, folder).write.json(landed)
-    return payloads.read_asset_map(spark, landed)
+    return payloads.set_aside(payloads.read_asset_map(spark, landed), "symbol")[0]
+
+
+def _broken_assets(spark, folder):
+    """The asset map as landed, where the lines of one kind of parts break off."""
+    landed = new_folder(spark, "assets")
+    line = F.to_json(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("symbol"), F.col("p_brand").alias("name"), F.col("p_size").alias("rank")))
+    text = F.when(F.col("p_type") == "SMALL", F.concat(F.lit('{"id":'), F.col("p_partkey").cast("string"), F.lit(',"symbol":"'), "p_name")).otherwise(line)
+    b.table(spark, folder, "part").select(text.alias("value")).write.text(landed)
+    return payloads.set_aside(payloads.read_asset_map(spark, landed), "symbol")
+
+
+@query("""SELECT '{"id":' || p_partkey || ',"symbol":"' || p_name AS line FROM part WHERE p_type = 'SMALL'""")
+def asset_map_rejects(spark, folder):
+    return _broken_assets(spark, folder)[1].select(F.col(CORRUPT).alias("line"))
+
+
+@query("""SELECT p_partkey AS id, p_name AS symbol, p_brand AS name, p_size AS "rank" FROM part WHERE p_type <> 'SMALL'""")
+def asset_map_kept(spark, folder):
+    return _broken_assets(spark, folder)[0]
 
 
 def _millis(timestamp):
@@ -96,6 +116,26 @@ def candle_files(spark, folder):
     )
 
 
+@query("""
+SELECT event_type AS symbol, CASE user_id % 3 WHEN 0 THEN 'no list ' || event_id WHEN 1 THEN '{"event":' || event_id || '}'
+       ELSE '[["' || event_id || '"]]' END AS payload
+FROM events WHERE user_id % 5 = 0""")
+def candle_rejects(spark, folder):
+    # Payloads that are no JSON, no list, or a list of candles without a close; the others are whole.
+    name = F.col("event_id").cast("string")
+    broken = F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("no list "), name)).when(
+        F.col("user_id") % 3 == 1, F.concat(F.lit('{"event":'), name, F.lit("}"))
+    ).otherwise(F.concat(F.lit('[["'), name, F.lit('"]]')))
+    whole = F.to_json(F.array(F.array(*[name] * 12)))
+    landed = new_folder(spark, "candles")
+    made = b.table(spark, folder, "events").select(
+        F.col("event_type").alias("symbol"), F.when(F.col("user_id") % 5 == 0, broken).otherwise(whole).alias("value")
+    )
+    made.write.partitionBy("symbol").text(landed)
+    _, bad = payloads.set_aside_candles(payloads.read_candles(spark, landed, whole_files=False))
+    return bad.select("symbol", F.col("value").alias("payload"))
+
+
 @query(b.sql("price_hist", """SELECT Price_Hist_ID, Pair_ID, Price, "Timestamp", Source FROM price_hist"""))
 def staging_roundtrip(spark, folder):
     staged = new_folder(spark, "staging")
@@ -192,6 +232,36 @@ def delta_prices(spark, folder):
     )
 
 
+_LISTED = ("REDPLATEUSDT", "SMALLWIDGETBTC", "HOTPLATEUSDT", "HOTRINGBTC", "LARGERODEUR")
+_DELTA = """
+SELECT m.Pair_ID, TIMESTAMP '2026-02-16 10:58:15' AS "Timestamp", o.Price, o.Source
+FROM market m JOIN (
+    SELECT symbol, CAST(price AS DECIMAL(20,8)) AS Price, 'Binance' AS Source FROM split WHERE {landed}
+    UNION ALL
+    SELECT p.symbol, q.Global_Price_USD, 'CoinMarketCap'
+    FROM (SELECT DISTINCT symbol, base FROM split) p JOIN quote q ON q.symbol = p.base) o ON o.symbol = m.Pair_Name
+WHERE o.Price <> 0 AND {listed}"""
+
+
+@query(b.sql("ticker quote", ASSETS + _DELTA.format(landed="true", listed=f"m.Pair_Name IN {_LISTED}")))
+def delta_prices_listed_markets(spark, folder):
+    return normalise.delta_prices(b.ticker(spark, folder), quotes(spark, folder), _pair(spark, folder), MOMENT, _LISTED)
+
+
+@query(b.sql("ticker quote", ASSETS + _DELTA.format(landed="id % 4 = 0", listed="true")))
+def delta_prices_missing_tickers(spark, folder):
+    # Most markets have no ticker in this run: they get the reference price only.
+    landed = b.ticker(spark, folder).filter("id % 4 = 0")
+    return normalise.delta_prices(landed, quotes(spark, folder), _pair(spark, folder), MOMENT, markets=None)
+
+
+@query(b.sql("ticker", "SELECT DISTINCT symbol FROM ticker WHERE symbol NOT IN (SELECT symbol FROM ticker WHERE id % 10 = 0)"))
+def unknown_symbols(spark, folder):
+    tickers = b.ticker(spark, folder)
+    known = normalise.split_symbols(tickers.filter("id % 10 = 0")).select("symbol").distinct()
+    return missing_keys(tickers, known, "symbol")
+
+
 @query(b.sql("price_hist", """
 SELECT e.user_id AS Pair_ID, date_trunc('millisecond', e.ts) AS "Timestamp", CAST(e.value AS DECIMAL(20,8)) AS Price
 FROM events e JOIN customer c ON c.c_custkey = e.user_id"""))

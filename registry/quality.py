@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from marketlake.functions.classify import asset_type, primary_category, tag_categories
+from marketlake.functions.classify import asset_type, category_or_default, primary_category, tag_categories
 from marketlake.functions.symbols import base_of, quote_of
 from marketlake.operators import constraints, profile
 from marketlake.operators.joins import missing_keys
@@ -127,6 +127,37 @@ def symbol_split_every_occurrence(spark, folder):
     )
 
 
+_REPEATED = """
+SELECT id, symbol, {base} AS base, quote FROM (
+    SELECT id, 'AUSDTB' || symbol || quote AS symbol, quote FROM (
+        SELECT id, symbol, CASE WHEN symbol LIKE '%USDT' THEN 'USDT' WHEN symbol LIKE '%BTC' THEN 'BTC' END AS quote FROM ticker)
+    WHERE quote IS NOT NULL)"""
+
+
+def _repeated_suffixes(spark, folder, every_occurrence):
+    tickers = b.ticker(spark, folder).filter("symbol LIKE '%USDT' OR symbol LIKE '%BTC'")
+    longer = tickers.select("id", F.concat(F.lit("AUSDTB"), "symbol", quote_of(F.col("symbol"))).alias("symbol"))
+    symbol = F.col("symbol")
+    return longer.select("id", symbol, base_of(symbol, every_occurrence).alias("base"), quote_of(symbol).alias("quote"))
+
+
+@query(b.sql("ticker", _REPEATED.format(base="replace(symbol, quote, '')")))
+def symbol_split_repeated_suffix_all(spark, folder):
+    return _repeated_suffixes(spark, folder, True)
+
+
+@query(b.sql("ticker", _REPEATED.format(base="left(symbol, length(symbol) - length(quote))")))
+def symbol_split_repeated_suffix_end(spark, folder):
+    return _repeated_suffixes(spark, folder, False)
+
+
+@query("""
+SELECT c_custkey AS Pair_ID, coalesce(CASE WHEN c_nationkey % 3 <> 0 THEN c_mktsegment END, 'To be defined') AS category FROM customer""")
+def category_default(spark, folder):
+    given = F.when(F.col("c_nationkey") % 3 != 0, F.col("c_mktsegment"))
+    return b.table(spark, folder, "customer").select(F.col("c_custkey").alias("Pair_ID"), category_or_default(given).alias("category"))
+
+
 @query("""
 SELECT p_partkey AS id, CASE WHEN p_type IN ('PROMO', 'STANDARD') THEN 'stablecoin'
        WHEN p_type IN ('ECONOMY', 'LARGE', 'MEDIUM') THEN 'crypto' ELSE 'token' END AS asset_type

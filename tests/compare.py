@@ -28,6 +28,12 @@ def rows_of(names, rows):
     return [names[i] for i in order], sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+def in_order(names, rows):
+    """Like ``rows_of``, in the order in which the rows came."""
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return [names[i] for i in order], [tuple(_plain(row[i]) for i in order) for row in rows]
+
+
 def spark_rows(frame):
     return rows_of(frame.columns, [tuple(r) for r in frame.collect()])
 

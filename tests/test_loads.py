@@ -1,6 +1,7 @@
 """Loads that run twice, fail half-way, or get their rows late."""
 
 import json
+import os
 import re
 from datetime import datetime
 from decimal import Decimal
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake import jobs, schemas
-from marketlake.operators import sinks
+from marketlake.operators import sinks, upsert
 from marketlake.operators.incremental import at_or_before_mark, high_water_mark
 from marketlake.plans import loads, normalise, reports, star
 from marketlake.session import build_session, new_folder, shared_folder
@@ -38,6 +39,7 @@ def test_late_rows_and_ties(spark):
     assert loads.load_facts(spark, facts(spark, FACTS[-1:]), home) == 1  # the one at :16
     table = loads.open_fact(spark, home)
     assert high_water_mark(table, "TIME_ID") == high_water_mark(table, "TIME_ID", sinks.DAY) == at(16)
+    assert high_water_mark(table, "TIME_ID", sinks.DAY, f"{home}/fact_price") == at(16)
     late = at_or_before_mark(facts(spark, FACTS), table, schemas.FACT_KEY, at(16), "TIME_ID")
     assert pairs_in(late) == [1, 2, 3]
 
@@ -63,17 +65,42 @@ def test_a_load_that_stopped_after_the_times_is_finished_by_the_next(spark):
     assert loads.open_dim_time(spark, home).count() == 3
 
 
-def test_repeated_key_in_a_batch_is_one_fact(spark):
+def test_every_distinct_price_is_a_fact(spark):
     home = new_folder(spark, "test")
-    assert loads.load_facts(spark, facts(spark, [(15, 1, "2"), (15, 1, "1"), (15, 2, "3")]), home) == 2
-    assert loads.load_facts(spark, facts(spark, [(15, 1, "0.5")]), home) == 0
-    assert sorted(r.PRICE for r in loads.open_fact(spark, home).collect()) == [Decimal(1), Decimal(3)]
+    assert loads.load_facts(spark, facts(spark, [(15, 1, "2"), (15, 1, "1"), (15, 1, "2"), (15, 2, "3")]), home) == 3
+    assert loads.load_facts(spark, facts(spark, [(15, 1, "0.5"), (15, 1, "1")]), home) == 1
+    assert sorted(r.PRICE for r in loads.open_fact(spark, home).collect()) == [Decimal("0.5"), Decimal(1), Decimal(2), Decimal(3)]
+
+
+def test_null_keys_are_loaded_once(spark):
+    home = new_folder(spark, "test")
+    rows = [(1, "5", str(at(1)), None), (1, "5", None, "a"), (2, "6", None, None), (2, "6", str(at(1)), "a")]
+    prices = literal_rows(spark, schemas.PRICES, rows)
+    assert [loads.append_prices(spark, prices, home) for _ in range(2)] == [4, 0]
+    assert loads.append_prices(spark, prices.filter("Timestamp IS NULL"), home) == 0
+    assert [loads.bridge_prices(spark, home) for _ in range(2)] == [4, 0]
+    sources = {r.SOURCE_NAME: r.SOURCE_ID for r in loads.open_sources(spark, home).collect()}
+    assert sources == {"Binance": 1, "CoinMarketCap": 2, "a": 3, star.UNKNOWN_SOURCE: 4}
+    found = sorted((r.PAIR_ID, r.SOURCE_ID, str(r.TIME_ID)) for r in loads.open_fact(spark, home).collect())
+    assert found == [(1, 3, "None"), (1, 4, str(at(1))), (2, 3, str(at(1))), (2, 4, "None")]
+
+
+def test_no_price_is_left_out_for_its_source(spark):
+    rows = [(1, "5", str(at(1)), "Binance"), (1, "6", str(at(2)), "other"), (1, "7", str(at(3)), None)]
+    facts_ = star.fact_price(literal_rows(spark, schemas.PRICES, rows), star.seed_sources(spark)).collect()
+    assert sorted((r.PRICE, r.SOURCE_ID) for r in facts_) == [(Decimal(5), 1), (Decimal(6), None), (Decimal(7), None)]
+
+
+def test_a_report_of_an_empty_table_is_empty(spark):
+    prices = sinks.open_by_day(spark, new_folder(spark, "test"), schemas.PRICE_HIST)
+    pair = no_rows(spark, schemas.PAIR)
+    assert reports.latest_against_reference(prices, pair, no_rows(spark, schemas.CURRENCY), 5, day=sinks.DAY).collect() == []
 
 
 def test_only_the_days_of_the_batch_are_read(spark, capsys):
     home = new_folder(spark, "test")
     loads.load_facts(spark, facts(spark, FACTS), home)
-    fresh = loads.not_loaded(facts(spark, FACTS), loads.open_fact(spark, home), schemas.FACT_KEY, "TIME_ID", sinks.DAY)
+    fresh = loads.not_loaded(facts(spark, FACTS), loads.open_fact(spark, home), schemas.FACT_KEY[:3], "TIME_ID", sinks.DAY)
     fresh.explain()
     scan = next(line for line in capsys.readouterr().out.splitlines() if "FileScan" in line and "event_date" in line)
     assert "event_date" in scan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
@@ -120,12 +147,23 @@ def test_publish_switches_only_after_all_writes(spark):
 
 def test_reload_replaces_and_keeps_repeats_unless_asked(spark):
     folder = new_folder(spark, "test")
-    view = "history_" + folder[-8:]
     rows = [(1, "5", str(at(1)), "a"), (1, "4", str(at(1)), "b"), (2, "3", str(at(1)), "a")]
     history = literal_rows(spark, schemas.PRICES, rows)
-    assert loads.reload_history(history, folder, view) == 3
-    assert loads.reload_history(history, folder, view) == 3 and spark.table(view).count() == 3
-    assert loads.reload_history(history, folder, view, one_per_time=True) == 2
+    assert loads.reload_history(history, folder) == 3
+    assert loads.reload_history(history, folder) == 3 and loads.open_prices(spark, folder).count() == 3
+    assert loads.reload_history(history, folder, one_per_time=True) == 2
+
+
+def test_a_reload_replaces_the_facts(spark):
+    home = new_folder(spark, "test")
+    old = literal_rows(spark, schemas.PRICES, [(1, "5", str(at(1)), "a"), (2, "3", str(at(1)), "a")])
+    new = literal_rows(spark, schemas.PRICES, [(1, "6", str(at(1)), "a"), (2, "3", str(at(1)), "a")])
+    loads.append_prices(spark, old, home)
+    assert loads.bridge_prices(spark, home) == 2
+    loads.reload_history(new, home)
+    assert [loads.bridge_prices(spark, home) for _ in range(2)] == [2, 0]
+    found = loads.open_fact(spark, loads.star_folder(spark, home)).collect()
+    assert sorted((r.PAIR_ID, r.PRICE) for r in found) == [(1, Decimal(6)), (2, Decimal(3))]
 
 
 def test_staging_and_append(spark):
@@ -213,8 +251,7 @@ def test_master_load_and_scheduled_run(spark):
     tickers, quotes = landed(spark)
     for added in (7 + 6, 0):
         assert loads.daily_run(
-            spark, tickers, quotes, spark.table(pair), spark.table(currency), star.seed_sources(spark), home, at(30),
-            view="dim_pair_" + home[-8:],
+            spark, tickers, quotes, spark.table(pair), spark.table(currency), home, at(30), view="dim_pair_" + home[-8:]
         ) == added
     names = {r.Pair_ID: r.Pair_Name for r in spark.table(pair).collect()}
     got = sorted((names[r.PAIR_ID], r.SOURCE_ID, r.PRICE) for r in loads.open_fact(spark, home).filter(F.col("TIME_ID") == F.lit(str(at(30))).cast("timestamp_ntz")).collect())
@@ -269,16 +306,32 @@ def test_stream_survives_a_failed_run_and_skips_seen_files(spark, monkeypatch):
 
 
 # --- the jobs ---------------------------------------------------------------------------------
-def test_jobs_from_landed_files_to_exports(spark, tmp_path):
-    (tmp_path / "tickers.json").write_text(json.dumps([{"symbol": s, "price": p} for s, p in TICKERS]))
-    data = {s: {"tags": t, "quote": {"USD": {"price": p and float(p)}}} for s, t, p in QUOTES}
-    (tmp_path / "quotes.json").write_text(json.dumps({"data": data}))
+@pytest.fixture
+def payload_files(spark, tmp_path):
+    """Landed payloads, a home folder, and the options that name the payloads."""
+    def quote_file(name, quotes):
+        data = {s: {"tags": t, "quote": {"USD": {"price": p and float(p)}}} for s, t, p in quotes}
+        (tmp_path / name).write_text(json.dumps({"data": data}))
+
+    (tmp_path / "tickers").mkdir()
+    (tmp_path / "quotes").mkdir()
+    (tmp_path / "tickers" / "a.json").write_text(json.dumps([{"symbol": s, "price": p} for s, p in TICKERS]))
+    quote_file("quotes/a.json", QUOTES)
     (tmp_path / "candles" / "symbol=ETHBTC").mkdir(parents=True)
     candles = [[1704067200000 + d * 86_400_000, *["1"] * 3, f"0.0{d + 1}", "1", 1704153599999, *["1"] * 5] for d in range(3)]
     (tmp_path / "candles" / "symbol=ETHBTC" / "c.json").write_text(json.dumps(candles))
-    home, landed_files = new_folder(spark, "test"), ["--tickers", str(tmp_path / "tickers.json"), "--quotes", str(tmp_path / "quotes.json")]
+    landed_files = ["--tickers", str(tmp_path / "tickers"), "--quotes", str(tmp_path / "quotes")]
+    return tmp_path, new_folder(spark, "test"), landed_files, quote_file
+
+
+def facts_of(spark, home):
+    return loads.open_fact(spark, loads.star_folder(spark, home))
 
-    assert jobs.run(["master", *landed_files, "--home", home]) == 4
+
+def test_jobs_from_landed_files_to_exports(spark, payload_files):
+    tmp_path, home, landed_files, _ = payload_files
+    moment = ["--moment", "2019-12-31 00:00:00"]
+    assert [jobs.run(["master", *landed_files, "--home", home, *moment]) for _ in range(2)] == [4, 0]
     given = ["--candles", str(tmp_path / "candles"), "--home", home]
     for added in (3, 0):
         assert jobs.run(["backfill", *given]) == added
@@ -287,20 +340,107 @@ def test_jobs_from_landed_files_to_exports(spark, tmp_path):
         assert jobs.run(["history", *given]) == 3
     assert loads.open_prices(spark, home).count() == 3
     assert jobs.run(["backfill", *given]) == 0
-    for added in (6, 0):
+    for added in (3 + 6, 0):
         assert jobs.run(["daily", *landed_files, "--home", home, "--moment", "2020-01-01 00:00:00"]) == added
+    assert jobs.run(["bridge", "--home", home]) == 0
     jobs.run(["export", "--home", home, "--to", str(tmp_path / "out")])
     out = files.read_star_export(spark, str(tmp_path / "out"))
     assert out["fact_pairs"].count() == 3 + 6
     assert out["dim_time"].count() == 3 + 1 and out["dim_currency"].count() == 4
+    (tmp_path / "categories.csv").write_text("CATEGORY_ID,CATEGORY_NAME\n1,To be defined\n")
+    assert [jobs.run(["categories", "--categories", str(tmp_path / "categories.csv"), "--home", home]) for _ in range(2)] == [2, 0]
+    (tmp_path / "assets.json").write_text('{"id": 1, "symbol": "ETH", "name": "Ether", "rank": 2}\n{"id": 2, "sym')
+    assert jobs.run(["stage", "--assets", str(tmp_path / "assets.json"), "--home", home, "--to", str(tmp_path / "staged")]) == 9
+    assert spark.read.parquet(f"{home}/rejects/stage/assets").count() == 1
     with pytest.raises(SystemExit):
         jobs.run(["daily", "--home", home])
 
 
+def test_master_history_and_a_failed_day_are_all_bridged(spark, payload_files, monkeypatch):
+    tmp_path, home, landed_files, _ = payload_files
+    day = lambda d: ["daily", *landed_files, "--home", home, "--moment", f"2026-03-0{d} 00:00:00"]
+    assert jobs.run(["master", *landed_files, "--home", home, "--moment", "2026-03-01 00:00:00"]) == 4
+    assert jobs.run(["backfill", "--candles", str(tmp_path / "candles"), "--home", home]) == 3
+    assert jobs.run(day(2)) == 4 + 3 + 6
+    with monkeypatch.context() as patch:
+        patch.setattr(loads, "load_facts", lambda *args: 1 / 0)
+        with pytest.raises(Exception, match="division by zero"):
+            jobs.run(day(3))
+    assert jobs.run(day(4)) == 6 + 6
+    assert facts_of(spark, home).count() == loads.open_prices(spark, home).count() == 7 + 18
+
+
+def test_payloads_that_landed_twice_give_one_row_per_name(spark, payload_files):
+    tmp_path, home, landed_files, quote_file = payload_files
+    (tmp_path / "tickers" / "b.json").write_text((tmp_path / "tickers" / "a.json").read_text())
+    quote_file("quotes/b.json", [("BTC", ["defi"], "76000")])
+    os.utime(tmp_path / "quotes" / "a.json", (1, 1))
+    for moment in ("2026-03-01 00:00:00", "2026-03-02 00:00:00"):
+        jobs.run(["master", *landed_files, "--home", home, "--moment", moment])
+        currency = sinks.current(spark, "currency", schemas.CURRENCY, home).collect()
+        assert sorted(r.Currency_Name for r in currency) == ["ADA", "BTC", "ETH", "USDT"]
+        assert {r.Currency_Name: r.Global_Price_USD for r in currency}["BTC"] == Decimal(76000)
+        assert sinks.current(spark, "pair", schemas.PAIR, home).count() == 4
+
+
+def test_an_upsert_refuses_repeated_keys(spark):
+    existing = spark.createDataFrame([(1, "a", 1)], "id int, name string, x int")
+    for names in (["a", "a"], ["b", "b"]):
+        incoming = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, x int")
+        with pytest.raises(Exception, match="more than one incoming row"):
+            upsert.upsert(existing, incoming, "name", ["x"]).collect()
+        with pytest.raises(Exception, match="more than one incoming row"):
+            upsert.upsert_with_ids(existing, incoming, "name", ["x"], "id").collect()
+
+
+def test_what_a_run_leaves_out_is_kept_and_counted(spark, payload_files, capsys):
+    tmp_path, home, landed_files, quote_file = payload_files
+    jobs.run(["master", *landed_files, "--home", home, "--moment", "2026-03-01 00:00:00"])
+    before = sorted(sinks.current(spark, "currency", schemas.CURRENCY, home).collect())
+    (tmp_path / "tickers" / "bad.json").write_text('{"symbol": "ETH\n{"price": "2.0"}\n')
+    (tmp_path / "tickers" / "new.json").write_text('{"symbol": "DOTUSDT", "price": "2.0"}\n')
+    (tmp_path / "candles" / "symbol=XRPBTC").mkdir()
+    (tmp_path / "candles" / "symbol=XRPBTC" / "c.json").write_text('[["1704067200000", "1", "1", "1", "1"]]')
+    (tmp_path / "candles" / "symbol=ETHBTC" / "bad.json").write_text("{broken")
+    capsys.readouterr()
+    jobs.run(["daily", *landed_files, "--home", home, "--moment", "2026-03-02 00:00:00"])
+    jobs.run(["history", "--candles", str(tmp_path / "candles"), "--home", home])
+    daily, history = capsys.readouterr().out.strip().splitlines()
+    assert "2 tickers" in daily and "0 quotes" in daily and "1 unknown_symbols" in daily
+    assert "1 candles," in history and "1 unknown_symbols" in history and "3 candles of ETHBTC" in history
+    assert [r.symbol for r in spark.read.parquet(f"{home}/rejects/daily/unknown_symbols").collect()] == ["DOTUSDT"]
+    assert [r.value for r in spark.read.parquet(f"{home}/rejects/history/candles").collect()] == ["{broken"]
+    # Quotes that were written over several lines do not parse by line: nothing is loaded, prices stay.
+    (tmp_path / "quotes" / "a.json").write_text(json.dumps({"data": {"BTC": {"tags": ["defi"]}}}, indent=1))
+    with pytest.raises(SystemExit, match="none could be parsed"):
+        jobs.run(["master", *landed_files, "--home", home])
+    assert sorted(sinks.current(spark, "currency", schemas.CURRENCY, home).collect()) == before
+
+
+def test_jobs_leave_no_intermediate_folder(spark, payload_files):
+    tmp_path, home, landed_files, _ = payload_files
+    work = shared_folder(spark).removeprefix("file:") + "/marketlake"
+    before = set(os.listdir(work)) if os.path.isdir(work) else set()
+    jobs.run(["master", *landed_files, "--home", home, "--markets", "all", "--shuffle-bytes", "1000"])
+    jobs.run(["daily", *landed_files, "--home", home, "--markets", "FOOUSDT"])
+    after = set(os.listdir(work)) - {os.path.basename(home)}
+    assert after <= before
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sinks.current(spark, "pair", schemas.PAIR, home).filter("Pair_Name = 'FOOUSDT'").count() == 1
+    assert facts_of(spark, home).count() == 5 + 1
+
+
 # --- settings ---------------------------------------------------------------------------------
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        assert shared_folder(spark) == configured
+    assert shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir())
     assert new_folder(spark, "x") != new_folder(spark, "x")
     assert build_session() is not None and spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_without_a_shared_folder_nothing_is_written(spark, monkeypatch):
+    if spark.conf.get("spark.checkpoint.dir", None):
+        pytest.skip("the session names a folder")
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(spark)

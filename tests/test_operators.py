@@ -101,7 +101,7 @@ def test_new_ids_leave_known_ones_alone(spark):
 def test_sources_keep_their_ids(spark):
     prices = spark.createDataFrame([("Binance",), ("Kraken",), (None,), ("Kraken",)], "Source string")
     got = star.dim_source(star.seed_sources(spark), prices)
-    assert rows(got) == [(1, "Binance"), (2, "CoinMarketCap"), (3, "Kraken")]
+    assert rows(got) == [(1, "Binance"), (2, "CoinMarketCap"), (3, "Kraken"), (4, star.UNKNOWN_SOURCE)]
 
 
 # --- incremental ------------------------------------------------------------------------------

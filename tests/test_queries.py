@@ -6,7 +6,7 @@ import pytest
 
 import registry
 from marketlake.operators import incremental, joins, profile
-from compare import open_tables, spark_rows, sql_rows
+from compare import in_order, open_tables, spark_rows, sql_rows
 
 FOLDER = "/root/testdata/sf0.01"
 # Python in the data path, rows held by the driver, and joins of everything with everything.
@@ -34,6 +34,21 @@ def test_query_matches_sql(spark, database, capsys, name):
     assert rows == expected
 
 
+ORDERED = sorted(n for n, sql in registry.SQL.items() if re.search(r"ORDER BY [^()]*(\(20,8\)\))?[^()]*$", sql))
+
+
+def test_reports_are_among_the_ordered_queries():
+    assert {"pairs_by_category", "linked_prices", "dollar_quotes", "price_vs_reference", "highest_prices"} <= set(ORDERED)
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_order_is_that_of_the_sql(spark, database, name):
+    frame = registry.QUERIES[name](spark, FOLDER)
+    result = database.execute(registry.SQL[name])
+    expected = in_order([c[0] for c in result.description], result.fetchall())
+    assert in_order(frame.columns, [tuple(r) for r in frame.collect()]) == expected
+
+
 @pytest.mark.parametrize("name", [
     "star_enriched", "star_enriched_trades", "linked_prices", "category_facts", "category_rejects",
     "duplicate_profile", "delta_by_key", "normalised_price",

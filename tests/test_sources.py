@@ -56,8 +56,12 @@ def test_asset_map_with_and_without_envelope(spark, tmp_path):
     (tmp_path / "list.json").write_text(json.dumps(assets))
     (tmp_path / "env.json").write_text(json.dumps({"data": assets}))
     expected = [(1, "BTC", "Bitcoin", 1), (9, "BTC", "Other", None)]
-    assert sorted(map(tuple, payloads.read_asset_map(spark, str(tmp_path / "list.json")).collect()), key=str) == expected
-    assert sorted(map(tuple, payloads.read_asset_map(spark, str(tmp_path / "env.json"), enveloped=True).collect()), key=str) == expected
+    (tmp_path / "broken.json").write_text('{"data": [{"id": 1}\n')
+    for name, enveloped in (("list", False), ("env", True)):
+        for broken in (0, 1):
+            paths = str(tmp_path / f"{name}.json") if not broken else str(tmp_path / "{" f"{name},broken" "}.json")
+            good, bad = payloads.set_aside(payloads.read_asset_map(spark, paths, enveloped), "symbol")
+            assert sorted(map(tuple, good.collect()), key=str) == expected and bad.count() == broken
 
 
 def test_candles_to_history(spark, tmp_path):
