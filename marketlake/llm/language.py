@@ -132,36 +132,44 @@ def distance(grams: np.ndarray, ranks: np.ndarray, profile: tuple[np.ndarray, np
     return float(apart.mean()) / length
 
 
-def predict(docs: DataFrame, profiles: dict[str, tuple[np.ndarray, np.ndarray]], columns: list[str], length: int = PROFILE_LENGTH) -> DataFrame:
-    """The given columns, lang_pred and score (1 less the distance to the nearest profile) of every text."""
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
-    langs = list(profiles)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-
-    def predicted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        letters, known = Letters(), [shared.value[x] for x in langs]
-        for frame in frames:
-            found, scores = [], []
-            for text in frame.pop("_text"):
+def predictor(profiles: dict[str, tuple[np.ndarray, np.ndarray]], length: int = PROFILE_LENGTH):
+    """A column function of a text: struct of lang_pred and score (1 less the distance to the nearest profile)."""
+    langs, known = list(profiles), list(profiles.values())
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        letters = Letters()
+        for texts in batches:
+            found, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            for k, text in enumerate(texts):
                 grams, counts = letters.counts(text or "")
-                if not len(grams) or not langs:
-                    found.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                grams, ranks = text_profile(grams.astype(np.int64), counts, length)
-                apart = [distance(grams, ranks, x, length) for x in known]
-                best = int(np.argmin(apart))
-                found.append(langs[best])
-                scores.append(max(0.0, 1.0 - apart[best]))
-            yield frame.assign(lang_pred=found, score=scores)
+                if len(grams) and langs:
+                    grams, ranks = text_profile(grams.astype(np.int64), counts, length)
+                    apart = [distance(grams, ranks, x, length) for x in known]
+                    best = int(np.argmin(apart))
+                    found[k], scores[k] = langs[best], max(0.0, 1.0 - apart[best])
+            yield pd.DataFrame({"lang_pred": found, "score": scores})
+
+    return predicted
 
-    return docs.select(*columns, F.col("text").alias("_text")).mapInPandas(predicted, f"{kinds}, lang_pred string, score double")
+
+def learned(docs: DataFrame, length: int = PROFILE_LENGTH):
+    """The predictor learned from all documents (doc_id, text, lang) that are not held out."""
+    rows = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    return predictor(collect_profiles(learn_profiles(rows, length)), length)
 
 
 def identify(docs: DataFrame, length: int = PROFILE_LENGTH) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document; learned from those that are not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    kept = rows.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    profiles = collect_profiles(learn_profiles(kept, length))
-    flagged = rows.withColumn("held_out", held_out(F.col("doc_id")))
-    return predict(flagged, profiles, ["doc_id", "held_out"], length)
+    found = learned(rows, length)(F.col("text"))
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), found.alias("found")).select(
+        "doc_id", "held_out", "found.lang_pred", "found.score"
+    )
+
+
+def identified(docs: DataFrame, least_score: float, length: int = PROFILE_LENGTH) -> DataFrame:
+    """The documents, with all their columns, whose text is in a known language with at least this score."""
+    found = learned(docs.select("doc_id", "text", "lang"), length)(F.col("text"))
+    sure = (F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.score") >= least_score)
+    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"), found.alias("_found")).filter(sure).select("_row.*")
