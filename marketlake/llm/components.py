@@ -11,20 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.skew import apart
 from marketlake.session import stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("least"))
+    least = apart(both.groupBy("a").agg(F.min("b").alias("least")), "a")
     larger = both.filter("b > a").join(least, "a")
     return larger.select(F.col("b").alias("a"), F.least("a", "least").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of these; all edges have a > b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    least = apart(edges.groupBy("a").agg(F.min("b").alias("least")), "a")
     moved = edges.join(least, "a").filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(least.withColumnRenamed("least", "b")).distinct()
 

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.components import components
+from marketlake.llm.skew import apart
 from marketlake.session import stored
 
 SIMILARITY = 0.98
@@ -203,7 +204,7 @@ def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, tile_rows:
         .select("node", "first_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("group")),
         "groups",
     )
-    least = named.groupBy("group").agg(F.min("first_id").alias("component_id"))
+    least = apart(named.groupBy("group").agg(F.min("first_id").alias("component_id")), "group")
     owner = named.join(least, "group").select("node", "n_links", "component_id")
     return (
         rows.select("vec_id", "node").join(owner, "node", "left")

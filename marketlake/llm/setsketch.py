@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.components import components
+from marketlake.llm.skew import apart
 from marketlake.llm.words import SHINGLE_WORDS, mixed, shingle_set
 from marketlake.session import stored
 
@@ -95,22 +96,24 @@ def joint_estimate(
 
 
 def sketches(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, n_shingles, set_key (a digest of the set) and registers of every document."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("registers", pa.binary())])
+    """doc_id, text_key, n_shingles, set_key (a digest of the set) and registers of every document."""
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("registers", pa.binary()),
+    ])
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, rows = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 items = shingle_set(text.as_py(), shingle_words)
                 sizes.append(len(items))
                 keys.append(blake2b(items.tobytes(), digest_size=16).digest() if len(items) else None)
                 rows.append(registers(items).astype("<u2").tobytes() if len(items) else None)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())]
+            columns = [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        sketched, "doc_id long, n_shingles long, set_key binary, registers binary"
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        sketched, "doc_id long, text_key long, n_shingles long, set_key binary, registers binary"
     )
 
 
@@ -137,7 +140,8 @@ def _near_enough(threshold: float):
 def _ties(classes: DataFrame, similarity: int) -> DataFrame:
     """a, b: every node of a bucket with the bucket's smallest, once for all buckets."""
     banded = classes.select("set_key", F.explode(band_keys()).alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("set_key").alias("a"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    buckets = banded.groupBy("band").agg(F.min("set_key").alias("a"), F.count(F.lit(1)).alias("size"))
+    buckets = apart(buckets.filter("size > 1"), "band")
     ties = stored(
         banded.withColumnRenamed("set_key", "b").join(buckets, "band").filter("a != b")
         .groupBy("a", "b").agg(F.max("size").alias("size")),
@@ -192,7 +196,8 @@ def linked(names: list, sketch: np.ndarray, sets: list[np.ndarray], left: np.nda
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id that links reach), kept (whether it is the own id)."""
+    """doc_id, n_shingles, component_id (the smallest id that links reach), kept (whether it is the own id), and
+    text_key (a hash of the text, which tells rows of one id apart)."""
     rows = stored(sketches(docs, shingle_words), "sketches")
     classes = stored(
         rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key")
@@ -204,6 +209,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words
     deal = members.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.col("n_shingles") * 8).alias("bytes")).select(
         "component", F.ceil(F.greatest(F.col("nodes") / TILE_NODES, F.col("bytes") / TILE_BYTES)).cast("int").alias("tiles")
     )
+    deal = apart(deal, "component")
     # Ids that are repeated with other texts are told apart by the digest; copies are dropped.
     wanted = members.join(deal, "component").select("set_key", "component", "tiles", "registers", F.col("first_id").alias("doc_id"))
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id")
@@ -245,10 +251,31 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words
 def _with_components(rows: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
     named = classes.select("set_key", "first_id").join(groups.withColumnRenamed("node", "set_key"), "set_key", "left")
     named = stored(named.select("set_key", "first_id", F.coalesce("component", "set_key").alias("group")), "groups")
-    least = named.groupBy("group").agg(F.min("first_id").alias("component_id"))
+    least = apart(named.groupBy("group").agg(F.min("first_id").alias("component_id")), "group")
     owner = named.join(least, "group").select("set_key", "component_id")
-    found = rows.select("doc_id", "n_shingles", "set_key").join(owner, "set_key", "left")
+    found = rows.select("doc_id", "text_key", "n_shingles", "set_key").join(owner, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), "text_key").withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def without_near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """One document of each group, that of the smallest id, with all columns. Of rows that repeat this id in the
+    group one stays; rows with a null id, which link with nothing, all stay."""
+    found = stored(near_duplicates(docs, similarity, shingle_words), "near")
+    gone = found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
+    same = (F.col("_row.doc_id").cast("long") == F.col("_id")) & (F.xxhash64("_row.text") == F.col("_text"))
+    left = rows.join(gone, same, "left_anti")
+    again = found.filter("kept and doc_id is not null").groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("rows"))
+    again = stored(again.filter("rows > 1").select(F.col("doc_id").alias("_id")).distinct(), "repeated")
+    if again.isEmpty():
+        return left.select("_row.*")
+    repeats = F.col("_row.doc_id").cast("long") == F.col("_id")
+    # Kept rows of one id are copies or near copies of each other, or of other groups: told apart by their component.
+    group = found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), "component_id", "n_shingles").distinct()
+    named = left.join(again, repeats, "left_semi").join(group, same)
+    grouped = F.when(F.col("n_shingles") > 0, F.lit(0)).otherwise(F.col("_text"))  # texts without words are no group
+    one = named.withColumn("_group", grouped).dropDuplicates(["_id", "component_id", "_group"])
+    return left.join(again, repeats, "left_anti").unionByName(one.select("_row")).select("_row.*")
