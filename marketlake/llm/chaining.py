@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.skew import apart
 from marketlake.llm.words import gram_hashes, word_bounds, word_hashes
 from marketlake.session import stored
 
@@ -81,7 +82,7 @@ def matches(table: DataFrame) -> DataFrame:
         table.groupBy("gram").agg(F.min(F.struct("doc", "place")).alias("first"), F.max("doc").alias("last"))
         .filter("last > first.doc").select("gram", F.col("first.doc").alias("owner"), F.col("first.place").alias("owner_place"))
     )
-    return table.join(owners, "gram").filter("doc != owner").select("doc", "owner", "place", "owner_place")
+    return table.join(apart(owners, "gram"), "gram").filter("doc != owner").select("doc", "owner", "place", "owner_place")
 
 
 class Fenwick:
