@@ -152,7 +152,7 @@ class Scanner:
             if len(seen) > most:
                 break
             dice = 2 * len(shared) / (len(seen) + len(own))
-            if dice >= self.threshold and (best is None or dice > best[0]):
+            if dice >= self.threshold and (best is None or dice >= best[0]):  # the longest of equals
                 best = dice, start, place
         return best
 

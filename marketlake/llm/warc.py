@@ -174,7 +174,7 @@ def salvage_plain(data: bytes, base: int = 0) -> Iterator[Record]:
         except Damaged as found:
             if gap is None:
                 gap, reason = place, str(found)
-            following = re.compile(rb"(?<=\n)" + _VERSION.pattern).search(data, place + 1)
+            following = _VERSION.search(data, place + 1)
             place = following.start() if following else len(data)
             continue
         if gap is not None:
