@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 QUOTE_SUFFIXES = ("USDT", "BTC")
 FALLBACK_BASE_LENGTH = 3
 MARKETS = ("BTCUSDT", "ETHUSDT", "ETHBTC", "BNBUSDT", "SOLUSDT", "ADAUSDT", "DOTUSDT", "USDCUSDT")
-SAMPLE_MARKETS = ("BTCUSDT", "ETHUSDT", "ETHBTC", "BNBUSDT", "SOLUSDT")
 
 
 def base_of(symbol: Column, every_occurrence: bool = False, suffixes: Sequence[str] = QUOTE_SUFFIXES) -> Column:

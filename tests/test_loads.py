@@ -19,6 +19,7 @@ from marketlake.sources.literals import literal_rows, no_rows
 from marketlake.streaming import price_stream
 from marketlake.streaming.price_stream import load_new_files
 
+# Sample prices.
 FACTS = [(16, 3, "0.02880000"), (16, 2, "1986.47000000"), (15, 1, "68989.47000000"), (17, 5, "85.94000000"), (16, 4, "618.22000000")]
 
 

@@ -15,6 +15,7 @@ from marketlake.plans import normalise, star
 from marketlake.sources import files, jdbc, payloads
 from marketlake.sources.literals import literal_rows, no_rows
 
+# Sample prices.
 TICKERS = [
     ("BTCUSDT", "75152.82000000"), ("ETHUSDT", "2199.20000000"), ("ETHBTC", "0.02928000"),
     ("BNBUSDT", "742.24000000"), ("SOLUSDT", "94.17000000"),
@@ -94,6 +95,7 @@ def test_ticker_extract_file(spark, tmp_path):
     assert [tuple(r) for r in given] == [("BTCUSDT", Decimal("75152.82000000"), datetime(2026, 2, 4, 15, 51, 49))]
 
 
+# A sample of the exported star tables.
 CURRENCIES = [(1, "BTC", "crypto"), (2, "USDT", "stablecoin"), (3, "ETH", "crypto"), (7, "BNB", "crypto"), (9, "SOL", "crypto")]
 PAIRS = [(1, "BTCUSDT", 1, 2), (2, "ETHUSDT", 3, 2), (3, "ETHBTC", 3, 1), (4, "BNBUSDT", 7, 2), (5, "SOLUSDT", 9, 2)]
 FACTS = [
