@@ -21,10 +21,10 @@ def repeated_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def require_unique(rows: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a value of one of these columns occurs more than once, naming the first such values."""
-    for key in keys:
-        found = repeated_keys(rows, [key]).orderBy(key).limit(5).collect()
-        if found:
-            raise ValueError(f"{key} is not unique: " + ", ".join(str(x[0]) for x in found))
+    values = rows.select(F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys])).alias("x"))
+    found = repeated_keys(values.select("x.*"), ["key", "value"]).limit(5).collect()
+    if found:
+        raise ValueError("not unique: " + ", ".join(f"{x.key} {x.value}" for x in found))
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -81,23 +81,32 @@ def versions(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(VERSIONS).parquet(path)
 
 
-def announce(spark: SparkSession, folder: str, paths: Mapping[str, str]) -> None:
-    """Make these versions the current ones, all with one append, and point the session's views at them."""
+def announce(spark: SparkSession, folder: str, tables: Mapping[str, DataFrame], paths: Mapping[str, str]) -> None:
+    """Make these versions the current ones, all with one append, and point the session's views at them: the
+    tables as they are read from their new paths."""
     rows = literal_rows(spark, VERSIONS, [(view, path, None) for view, path in paths.items()])
     stamped = rows.withColumn("published", F.current_timestamp().cast("timestamp_ntz"))
     stamped.coalesce(1).write.mode("append").parquet(f"{folder}/versions")
-    for view, path in paths.items():
-        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+    for view, table in tables.items():
+        table.createOrReplaceTempView(view)
+
+
+def current_paths(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Where the current version of each published table is, whichever session wrote it: one short row for every
+    publication, read by one task."""
+    newest = versions(spark, folder).coalesce(1).groupBy("view").agg(F.max_by("path", "published"))
+    return dict(map(tuple, newest.collect()))
 
 
 def current_path(spark: SparkSession, view: str, folder: str) -> str | None:
-    """Where the current version is, whichever session wrote it."""
-    return versions(spark, folder).filter(F.col("view") == view).agg(F.max_by("path", "published")).first()[0]
+    return current_paths(spark, folder).get(view)
 
 
-def current(spark: SparkSession, view: str, schema: T.StructType, folder: str) -> DataFrame:
-    """The current version of a published table; no rows before the first."""
-    path = current_path(spark, view, folder)
+def current(
+    spark: SparkSession, view: str, schema: T.StructType, folder: str, paths: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The current version of a published table; no rows before the first. ``paths`` saves the lookup."""
+    path = (current_paths(spark, folder) if paths is None else paths).get(view)
     return spark.read.schema(schema).parquet(path) if path else no_rows(spark, schema)
 
 
@@ -109,10 +118,13 @@ def publish(tables: Mapping[str, DataFrame], folder: str, by_column: Mapping[str
     day folders.
     """
     version = new_version(folder)
-    written, paths = {}, {}
+    spark = next(iter(tables.values())).sparkSession
+    written, paths, found = {}, {}, {}
     for view, rows in tables.items():
         column = (by_column or {}).get(view)
         paths[view] = f"{version}/{view}"
         written[view] = append_by_day(rows, paths[view], column) if column else append(rows, paths[view])
-    announce(next(iter(tables.values())).sparkSession, folder, paths)
+        schema = T.StructType(rows.schema.fields + [T.StructField(DAY, T.DateType())] * bool(column))
+        found[view] = spark.read.schema(schema).parquet(paths[view])
+    announce(spark, folder, found, paths)
     return written

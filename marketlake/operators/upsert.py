@@ -9,11 +9,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marketlake.operators.ranking import first_per_key, with_position
 from marketlake.session import stored
 
+# New rows that are numbered in one task; only the plan depends on it.
+FEW_ROWS = 20_000
+
 
 def upsert(
     existing: DataFrame,
@@ -77,7 +81,7 @@ def upsert_with_ids(
     known = upsert(existing, incoming.join(existing.select(key), key, "left_semi"), key, update, keep_existing_on_null)
     last = existing.agg(F.max(id_column)).first()[0] or 0
     new = _counted(incoming, key).join(existing.select(key), key, "left_anti").withColumn(key, _refused(key)).drop("_rows")
-    fresh = with_position(new, key, name="_position")
+    fresh = _numbered(stored(new, "new"), key)
     columns = []
     for field in existing.schema:
         if field.name == id_column:
@@ -89,6 +93,13 @@ def upsert_with_ids(
     return known.unionByName(fresh.select(*columns))
 
 
+def _numbered(rows: DataFrame, key: str) -> DataFrame:
+    """Stored rows with their place by key: few ones by a window in one task, more by a range sort."""
+    if rows.count() <= FEW_ROWS:
+        return rows.withColumn("_position", F.row_number().over(W.orderBy(key)) - 1)
+    return with_position(rows, key, name="_position")
+
+
 def absent(existing: DataFrame, incoming: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Incoming rows whose key the table lacks, one per key."""
     keys = [keys] if isinstance(keys, str) else list(keys)

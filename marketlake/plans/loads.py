@@ -30,6 +30,7 @@ from marketlake.operators.sinks import (
     append_by_day,
     current,
     current_path,
+    current_paths,
     new_version,
     open_by_day,
     publish,
@@ -134,17 +135,18 @@ def load_master(
     stopped before them is finished by running it again with the same ``moment``.
     """
     with scratch(spark):
-        version = new_version(home)
-        currency = current(spark, currency_view, CURRENCY, home)
+        version, paths = new_version(home), current_paths(spark, home)
+        currency = current(spark, currency_view, CURRENCY, home, paths)
         append(merge_currencies(currency, currency_rows(tickers, quotes), keep_existing_on_null), f"{version}/currency")
         merged = spark.read.schema(CURRENCY).parquet(f"{version}/currency")
-        pair = current(spark, pair_view, PAIR, home)
+        pair = current(spark, pair_view, PAIR, home, paths)
         append(merge_pairs(pair, pair_rows(tickers, merged, keywords)), f"{version}/pair")
         pairs = spark.read.schema(PAIR).parquet(f"{version}/pair")
         for rows, keys in ((merged, ("Currency_ID", "Currency_Name")), (pairs, ("Pair_ID", "Pair_Name"))):
             require_unique(rows, keys)
-        announce(spark, home, {currency_view: f"{version}/currency", pair_view: f"{version}/pair"})
-        return append_prices(spark, price_rows(tickers, pairs, moment), home)
+        announced = {currency_view: f"{version}/currency", pair_view: f"{version}/pair"}
+        announce(spark, home, {currency_view: merged, pair_view: pairs}, announced)
+        return append_prices(spark, price_rows(tickers, pairs, moment), home, paths)
 
 
 def daily_bridge(
@@ -169,14 +171,14 @@ def open_prices(spark: SparkSession, home: str) -> DataFrame:
     return open_by_day(spark, _prices_path(spark, home), PRICES)
 
 
-def append_prices(spark: SparkSession, prices: DataFrame, home: str) -> int:
+def append_prices(spark: SparkSession, prices: DataFrame, home: str, paths: Mapping[str, str] | None = None) -> int:
     """Append to the price history what it does not have of these times, pairs and sources.
 
     Repeats inside one batch stay as they are; a batch that was loaded before adds nothing, also where
     its rows have no source or no time. The batch is written once: its checks and the append read that.
     """
     with scratch(spark):
-        path = _prices_path(spark, home)
+        path = (current_paths(spark, home) if paths is None else paths).get(PRICES_VIEW) or f"{home}/{PRICES_VIEW}"
         prices = stored(_typed(prices, PRICES), "prices")
         fresh = not_loaded(prices, open_by_day(spark, path, PRICES), PRICE_KEY, "Timestamp", DAY)
         return append_by_day(fresh, path, "Timestamp")
@@ -192,9 +194,9 @@ def add_sources(spark: SparkSession, prices: DataFrame, home: str) -> DataFrame:
     """The source dimension, extended by the sources of these prices and stored if there are new ones."""
     known = open_sources(spark, home)
     extended = stored(dim_source(known, prices), "sources")
-    if current_path(spark, SOURCES_VIEW, home) is None or extended.count() > known.count():
+    if extended.count() > known.count():
         publish({SOURCES_VIEW: extended}, home)
-    return open_sources(spark, home)
+    return extended
 
 
 def star_folder(spark: SparkSession, home: str) -> str:
@@ -307,7 +309,8 @@ def load_categories(
             add_times(spark, facts, home, size)
             fresh = not_loaded(facts, open_fact_pairs(spark, home), FACT_PAIRS.names, "TIME_ID", DAY, size)
             added = append_by_day(fresh, f"{home}/fact_pairs", "TIME_ID")
-        announce(spark, home, {"dim_currency": f"{version}/dim_currency"})
+        stored_currency = spark.read.schema(DIM_CURRENCY).parquet(f"{version}/dim_currency")
+        announce(spark, home, {"dim_currency": stored_currency}, {"dim_currency": f"{version}/dim_currency"})
     return added, rejected
 
 
