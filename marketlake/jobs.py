@@ -27,7 +27,7 @@ from marketlake.operators.joins import missing_keys
 from marketlake.operators.sinks import append, current, export_csv, write_staging
 from marketlake.plans import loads, star
 from marketlake.plans.normalise import EXCHANGE, history_rows, only_markets
-from marketlake.schemas import CURRENCY, DIM_CATEGORY, PAIR, PRICES
+from marketlake.schemas import CORRUPT, CURRENCY, DIM_CATEGORY, PAIR, PRICES
 from marketlake.session import build_session, scratch, shuffle_settings, stored
 from marketlake.sources import files, payloads
 
@@ -57,16 +57,16 @@ class Run:
     def landed(self) -> tuple[DataFrame, DataFrame]:
         """Tickers and quotes that parse; a run in which no quote payload does would empty prices and is stopped."""
         many = self.options.multiline
-        tickers, bad = payloads.set_aside(payloads.read_tickers(self.spark, self.options.tickers, many), "symbol")
+        read = stored(payloads.read_tickers(self.spark, self.options.tickers, many), "tickers")
+        tickers, bad = payloads.set_aside(read, "symbol")
         self.reject("tickers", bad)
-        quotes, bad = payloads.set_aside(payloads.read_quotes(self.spark, self.options.quotes, many), "data")
+        quotes, bad = payloads.set_aside(stored(payloads.read_quotes(self.spark, self.options.quotes, many), "quotes"), "data")
         rejected = self.reject("quotes", bad)
-        quotes = stored(payloads.flatten_quotes(quotes), "quotes")
         if rejected and quotes.isEmpty():
             raise SystemExit(f"{rejected} quote payloads, and none could be parsed: nothing was loaded")
         if self.markets() is not None:
             tickers = only_markets(tickers, self.markets())
-        return stored(tickers, "tickers"), quotes
+        return tickers, payloads.flatten_quotes(quotes)
 
     def master(self) -> tuple[DataFrame, DataFrame]:
         return current(self.spark, "pair", PAIR, self.home), current(self.spark, "currency", CURRENCY, self.home)
@@ -77,9 +77,10 @@ class Run:
 
     def candles(self) -> DataFrame:
         """Prices of the landed candles. The files are parsed once, and the counts per symbol are reported."""
-        good, bad = payloads.set_aside_candles(payloads.read_candles(self.spark, self.options.candles))
-        self.reject("candles", bad)
-        parsed = stored(payloads.parse_candles(good).select("symbol", "timestamp", "close"), "candles")
+        read = payloads.candles_and_rejects(payloads.read_candles(self.spark, self.options.candles))
+        read = stored(read.select("symbol", "timestamp", "close", CORRUPT), "candles")
+        self.reject("candles", read.filter(F.col(CORRUPT).isNotNull()).select("symbol", F.col(CORRUPT).alias("value")))
+        parsed = read.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
         pair = self.master()[0]
         self.unknown(parsed, pair)
         known = parsed.join(pair.select(F.col("Pair_Name").alias("symbol")), "symbol", "left_semi")

@@ -78,14 +78,30 @@ def read_candles(spark: SparkSession, path: str, whole_files: bool = True) -> Da
     return spark.read.text(path, wholetext=whole_files)
 
 
+def _whole(candles: Column) -> Column:
+    """Whether this is a list of candles, all with a time and a close."""
+    whole = F.forall(candles, lambda c: c.isNotNull() & _field(c, "timestamp").isNotNull() & _field(c, "close").isNotNull())
+    return F.coalesce(whole, F.lit(False))
+
+
 def set_aside_candles(payloads: DataFrame, text: str = "value") -> tuple[DataFrame, DataFrame]:
     """Payloads that are a list of candles with a time and a close, and all others."""
-    candles = F.from_json(text, "array<array<string>>")
-    whole = F.forall(candles, lambda c: c.isNotNull() & _field(c, "timestamp").isNotNull() & _field(c, "close").isNotNull())
-    good = F.coalesce(whole, F.lit(False))
+    good = _whole(F.from_json(text, "array<array<string>>"))
     return payloads.filter(good), payloads.filter(~good)
 
 
+def candles_and_rejects(payloads: DataFrame, text: str = "value") -> DataFrame:
+    """Both in one pass: a row per candle as :func:`parse_candles` gives it, and a row per payload that does not
+    parse, with its text in the column for corrupt records."""
+    others = [c for c in payloads.columns if c != text]
+    parsed = payloads.withColumn("_candles", F.from_json(text, "array<array<string>>")).withColumn("_good", _whole(F.col("_candles")))
+    rows = parsed.select(
+        *others, F.when(~F.col("_good"), F.col(text)).alias(CORRUPT), F.explode_outer(F.when(F.col("_good"), F.col("_candles"))).alias("candle")
+    )
+    fields = [F.try_element_at("candle", F.lit(i)).alias(name) for i, name in enumerate(CANDLE_FIELDS, start=1)]
+    return rows.filter(F.col("candle").isNotNull() | F.col(CORRUPT).isNotNull()).select(*others, CORRUPT, *fields)
+
+
 def _field(candle: Column, name: str) -> Column:
     return F.try_element_at(candle, F.lit(CANDLE_FIELDS.index(name) + 1))
 

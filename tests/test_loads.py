@@ -418,6 +418,23 @@ def test_what_a_run_leaves_out_is_kept_and_counted(spark, payload_files, capsys)
     assert sorted(sinks.current(spark, "currency", schemas.CURRENCY, home).collect()) == before
 
 
+def test_landed_files_are_read_once(spark, payload_files, monkeypatch):
+    """The frames that a job hands on read stored rows, not the landed files again."""
+    tmp_path, home, landed_files, _ = payload_files
+    jobs.run(["master", *landed_files, "--home", home])
+    seen = []
+
+    def load(spark_, frame, *rest, **options):
+        seen.append(frame._jdf.queryExecution().toString())
+        return 0
+
+    monkeypatch.setattr(loads, "append_prices", load)
+    monkeypatch.setattr(loads, "load_master", load)
+    jobs.run(["backfill", "--candles", str(tmp_path / "candles"), "--home", home])
+    jobs.run(["master", *landed_files, "--home", home])
+    assert len(seen) == 2 and not any(x in plan for plan in seen for x in ("FileScan text", "FileScan json"))
+
+
 def test_jobs_leave_no_intermediate_folder(spark, payload_files):
     tmp_path, home, landed_files, _ = payload_files
     work = shared_folder(spark).removeprefix("file:") + "/marketlake"
