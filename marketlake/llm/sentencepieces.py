@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 _NORMAL, _USER = 1, 4  # fixed values: kinds of pieces in the protobuf
-_BATCH_BYTES = 16 << 20
+_BATCH_BYTES = 4 << 20
 _WORDS_A_TEXT = 200
+_TEXTS_A_BATCH = 50  # of new words: the library needs some hundred bytes for each token of a batch
 
 
 def parse_model(model: bytes):
@@ -84,7 +85,7 @@ def _by_word(message) -> bool:
 class PieceEncoder:
     """Encodes and decodes batches of texts; see the module."""
 
-    def __init__(self, model: bytes, most_words: int = 400_000):
+    def __init__(self, model: bytes, most_words: int = 250_000):
         import sentencepiece
 
         self.message = parse_model(model)
@@ -149,9 +150,10 @@ class PieceEncoder:
         if len(self.known) > self.most_words:
             self._forget()
         at = np.fromiter(map(self.known.__getitem__, coded.dictionary.to_pylist()), dtype=np.int64, count=len(coded.dictionary))
-        if self.known.new:
-            self._learn(self.known.new)
-            self.known.new = []
+        step = _WORDS_A_TEXT * _TEXTS_A_BATCH
+        for start in range(0, len(self.known.new), step):
+            self._learn(self.known.new[start:start + step])
+        self.known.new = []
         at = at[coded.indices.to_numpy(zero_copy_only=False)] if len(at) else at
         counts, offsets = self.counts[at], self.offsets[at]
         places = split.offsets.to_numpy() - (split.offsets[0].as_py() if len(split) else 0)
@@ -168,9 +170,10 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.known = Numbering()
-        self.counts, self.offsets = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.same, self.returns = np.zeros(0, dtype=bool), np.zeros(0, dtype=bool)
-        self.flat = np.zeros(0, dtype=np.uint32)
+        self.words = self.used = 0
+        self.counts, self.offsets = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
+        self.same, self.returns = np.zeros(1 << 12, dtype=bool), np.zeros(1 << 12, dtype=bool)
+        self.flat = np.zeros(1 << 14, dtype=np.uint32)
 
     def _learn(self, words: list[str]) -> None:
         """Encode new words with both libraries, many in one text, and decode them again."""
@@ -194,10 +197,18 @@ class PieceEncoder:
                 same.append(np.array(agree, dtype=bool))
                 returns.append(np.array([self.text_of(i) == x for i, x in zip(each, group)], dtype=bool))
         lengths = np.concatenate(counts)
-        self.offsets = np.concatenate([self.offsets, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.counts = np.concatenate([self.counts, lengths])
-        self.flat = np.concatenate([self.flat, *ids])
-        self.same, self.returns = np.concatenate([self.same, *same]), np.concatenate([self.returns, *returns])
+        first, last = self.words, self.words + len(words)
+        found = np.concatenate(ids)
+        while last > len(self.counts):  # room is doubled, not made for each batch
+            self.counts, self.offsets, self.same, self.returns = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.counts, self.offsets, self.same, self.returns)
+            )
+        while self.used + len(found) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.counts[first:last], self.offsets[first:last] = lengths, self.used + np.cumsum(lengths) - lengths
+        self.same[first:last], self.returns[first:last] = np.concatenate(same), np.concatenate(returns)
+        self.flat[self.used:self.used + len(found)] = found
+        self.words, self.used = last, self.used + len(found)
 
 
 class Numbering(dict):
