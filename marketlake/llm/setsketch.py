@@ -206,6 +206,8 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words
     )
     groups = stored(components(_ties(classes, similarity)), "candidates").withColumnRenamed("node", "set_key")
     members = groups.join(classes, "set_key")
+    nodes, size = members.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("n_shingles") * 8), F.lit(0))).first()
+    tasks = max(1, -(-nodes // (2 * TILE_NODES)), -(-size // TILE_BYTES))
     deal = members.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.col("n_shingles") * 8).alias("bytes")).select(
         "component", F.ceil(F.greatest(F.col("nodes") / TILE_NODES, F.col("bytes") / TILE_BYTES)).cast("int").alias("tiles")
     )
@@ -229,7 +231,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words
     dealt = (
         sets.withColumn("tile", tile).withColumn("other", other)
         # Small components share a task; a pair of tiles of a large one has its own.
-        .withColumn("task", F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("component"), F.lit(1024))).otherwise(F.xxhash64("component")))
+        .withColumn("task", F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("component"), F.lit(tasks))).otherwise(F.xxhash64("component")))
         .withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
     )
 
