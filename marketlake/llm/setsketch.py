@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words
     groups = stored(components(_ties(classes, similarity)), "candidates").withColumnRenamed("node", "set_key")
     members = groups.join(classes, "set_key")
     nodes, size = members.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("n_shingles") * 8), F.lit(0))).first()
-    tasks = max(1, -(-nodes // (2 * TILE_NODES)), -(-size // TILE_BYTES))
+    tasks = max(1, -(-nodes // (TILE_NODES // 2)), -(-size // (TILE_BYTES // 2)))
     deal = members.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum(F.col("n_shingles") * 8).alias("bytes")).select(
         "component", F.ceil(F.greatest(F.col("nodes") / TILE_NODES, F.col("bytes") / TILE_BYTES)).cast("int").alias("tiles")
     )
