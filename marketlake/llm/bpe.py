@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -222,6 +223,12 @@ class TextEncoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder_of(model: bytes) -> TextEncoder:
+    """One encoder for a worker process and all its tasks."""
+    return TextEncoder(model)
+
+
 def _blocks(text: str, size: int):
     """Parts of a very long text that start at a space before a plain letter: no word is cut there."""
     start = 0

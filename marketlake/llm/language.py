@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -33,11 +34,17 @@ _BLOCK_CHARS = 1 << 20
 _FLUSH = 1 << 20
 
 
+@lru_cache(maxsize=1)
+def _is_letter() -> np.ndarray:
+    """Whether each code point is a letter; made once for a worker process."""
+    return np.array([chr(x).isalpha() for x in range(0x110000)])
+
+
 class Letters:
     """N-grams of texts as integers: code points side by side."""
 
     def __init__(self):
-        self.is_letter = np.array([chr(x).isalpha() for x in range(0x110000)])
+        self.is_letter = _is_letter()
 
     def grams(self, text: str) -> np.ndarray:
         """Every n-gram of a text, in any order, repeated as often as it occurs."""

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.bpe import TextEncoder
+from marketlake.llm.bpe import encoder_of
 from marketlake.session import stored
 
 SEQUENCE_TOKENS = 2048
@@ -46,7 +46,7 @@ def token_pieces(
     schema = _PIECES if with_ids else pa.schema(list(_PIECES)[:-1])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value)
+        encoder = encoder_of(shared.value)
         for batch in batches:
             columns: list[list] = [[] for _ in schema]
             for doc_id, found in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -223,6 +224,13 @@ class Numbering(dict):
         return place
 
 
+@lru_cache(maxsize=1)
+def encoder_of(model: bytes) -> PieceEncoder:
+    """One encoder for a worker process and all its tasks: building one takes time, and memory that the libraries
+    keep."""
+    return PieceEncoder(model)
+
+
 def encode_documents(docs: DataFrame, model: bytes, with_ids: bool = False) -> DataFrame:
     """doc_id, n_ids, ids_crc32 (little-endian unsigned 32-bit ids), parity, round_trip and, if asked for, ids.
 
@@ -233,7 +241,7 @@ def encode_documents(docs: DataFrame, model: bytes, with_ids: bool = False) -> D
     schema = pa.schema(fields + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(shared.value)
+        encoder = encoder_of(shared.value)
         plain = not encoder.message.normalizer_spec.precompiled_charsmap and not encoder.message.normalizer_spec.remove_extra_whitespaces
         for batch in batches:
             columns: list[list] = [[] for _ in schema]
@@ -254,7 +262,7 @@ def decode_documents(coded: DataFrame, model: bytes) -> DataFrame:
     shared = coded.sparkSession.sparkContext.broadcast(model)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(shared.value)
+        encoder = encoder_of(shared.value)
         for batch in batches:
             ids = [x or [] for x in batch.column(1).to_pylist()]
             found = [encoder._clean(x) for x in encoder.tokenizer.decode_batch(ids, skip_special_tokens=False)]
