@@ -4,7 +4,8 @@ Writing is plain DataFrame code: a record is one string, and Spark's text writer
 bounded number of records. A page whose payload of at least 1000 bytes equals that of a page with a larger id is a
 revisit record without payload that names the other one; all other pages are response records.
 
-Reading takes each archive (plain, or gzip with one or more members) as one file. The salvage reader checks every
+Reading takes each archive (plain, or gzip with one or more members) as one row of Spark's binary reader, so up to
+2 GB; the writer's files are far smaller. The salvage reader checks every
 record: version line, header lines, Content-Length, the blank lines after the block, and the payload digest.
 Where a check fails it searches for the next gzip member that unpacks to a record, or for the next version line
 that starts a sound record, goes on from there, and returns the bytes between as a quarantined gap with its
