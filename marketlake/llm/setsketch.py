@@ -45,6 +45,7 @@ BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2  # b, a and q of the sketch
 SIMILARITY = 75  # per cent
 MARGIN = 0.19  # five standard deviations of an estimate near 0.75 from 128 registers
 TILE_NODES, TILE_BYTES = 512, 8 << 20
+_MANY = 4  # pairs to verify for each node, beyond which all are verified at once
 
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mixed(_SEEDS) | np.uint64(1)
@@ -70,7 +71,7 @@ def merged(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def joint_estimate(
-    larger: np.ndarray, smaller: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray, steps: int = 32
+    larger: np.ndarray, smaller: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray, steps: int = 18
 ) -> np.ndarray:
     """Jaccard similarities of largest likelihood, given how many registers of the first set are larger and
     smaller than the second's, and both set sizes. The log-likelihood is concave: ternary search."""
@@ -176,6 +177,14 @@ def linked(names: list, sketch: np.ndarray, sets: list[np.ndarray], left: np.nda
     if not found:
         return []
     a, b, estimate = (np.concatenate(x) for x in zip(*found))
+    common = None
+    if len(a) > _MANY * len(names):  # exact sizes of all intersections at once, then only links are left
+        common = _intersections(sets, left, right)
+        place = np.zeros(len(names), dtype=np.int64), np.zeros(len(names), dtype=np.int64)
+        place[0][left], place[1][right] = np.arange(len(left)), np.arange(len(right))
+        both = common[place[0][a], place[1][b]]
+        link = 100 * both >= similarity * (sizes[a] + sizes[b] - both)
+        a, b, estimate = a[link], b[link], estimate[link]
     root = list(range(len(names)))
 
     def top(x: int) -> int:
@@ -188,13 +197,35 @@ def linked(names: list, sketch: np.ndarray, sets: list[np.ndarray], left: np.nda
         x, y = int(a[k]), int(b[k])
         p, q = top(x), top(y)
         if p != q:
-            common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-            if 100 * common >= similarity * (len(sets[x]) + len(sets[y]) - common):
+            if common is None:
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if common is not None or 100 * both >= similarity * (len(sets[x]) + len(sets[y]) - both):
                 root[max(p, q)] = min(p, q)
                 links.append((names[x], names[y]))
     return links
 
 
+def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, block: int = 4096) -> np.ndarray:
+    """The size of the intersection of each set ``left`` with each set ``right``, by products of their
+    membership matrices; items of a single set are left out, items are taken block by block."""
+    rows = np.union1d(left, right)
+    items = np.concatenate([sets[i] for i in rows])
+    owner = np.repeat(np.arange(len(rows)), [len(sets[i]) for i in rows])
+    _, code, count = np.unique(items, return_inverse=True, return_counts=True)
+    code, owner, several = code[count[code] > 1], owner[count[code] > 1], np.flatnonzero(count > 1)
+    code = np.searchsorted(several, code)
+    out = np.zeros((len(left), len(right)), dtype=np.float32)  # exact below 2**24
+    i, j = np.searchsorted(rows, left), np.searchsorted(rows, right)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    for start in range(0, len(several), block):
+        part = slice(*np.searchsorted(code, [start, start + block]))
+        member = np.zeros((len(rows), min(block, len(several) - start)), dtype=np.float32)
+        member[owner[part], code[part] - start] = 1
+        out += member[i] @ member[j].T
+    return out
+
+
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id that links reach), kept (whether it is the own id), and
     text_key (a hash of the text, which tells rows of one id apart)."""
