@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,22 +91,26 @@ def held_out(doc_id):
 def learn_profiles(docs: DataFrame, length: int = PROFILE_LENGTH) -> DataFrame:
     """lang, gram, rank (from 0) of each language's most frequent n-grams over all rows (text, lang)."""
 
-    def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()
-        for frame in frames:
-            for lang, texts in frame.groupby("lang")["text"]:
+        for batch in batches:
+            rows: dict[str, list[int]] = {}
+            for row, lang in enumerate(batch.column(1).to_pylist()):
+                rows.setdefault(lang, []).append(row)
+            for lang, own in rows.items():
                 total, waiting, size = [], [], 0
-                for text in texts:
-                    for block in _blocks(text):
+                for row in own:
+                    for block in _blocks(batch.column(0)[row].as_py()):
                         waiting.append(letters.grams(block))
                         size += len(waiting[-1])
                         if size > _FLUSH:
                             total = [_added([*total, np.unique(np.concatenate(waiting), return_counts=True)])]
                             waiting, size = [], 0
                 grams, counts = _added([*total, np.unique(np.concatenate([np.empty(0, np.uint64), *waiting]), return_counts=True)])
-                yield pd.DataFrame({"lang": lang, "gram": grams.astype(np.int64), "n": counts})
+                columns = [pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(counts)]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
 
-    counts = docs.select("text", "lang").dropna().mapInPandas(counted, "lang string, gram long, n long")
+    counts = docs.select("text", "lang").dropna().mapInArrow(counted, "lang string, gram long, n long")
     totals = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return totals.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < length).select("lang", "gram", "rank")
@@ -143,19 +147,19 @@ def predictor(profiles: dict[str, tuple[np.ndarray, np.ndarray]], length: int =
     """A column function of a text: struct of lang_pred and score (1 less the distance to the nearest profile)."""
     langs, known = list(profiles), list(profiles.values())
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         letters = Letters()
         for texts in batches:
             found, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             for k, text in enumerate(texts):
-                grams, counts = letters.counts(text or "")
+                grams, counts = letters.counts(text.as_py() or "")
                 if len(grams) and langs:
                     grams, ranks = text_profile(grams.astype(np.int64), counts, length)
                     apart = [distance(grams, ranks, x, length) for x in known]
                     best = int(np.argmin(apart))
                     found[k], scores[k] = langs[best], max(0.0, 1.0 - apart[best])
-            yield pd.DataFrame({"lang_pred": found, "score": scores})
+            yield pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
 
     return predicted
 
