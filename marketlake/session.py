@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +74,17 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def stored_alone(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, stored; what it stored on the way is removed. For results that take several passes."""
+    folder = new_folder(spark, name)
+    for made in _open_scratch[-1:]:
+        made.append(folder)
+    with scratch(spark):
+        rows = make()
+        rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
