@@ -27,7 +27,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the passages that an earlier document holds."""
-    return chaining.without_passages(docs, stored(chaining.passages(docs), "passages"))
+    return chaining.without_passages(docs, chaining.passages(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

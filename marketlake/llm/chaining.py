@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.skew import apart
 from marketlake.llm.words import gram_hashes, word_bounds, word_hashes
-from marketlake.session import stored
+from marketlake.session import stored, stored_alone
 
 SEED_WORDS = 5
 WINDOW = 8
@@ -227,7 +227,11 @@ def align(a: np.ndarray, b: np.ndarray, at: int, other_at: int, identity: float
 
 def passages(docs: DataFrame, least_words: int = LEAST_WORDS, identity: float = IDENTITY) -> DataFrame:
     """doc_id, first_id, start_word, end_word, first_start, first_end, n_words, identity: passages of a document
-    that an earlier document holds."""
+    that an earlier document holds. The result is stored, without what led to it."""
+    return stored_alone(docs.sparkSession, "passages", lambda: _passages(docs, least_words, identity))
+
+
+def _passages(docs: DataFrame, least_words: int, identity: float) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").dropna()
     found = stored(chain_table(matches(stored(seed_table(docs), "seeds"))), "chains")
     key = F.struct("doc", "owner", "low", "high", "owner_low", "owner_high").alias("chain")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.components import components
 from marketlake.llm.skew import apart
-from marketlake.session import stored
+from marketlake.session import stored, stored_alone
 
 SIMILARITY = 0.98
 TILE_ROWS = 1024
@@ -149,7 +149,12 @@ def _least_reached(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def near_vectors(vectors: DataFrame, similarity: float = SIMILARITY, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """vec_id, n_links, component_id (the smallest id that links reach), kept (whether it is the own id)."""
+    """vec_id, n_links, component_id (the smallest id that links reach), kept (whether it is the own id). The
+    result is stored, without what led to it."""
+    return stored_alone(vectors.sparkSession, "near", lambda: _near_vectors(vectors, similarity, tile_rows))
+
+
+def _near_vectors(vectors: DataFrame, similarity: float, tile_rows: int) -> DataFrame:
     rows = stored(_keyed(vectors), "vectors")
     classes = stored(
         rows.filter("node is not null").groupBy("node")

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from marketlake.llm.components import components
 from marketlake.llm.skew import apart
 from marketlake.llm.words import SHINGLE_WORDS, mixed, shingle_set
-from marketlake.session import stored
+from marketlake.session import stored, stored_alone
 
 BANDS, BAND_ROWS = 32, 4
 REGISTERS = BANDS * BAND_ROWS
@@ -228,7 +228,11 @@ def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray,
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id that links reach), kept (whether it is the own id), and
-    text_key (a hash of the text, which tells rows of one id apart)."""
+    text_key (a hash of the text, which tells rows of one id apart). The result is stored, without what led to it."""
+    return stored_alone(docs.sparkSession, "near", lambda: _near_duplicates(docs, similarity, shingle_words))
+
+
+def _near_duplicates(docs: DataFrame, similarity: int, shingle_words: int) -> DataFrame:
     rows = stored(sketches(docs, shingle_words), "sketches")
     classes = stored(
         rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key")
@@ -296,7 +300,7 @@ def _with_components(rows: DataFrame, classes: DataFrame, groups: DataFrame) ->
 def without_near_duplicates(docs: DataFrame, similarity: int = SIMILARITY, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """One document of each group, that of the smallest id, with all columns. Of rows that repeat this id in the
     group one stays; rows with a null id, which link with nothing, all stay."""
-    found = stored(near_duplicates(docs, similarity, shingle_words), "near")
+    found = near_duplicates(docs, similarity, shingle_words)
     gone = found.filter("not kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("_row"))
     same = (F.col("_row.doc_id").cast("long") == F.col("_id")) & (F.xxhash64("_row.text") == F.col("_text"))
