@@ -36,12 +36,43 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepieces.encode_documents(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
-@query()
+@query("""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(words) > 0 THEN
+            list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: array_to_string(words[i:i + 4], ' '))) ELSE [] END AS items
+        FROM worded
+    ), sized AS (SELECT doc_id, len(items) AS n FROM sets),
+    posted AS MATERIALIZED (SELECT doc_id, unnest(items) AS item FROM sets),
+    shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM posted a JOIN posted b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY ALL
+    ), links AS MATERIALIZED (
+        SELECT a, b FROM shared JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)
+    ), reached AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+    )
+    SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, least_id AS component_id, doc_id = least_id AS kept
+    FROM sized JOIN (SELECT a, min(b) AS least_id FROM reached GROUP BY a) ON a = doc_id""")
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return setsketch.near_duplicates(table(spark, folder, "documents"))
+    found = setsketch.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-@query()
+@query("""
+    WITH RECURSIVE good AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS MATERIALIZED (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+    ), reached AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+    )
+    SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = vec_id) AS n_links, least_id AS component_id, vec_id = least_id AS kept
+    FROM embeddings JOIN (SELECT a, min(b) AS least_id FROM reached GROUP BY a) ON a = vec_id""")
 def op3_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return pca_tiles.near_vectors(table(spark, folder, "embeddings"))
 

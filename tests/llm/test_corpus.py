@@ -354,12 +354,13 @@ def test_pages_come_back_from_archives(spark, checkpoints, tmp_path, compression
     assert warc.read_archives(spark, str(tmp_path / "none")).count() == 0
 
 
-def test_the_warc_query_matches_its_sql(spark, checkpoints):
+@pytest.mark.parametrize("name", ["op1_warc", "op2_near_duplicates", "op3_near_vectors"])
+def test_queries_match_their_sql(spark, checkpoints, name):
     from compare import open_tables, spark_rows, sql_rows
     from marketlake.llm.queries import QUERIES, SQL
 
     folder = "/root/testdata/sf0.01"
-    assert spark_rows(QUERIES["op1_warc"](spark, folder)) == sql_rows(open_tables(folder), SQL["op1_warc"])
+    assert spark_rows(QUERIES[name](spark, folder)) == sql_rows(open_tables(folder), SQL[name])
 
 
 def record(number, payload):
