@@ -1,7 +1,7 @@
 """Repeated passages across documents by collinear chaining of shared word k-mers.
 
-1. Seeds: of every 8 successive runs of five words the one of least hash (minimisers). Two documents that share
-   12 words in a row share a seed, and of an exact passage of 50 words at least five.
+1. Seeds: of every 12 successive runs of five words the one of least hash (minimisers). Two documents that share
+   16 words in a row share a seed, and of an exact passage of 50 words at least three.
 2. Every seed belongs to the first document (by id) and place that has it. Each other occurrence is joined to that
    one, so the number of matches is linear in the occurrences, however many documents share a passage.
 3. The matches of a document with an owner are chained: both places must grow, every skipped word costs,
@@ -32,7 +32,7 @@ from marketlake.llm.words import gram_hashes, word_bounds, word_hashes
 from marketlake.session import stored, stored_alone
 
 SEED_WORDS = 5
-WINDOW = 8
+WINDOW = 12
 LEAST_WORDS = 50
 IDENTITY = 0.75
 MARGIN = 128  # words by which a chain is extended on each side at most
