@@ -7,7 +7,8 @@
 3. The matches of a document with an owner are chained: both places must grow, every skipped word costs,
    and the best predecessor is found by a Fenwick tree over the owner's places (prefix maximum).
 4. Each chain is aligned word by word and extended on both sides: equal runs, and between them the nearest place
-   where three words agree again. The stretch in which words agree best against 75 per cent is the passage.
+   where three words agree again. Where none is near the alignment ends, and the next seed of the chain that no
+   alignment has passed starts another. The stretch of each in which words agree best against 75 per cent is a passage.
 
 Passages of at least 50 words with at least 75 per cent equal words are returned, with the document, the earlier
 document that holds it, and the words' places in both. The first holder of a passage is named by the others.
@@ -20,7 +21,9 @@ gets the passages that can be verified on one of them; an empty table gives no r
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -142,12 +145,26 @@ def chains(places: np.ndarray, others: np.ndarray, weight: float = SEED_WORDS, g
     return out
 
 
-_CHAIN = pa.schema([(x, pa.int64()) for x in ("doc", "owner")] + [(x, pa.int32()) for x in ("low", "high", "owner_low", "owner_high")])
-_CHAIN_KIND = "doc long, owner long, low int, high int, owner_low int, owner_high int"
+_CHAIN = pa.schema(
+    [(x, pa.int64()) for x in ("doc", "owner")] + [(x, pa.int32()) for x in ("low", "high", "owner_low", "owner_high")] + [("steps", pa.binary())]
+)
+_CHAIN_KIND = "doc long, owner long, low int, high int, owner_low int, owner_high int, steps binary"
+
+
+def _steps(places: np.ndarray, others: np.ndarray) -> bytes:
+    """The matches of a chain after its first as distances from the one before: small numbers compress well."""
+    return np.concatenate([np.diff(places), np.diff(others)]).astype(np.int32).tobytes()
+
+
+def _anchors(steps: bytes, low: int, other_low: int) -> list[tuple[int, int]]:
+    """The matches of a chain from what ``_steps`` made of them and the first one."""
+    both = np.frombuffer(steps, dtype=np.int32).reshape(2, -1).cumsum(axis=1)
+    return [(low, other_low), *zip((low + both[0]).tolist(), (other_low + both[1]).tolist())]
 
 
 def chain_table(found: DataFrame) -> DataFrame:
-    """The chains of every document with every owner: places of the first and after the last word in both."""
+    """The chains of every document with every owner: places of the first and after the last word in both, and the
+    matches between."""
 
     def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def result(groups: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -155,7 +172,8 @@ def chain_table(found: DataFrame) -> DataFrame:
             for docs, owners, places, others in groups:
                 for chain in chains(places, others):
                     first, last = chain[0], chain[-1]
-                    rows.append((docs[0], owners[0], places[first], places[last] + SEED_WORDS, others[first], others[last] + SEED_WORDS))
+                    steps = _steps(places[chain], others[chain])
+                    rows.append((docs[0], owners[0], places[first], places[last] + SEED_WORDS, others[first], others[last] + SEED_WORDS, steps))
             columns = list(zip(*rows)) if rows else [[] for _ in _CHAIN]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _CHAIN)], schema=_CHAIN)
 
@@ -176,8 +194,13 @@ def chain_table(found: DataFrame) -> DataFrame:
 
 def _equal_run(a: np.ndarray, b: np.ndarray) -> int:
     size = min(len(a), len(b))
-    differ = np.flatnonzero(a[:size] != b[:size])
-    return int(differ[0]) if len(differ) else size
+    start, block = 0, 64
+    while start < size:  # in growing blocks: most runs are short
+        differ = a[start:min(start + block, size)] != b[start:min(start + block, size)]
+        if differ.any():
+            return start + int(differ.argmax())
+        start, block = start + block, block * 2
+    return size
 
 
 def _walk(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
@@ -202,11 +225,28 @@ def _walk(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
         i, j = i + int(di[near]), j + int(dj[near])
 
 
-def align(a: np.ndarray, b: np.ndarray, at: int, other_at: int, identity: float = IDENTITY) -> tuple[int, int, int, int, int]:
-    """The best aligned stretch through a pair of equal words at the given places: start and end in a and in b,
-    and the equal words in it. Equal words count 1 - identity and others -identity; the stretch has the most."""
-    back = [(at - i - n, other_at - j - n, n) for i, j, n in _walk(a[:at][::-1], b[:other_at][::-1])][::-1]
-    runs = back + [(at + i, other_at + j, n) for i, j, n in _walk(a[at:], b[other_at:])]
+def alignments(a: np.ndarray, b: np.ndarray, anchors: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
+    """The equal runs (place in a, place in b, length) of a chain, one list for every stretch that is aligned without
+    a break. Each match of the chain that lies on no run so far starts a new one."""
+    out: list[list[tuple[int, int, int]]] = []
+    for at, other_at in anchors:
+        if any(_passes(runs, at, other_at) for runs in out):
+            continue
+        back = [(at - i - n, other_at - j - n, n) for i, j, n in _walk(a[:at][::-1], b[:other_at][::-1])][::-1]
+        runs = back + [(at + i, other_at + j, n) for i, j, n in _walk(a[at:], b[other_at:])]
+        if runs:
+            out.append(runs)
+    return out
+
+
+def _passes(runs: list[tuple[int, int, int]], at: int, other_at: int) -> bool:
+    k = bisect_right(runs, at, key=itemgetter(0)) - 1
+    return k >= 0 and at < runs[k][0] + runs[k][2] and at - runs[k][0] == other_at - runs[k][1]
+
+
+def best_stretch(runs: list[tuple[int, int, int]], identity: float = IDENTITY) -> tuple[int, int, int, int, int]:
+    """The best stretch of equal runs: start and end in a and in b, and the equal words in it. Equal words count
+    1 - identity and others -identity; the stretch has the most."""
     best, now, start = (0.0, 0, 0, 0), 0.0, 0
     equal = first_equal = 0
     for k, (i, j, n) in enumerate(runs):
@@ -219,8 +259,6 @@ def align(a: np.ndarray, b: np.ndarray, at: int, other_at: int, identity: float
         equal += n
         if now > best[0]:
             best = now, start, k, equal - first_equal
-    if not best[0]:
-        return at, at, other_at, other_at, 0
     (i, j, _), (p, q, n) = runs[best[1]], runs[best[2]]
     return i, p + n, j, q + n, best[3]
 
@@ -235,8 +273,11 @@ def _passages(docs: DataFrame, least_words: int, identity: float) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").dropna()
     found = stored(chain_table(matches(stored(seed_table(docs), "seeds"))), "chains")
     key = F.struct("doc", "owner", "low", "high", "owner_low", "owner_high").alias("chain")
-    mine = found.select(key, F.lit(True).alias("mine"), "doc", "low", "high")
-    theirs = found.select(key, F.lit(False).alias("mine"), F.col("owner").alias("doc"), F.col("owner_low").alias("low"), F.col("owner_high").alias("high"))
+    mine = found.select(key, F.lit(True).alias("mine"), "doc", "low", "high", "steps")
+    theirs = found.select(
+        key, F.lit(False).alias("mine"), F.col("owner").alias("doc"), F.col("owner_low").alias("low"), F.col("owner_high").alias("high"),
+        F.lit(None).cast("binary").alias("steps"),
+    )
     asked = mine.unionByName(theirs).join(texts, "doc")
     chain_type = asked.schema["chain"].dataType.simpleString()
 
@@ -252,12 +293,14 @@ def _passages(docs: DataFrame, least_words: int, identity: float) -> DataFrame:
                 starts.append(first)
                 parts.append(words[first:high + MARGIN].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(starts, pa.int32()), pa.array(parts, pa.binary())],
-                names=["chain", "mine", "start", "words"],
+                [batch.column(0), batch.column(1), pa.array(starts, pa.int32()), pa.array(parts, pa.binary()), batch.column(6)],
+                names=["chain", "mine", "start", "words", "steps"],
             )
 
-    slices = asked.select("chain", "mine", "doc", "low", "high", "text").mapInArrow(cut, f"chain {chain_type}, mine boolean, start int, words binary")
-    part = F.struct("start", "words")
+    slices = asked.select("chain", "mine", "doc", "low", "high", "text", "steps").mapInArrow(
+        cut, f"chain {chain_type}, mine boolean, start int, words binary, steps binary"
+    )
+    part = F.struct("start", "words", "steps")
     both = slices.groupBy("chain").agg(F.max(F.when(F.col("mine"), part)).alias("a"), F.max(F.when(~F.col("mine"), part)).alias("b"))
     schema = pa.schema([
         ("doc_id", pa.int64()), ("first_id", pa.int64()), ("start_word", pa.int32()), ("end_word", pa.int32()),
@@ -267,20 +310,20 @@ def _passages(docs: DataFrame, least_words: int, identity: float) -> DataFrame:
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, owner, low, other_low, start, words, other_start, others in zip(*(x.to_pylist() for x in batch.columns)):
+            for doc, owner, low, other_low, start, words, steps, other_start, others in zip(*(x.to_pylist() for x in batch.columns)):
                 a, b = np.frombuffer(words, dtype=np.uint32), np.frombuffer(others, dtype=np.uint32)
-                if low - start >= len(a) or other_low - other_start >= len(b):
-                    continue
-                i, p, j, q, equal = align(a, b, low - start, other_low - other_start, identity)
-                size = max(p - i, q - j)
-                if min(p - i, q - j) >= least_words and equal >= identity * size:
-                    rows.append((doc, owner, start + i, start + p, other_start + j, other_start + q, p - i, equal / size))
+                anchors = [(x, y) for x, y in _anchors(steps, low - start, other_low - other_start) if x < len(a) and y < len(b)]
+                for runs in alignments(a, b, anchors):
+                    i, p, j, q, equal = best_stretch(runs, identity)
+                    size = max(p - i, q - j)
+                    if min(p - i, q - j) >= least_words and equal >= identity * size:
+                        rows.append((doc, owner, start + i, start + p, other_start + j, other_start + q, p - i, equal / size))
             columns = list(zip(*rows)) if rows else [[] for _ in schema]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     kinds = "doc_id long, first_id long, start_word int, end_word int, first_start int, first_end int, n_words int, identity double"
     flat = both.filter("a is not null and b is not null").select(
-        "chain.doc", "chain.owner", "chain.low", "chain.owner_low", F.col("a.start").alias("start"), F.col("a.words").alias("words"),
+        "chain.doc", "chain.owner", "chain.low", "chain.owner_low", F.col("a.start").alias("start"), F.col("a.words").alias("words"), F.col("a.steps").alias("steps"),
         F.col("b.start").alias("other_start"), F.col("b.words").alias("others"),
     )
     # Chains of one passage are extended to the same stretch.

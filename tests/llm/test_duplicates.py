@@ -195,6 +195,17 @@ def test_exact_and_fuzzy_passages_are_found(spark, checkpoints):
     assert all(sizes[k] <= len(words(texts[k])) - 50 for k in range(1, 40))
 
 
+def test_all_passages_of_a_chain_are_found(spark, checkpoints):
+    first, second, texts, expected = prose(1, 60, 10**6), prose(2, 60, 10**6), {}, {}
+    texts[0] = f"{prose(3, 30, 10**6)} {first} {prose(4, 40, 10**6)} {second} {prose(5, 30, 10**6)}"
+    for k, apart in enumerate((20, 40, 70, 100, 150, 200), 1):
+        texts[k] = f"{prose(10 * k, 30, 10**6)} {first} {prose(10 * k + 1, apart, 10**6)} {second} {prose(10 * k + 2, 30, 10**6)}"
+        expected[k] = {(30, 90, 30, 90), (90 + apart, 150 + apart, 130, 190)}
+    found = chaining.passages(documents(spark, texts)).collect()
+    for k, spans in expected.items():
+        assert {(r.start_word, r.end_word, r.first_start, r.first_end) for r in found if r.doc_id == k and r.first_id == 0} == spans
+
+
 def test_every_exact_passage_of_the_given_documents(spark, checkpoints):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     seen, expected = {}, set()
