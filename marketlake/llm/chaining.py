@@ -2,8 +2,12 @@
 
 1. Seeds: of every 12 successive runs of five words the one of least hash (minimisers). Two documents that share
    16 words in a row share a seed, and of an exact passage of 50 words at least three.
-2. Every seed belongs to the first document (by id) and place that has it. Each other occurrence is joined to that
-   one, so the number of matches is linear in the occurrences, however many documents share a passage.
+2. Each occurrence of a seed is joined to the first document (by id) and place that has it and, unless the 50 words
+   from there on are the same, also to the first that has it with the same 8, 16, 39 and 50 words from there on, and
+   to the document before that has it. So the number of matches is linear in the occurrences, however many documents
+   share a passage, and runs of five words that other documents have singly do not hide the holder of a passage:
+   one of 50 words in a row that begins at most 11 words before a seed is joined to the first holder of 39 of them, one
+   of 61 to a holder of 50.
 3. The matches of a document with an owner are chained: both places must grow, every skipped word costs,
    and the best predecessor is found by a Fenwick tree over the owner's places (prefix maximum).
 4. Each chain is aligned word by word and extended on both sides: equal runs, and between them the nearest place
@@ -30,8 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.skew import apart
-from marketlake.llm.words import gram_hashes, word_bounds, word_hashes
+from marketlake.llm.words import gram_hashes, mixed, word_bounds, word_hashes
 from marketlake.session import stored, stored_alone
 
 SEED_WORDS = 5
@@ -41,6 +44,9 @@ IDENTITY = 0.75
 MARGIN = 128  # words by which a chain is extended on each side at most
 GAP_COST = 0.08  # per word skipped in either document
 LEAST_SEEDS = 2
+CONTEXTS = (8, 16, LEAST_WORDS - WINDOW + 1, LEAST_WORDS)  # words from a seed on whose first holders it is joined to
+BUCKET_BYTES = 4 << 20  # of text whose seeds are joined at once
+_MOST_SEEDS = 1 << 19  # in a batch
 _AGREE = 3  # words after which an alignment goes on
 _REACH = 16  # words within which it must
 
@@ -58,34 +64,142 @@ def seeds(words: np.ndarray, size: int = SEED_WORDS, window: int = WINDOW) -> np
     return np.unique(np.concatenate(out))
 
 
-def seed_table(docs: DataFrame) -> DataFrame:
-    """gram, doc, place of every seed of every document."""
-    schema = pa.schema([("gram", pa.int64()), ("doc", pa.int64()), ("place", pa.int32())])
+_RATIO = 0x9E3779B97F4A7C15
+_powers = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
+
+
+def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64."""
+    global _powers
+    if len(_powers[0]) < size:
+        size = max(size, 2 * len(_powers[0]))
+        _powers = tuple(
+            np.cumprod(np.concatenate([np.ones(1, dtype=np.uint64), np.full(size - 1, x, dtype=np.uint64)]))
+            for x in (_RATIO, pow(_RATIO, -1, 2**64))
+        )
+    return _powers
+
+
+def contexts(words: np.ndarray, at: np.ndarray, sizes: tuple[int, ...] = CONTEXTS) -> list[np.ndarray]:
+    """For each size a 32-bit hash of so many words from every place on; 0 where the text ends before."""
+    up, down = _power_tables(len(words) + 1)
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(words * up[:len(words)])])
+    out = []
+    for size in sizes:
+        inside = at + size <= len(words)
+        own = at[inside]
+        hashes = np.zeros(len(at), dtype=np.uint32)
+        hashes[inside] = np.maximum(mixed((sums[own + size] - sums[own]) * down[own]) >> np.uint64(32), 1)
+        out.append(hashes)
+    return out
+
+
+_RECORD = (np.uint64, np.int64, np.int32, *[np.uint32] * len(CONTEXTS))  # gram, doc, place, contexts
+_BUCKET = pa.schema([("bucket", pa.int32()), ("seeds", pa.binary())])
+
+
+def seed_table(docs: DataFrame, buckets: int) -> DataFrame:
+    """bucket, seeds: the seeds of all documents by a part of their hash, many in a row, column after column."""
+
+    def packed(columns: list[np.ndarray]) -> pa.RecordBatch:
+        bucket = ((columns[0] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        names, starts = np.unique(bucket[order], return_index=True)
+        columns = [x[order] for x in columns]
+        parts = [b"".join(x[i:j].tobytes() for x in columns) for i, j in zip(starts, [*starts[1:], len(order)])]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(parts, pa.binary())], schema=_BUCKET)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for batch in batches:
-            grams, docs_, places = [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = word_hashes(text.as_py().encode())
                 at = seeds(words)
-                if len(at):
-                    grams.append(gram_hashes(words, SEED_WORDS)[at].view(np.int64))
-                    docs_.append(np.full(len(at), doc, dtype=np.int64))
-                    places.append(at.astype(np.int32))
-            if grams:
-                columns = [pa.array(np.concatenate(x)) for x in (grams, docs_, places)]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long"), "text").dropna().mapInArrow(found, "gram long, doc long, place int")
-
-
-def matches(table: DataFrame) -> DataFrame:
-    """doc, owner, place, owner_place: every seed occurrence outside the first document that has the seed."""
-    owners = (
-        table.groupBy("gram").agg(F.min(F.struct("doc", "place")).alias("first"), F.max("doc").alias("last"))
-        .filter("last > first.doc").select("gram", F.col("first.doc").alias("owner"), F.col("first.place").alias("owner_place"))
-    )
-    return table.join(apart(owners, "gram"), "gram").filter("doc != owner").select("doc", "owner", "place", "owner_place")
+                if not len(at):
+                    continue
+                parts.append((gram_hashes(words, SEED_WORDS)[at], np.full(len(at), doc), at.astype(np.int32), *contexts(words, at)))
+                size += len(at)
+                if size >= _MOST_SEEDS:
+                    yield packed([np.concatenate(x) for x in zip(*parts)])
+                    parts, size = [], 0
+        if parts:
+            yield packed([np.concatenate(x) for x in zip(*parts)])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").dropna().mapInArrow(found, "bucket int, seeds binary")
+
+
+def _unpacked(parts: list[bytes]) -> list[np.ndarray]:
+    width = sum(np.dtype(x).itemsize for x in _RECORD)
+    columns = [[] for _ in _RECORD]
+    for part in parts:
+        start, count = 0, len(part) // width
+        for column, kind in zip(columns, _RECORD):
+            column.append(np.frombuffer(part, dtype=kind, count=count, offset=start))
+            start += count * np.dtype(kind).itemsize
+    return [np.concatenate(x) for x in columns]
+
+
+def links(gram: np.ndarray, doc: np.ndarray, place: np.ndarray, *context: np.ndarray) -> tuple[np.ndarray, ...]:
+    """doc, owner, place, owner_place: the matches of seed occurrences with earlier documents; see the module."""
+    order = np.lexsort((*context, place, doc, gram))
+    columns = [x[order] for x in (gram, doc, place, *context)]
+    new = np.ones(len(gram), dtype=bool)
+    new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
+    gram, doc, place, *context = (x[new] for x in columns)  # rows that repeat an id and a text count once
+    starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+    sizes = np.diff(np.append(starts, len(gram)))
+    shared = np.repeat(doc[starts] != doc[starts + sizes - 1], sizes)
+    group = np.repeat(np.arange(len(starts)), sizes)[shared]
+    doc, place, *context = (x[shared] for x in (doc, place, *context))
+    if not len(doc):
+        return doc, doc, place, place
+    every = np.arange(len(doc))
+
+    def heads(change: np.ndarray) -> np.ndarray:
+        """Where the stretch that each element is in begins; ``change`` tells of all but the first if it differs."""
+        return np.maximum.accumulate(np.where(np.concatenate([[True], change]), every, 0))
+
+    first = heads(group[1:] != group[:-1])
+    own = heads((group[1:] != group[:-1]) | (doc[1:] != doc[:-1]))
+    rest = every[(context[-1] == 0) | (context[-1] != context[-1][first])]
+    pairs = [(every, first), (rest, np.where(own > first, own - 1, first)[rest])]
+    for x in context:
+        order = np.lexsort((every, x, group))
+        head = np.empty_like(every)
+        head[order] = order[heads((group[order][1:] != group[order][:-1]) | (x[order][1:] != x[order][:-1]))]
+        known = rest[x[rest] != 0]
+        pairs.append((known, head[known]))
+    left, right = (np.concatenate(x) for x in zip(*pairs))
+    apart = doc[left] != doc[right]
+    left, right = np.divmod(np.unique(left[apart] * len(doc) + right[apart]), len(doc))
+    return doc[left], doc[right], place[left], place[right]
+
+
+def matches(docs: DataFrame) -> DataFrame:
+    """doc, owner, place, owner_place: the seeds that a document shares with earlier ones. A task holds the
+    seeds of one bucket at a time, and they are all that is shuffled of the texts."""
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    schema = pa.schema([("doc", pa.int64()), ("owner", pa.int64()), ("place", pa.int32()), ("owner_place", pa.int32())])
+
+    def result(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        columns = links(*_unpacked(parts))
+        for start in range(0, len(columns[0]), _MOST_SEEDS):
+            yield pa.RecordBatch.from_arrays([pa.array(x[start:start + _MOST_SEEDS]) for x in columns], schema=schema)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for batch in batches:
+            for bucket, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if bucket != now and parts:
+                    yield from result(parts)
+                    parts = []
+                now = bucket
+                parts.append(part)
+        if parts:
+            yield from result(parts)
+
+    by_bucket = seed_table(docs, max(8, -(-total // BUCKET_BYTES))).repartition("bucket").sortWithinPartitions("bucket")
+    return by_bucket.mapInArrow(joined, "doc long, owner long, place int, owner_place int")
 
 
 class Fenwick:
@@ -271,7 +385,7 @@ def passages(docs: DataFrame, least_words: int = LEAST_WORDS, identity: float =
 
 def _passages(docs: DataFrame, least_words: int, identity: float) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").dropna()
-    found = stored(chain_table(matches(stored(seed_table(docs), "seeds"))), "chains")
+    found = stored(chain_table(matches(docs)), "chains")
     key = F.struct("doc", "owner", "low", "high", "owner_low", "owner_high").alias("chain")
     mine = found.select(key, F.lit(True).alias("mine"), "doc", "low", "high", "steps")
     theirs = found.select(

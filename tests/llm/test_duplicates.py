@@ -206,6 +206,18 @@ def test_all_passages_of_a_chain_are_found(spark, checkpoints):
         assert {(r.start_word, r.end_word, r.first_start, r.first_end) for r in found if r.doc_id == k and r.first_id == 0} == spans
 
 
+def test_passages_whose_parts_other_documents_hold_are_found(spark, checkpoints):
+    texts, expected = {}, set()
+    for k in range(12):  # every run of seven words of a passage is in a document before, each in another
+        own = prose(k, 60, 10**6).split()
+        for i in range(54):
+            texts[1000 * k + i] = f"{prose(100 * k + i, 30, 10**6)} {' '.join(own[i:i + 7])} {prose(7000 + 100 * k + i, 30, 10**6)}"
+        for i in (100, 200):
+            texts[1000 * k + i] = f"{prose(9000 + 1000 * k + i, 40, 10**6)} {' '.join(own)} {prose(30000 + 1000 * k + i, 40, 10**6)}"
+        expected.add((1000 * k + 200, 1000 * k + 100, 40, 100))
+    assert expected == {(r.doc_id, r.first_id, r.start_word, r.end_word) for r in chaining.passages(documents(spark, texts)).collect()}
+
+
 def test_every_exact_passage_of_the_given_documents(spark, checkpoints):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     seen, expected = {}, set()
