@@ -1,13 +1,12 @@
 """Repeated passages across documents by collinear chaining of shared word k-mers.
 
-1. Seeds: of every 12 successive runs of five words the one of least hash (minimisers). Two documents that share
-   16 words in a row share a seed, and of an exact passage of 50 words at least three.
+1. Seeds: of every 4 successive runs of five words the one of least hash (minimisers). Two documents that share
+   8 words in a row share a seed, and of an exact passage of 50 words at least eleven.
 2. Each occurrence of a seed is joined to the first document (by id) and place that has it and, unless the 50 words
-   from there on are the same, also to the first that has it with the same 8, 16, 39 and 50 words from there on, and
+   from there on are the same, also to the first that has it with the same 8, 16, 47 and 50 words from there on, and
    to the document before that has it. So the number of matches is linear in the occurrences, however many documents
    share a passage, and runs of five words that other documents have singly do not hide the holder of a passage:
-   one of 50 words in a row that begins at most 11 words before a seed is joined to the first holder of 39 of them, one
-   of 61 to a holder of 50.
+   one of 50 words in a row is joined to the first holder of 47 of its words, one of 53 to that of 50.
 3. The matches of a document with an owner are chained: both places must grow, every skipped word costs,
    and the best predecessor is found by a Fenwick tree over the owner's places (prefix maximum).
 4. Each chain is aligned word by word and extended on both sides: equal runs, and between them the nearest place
@@ -16,7 +15,8 @@
 
 Passages of at least 50 words with at least 75 per cent equal words are returned, with the document, the earlier
 document that holds it, and the words' places in both. The first holder of a passage is named by the others.
-Matching is grouped by pairs of documents, never by seed, so a passage that most documents share is spread.
+Chaining is grouped by pairs of documents, so a passage that most documents share is spread. Seeds are joined by
+buckets of their hash: a task holds all occurrences of its seeds, 36 bytes each, also of one that most documents have.
 
 Defined cases: null and empty texts and those of fewer than 50 words have no passages; a row with a null id takes no part; rows that repeat
 an id and a text count once (passages are sought between different ids); an id that stands for several texts
@@ -38,11 +38,11 @@ from marketlake.llm.words import gram_hashes, mixed, word_bounds, word_hashes
 from marketlake.session import stored, stored_alone
 
 SEED_WORDS = 5
-WINDOW = 12
+WINDOW = 4
 LEAST_WORDS = 50
 IDENTITY = 0.75
 MARGIN = 128  # words by which a chain is extended on each side at most
-GAP_COST = 0.08  # per word skipped in either document
+GAP_COST = 0.04  # per word skipped in either document; seeds less than 62 words apart are linked
 LEAST_SEEDS = 2
 CONTEXTS = (8, 16, LEAST_WORDS - WINDOW + 1, LEAST_WORDS)  # words from a seed on whose first holders it is joined to
 BUCKET_BYTES = 4 << 20  # of text whose seeds are joined at once

@@ -176,6 +176,19 @@ def test_chains_are_best_and_collinear(seed):
     assert len(used) == len(set(used))
 
 
+def test_eight_equal_words_share_a_seed_and_seeds_of_a_passage_are_chained():
+    for k in range(200):
+        pick = np.random.default_rng(k)
+        shared = pick.integers(0, 2**63, 8).astype(np.uint64)
+        grams = []
+        for _ in range(2):
+            own = np.concatenate([pick.integers(0, 2**63, 20).astype(np.uint64), shared, pick.integers(0, 2**63, 20).astype(np.uint64)])
+            grams.append(set(hashing.gram_hashes(own, chaining.SEED_WORDS)[chaining.seeds(own)].tolist()))
+        assert grams[0] & grams[1]
+    for apart in (32, 45, 60):
+        assert chaining.chains(np.array([10, 10 + apart]), np.array([70, 70 + apart])) == [[0, 1]]
+
+
 def test_exact_and_fuzzy_passages_are_found(spark, checkpoints):
     passage, texts, expected = prose(1, 70, 10**6), {}, {}
     for k in range(40):
