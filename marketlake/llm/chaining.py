@@ -11,7 +11,7 @@
    and the best predecessor is found by a Fenwick tree over the owner's places (prefix maximum).
 4. Each chain is aligned word by word and extended on both sides: equal runs, and between them the nearest place
    where three words agree again. Where none is near the alignment ends, and the next seed of the chain that no
-   alignment has passed starts another. The stretch of each in which words agree best against 75 per cent is a passage.
+   alignment has passed starts another. The longest stretches of each with 50 words and 75 per cent equal are passages.
 
 Passages of at least 50 words with at least 75 per cent equal words are returned, with the document, the earlier
 document that holds it, and the words' places in both. The first holder of a passage is named by the others.
@@ -358,23 +358,77 @@ def _passes(runs: list[tuple[int, int, int]], at: int, other_at: int) -> bool:
     return k >= 0 and at < runs[k][0] + runs[k][2] and at - runs[k][0] == other_at - runs[k][1]
 
 
-def best_stretch(runs: list[tuple[int, int, int]], identity: float = IDENTITY) -> tuple[int, int, int, int, int]:
-    """The best stretch of equal runs: start and end in a and in b, and the equal words in it. Equal words count
-    1 - identity and others -identity; the stretch has the most."""
-    best, now, start = (0.0, 0, 0, 0), 0.0, 0
-    equal = first_equal = 0
-    for k, (i, j, n) in enumerate(runs):
-        if k:
-            gap = max(i - runs[k - 1][0] - runs[k - 1][2], j - runs[k - 1][1] - runs[k - 1][2])
-            now -= identity * gap
-        if now <= 0:
-            now, start, first_equal = 0.0, k, equal
-        now += (1 - identity) * n
-        equal += n
-        if now > best[0]:
-            best = now, start, k, equal - first_equal
-    (i, j, _), (p, q, n) = runs[best[1]], runs[best[2]]
-    return i, p + n, j, q + n, best[3]
+def _diagonals(a: np.ndarray, b: np.ndarray, i: int, p: int, j: int, q: int) -> list[tuple[int, int, int]]:
+    """Equal runs of any length between two places, with the words left over in one of both set in where most agree."""
+    size, out = min(p - i, q - j), []
+    if size <= 0:
+        return out
+    left, right = a[i:i + size] == b[j:j + size], a[p - size:p] == b[q - size:q]
+    split = int((np.concatenate([[0], np.cumsum(left)]) + np.concatenate([np.cumsum(right[::-1])[::-1], [0]])).argmax())
+    for equal, x, y in ((left[:split], i, j), (right[split:], p - size + split, q - size + split)):
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], equal.astype(np.int8), [0]]))).tolist()
+        out += [(x + e, y + e, f - e) for e, f in zip(edges[::2], edges[1::2])]
+    return out
+
+
+def _filled(a: np.ndarray, b: np.ndarray, runs: list[tuple[int, int, int]], ends: int = 0) -> list[tuple[int, int, int]]:
+    """The runs with the shorter equal ones between them, and with those in so many words before and after all."""
+    (i, j, _), (p, q, n) = runs[0], runs[-1]
+    before, after = min(ends, i, j), min(ends, len(a) - p - n, len(b) - q - n)
+    out = _diagonals(a, b, i - before, i, j - before, j) + runs[:1]
+    for run in runs[1:]:
+        x, y, size = out[-1]
+        out += [*_diagonals(a, b, x + size, run[0], y + size, run[1]), run]
+    return out + _diagonals(a, b, p + n, p + n + after, q + n, q + n + after)
+
+
+def _longest(runs: list[tuple[int, int, int]], least: int, identity: float) -> list[tuple[int, int, int, int, int]]:
+    """The longest stretch of runs with enough words and enough of them equal, then those on both sides of it."""
+    out, open_ = [], [(0, len(runs))]
+    i, j, n = np.array(runs, dtype=np.int64).reshape(-1, 3).T
+    total = np.concatenate([[0], np.cumsum(n)])
+    x, y = total[1:] - identity * (i + n), total[1:] - identity * (j + n)
+    while open_:
+        low, high = open_.pop()
+        best, chosen = least - 1, None
+        for s in range(low, high):
+            if i[high - 1] + n[high - 1] - i[s] <= best:
+                break
+            t = s + int(np.searchsorted((i + n)[s:high] - i[s], best + 1))
+            good = (x[t:high] >= total[s] - identity * i[s] - 1e-9) & (y[t:high] >= total[s] - identity * j[s] - 1e-9)
+            good &= (j + n)[t:high] - j[s] >= least
+            if good.any():
+                chosen = s, t + int(np.flatnonzero(good)[-1])
+                best = int(i[chosen[1]] + n[chosen[1]] - i[s])
+        if chosen:
+            s, t = chosen
+            out.append((int(i[s]), int(i[t] + n[t]), int(j[s]), int(j[t] + n[t]), int(total[t + 1] - total[s])))
+            open_ += [(low, s), (t + 1, high)]
+    return out
+
+
+def stretches(
+    found: list[list[tuple[int, int, int]]], a: np.ndarray, b: np.ndarray, least: int = LEAST_WORDS, identity: float = IDENTITY
+) -> list[tuple[int, int, int, int, int]]:
+    """The longest stretches with enough words and enough of them equal: start and end in a and in b, equal words.
+
+    Each alignment is taken by itself. Those without such a stretch are tried once more, with the words at their ends
+    and together with their neighbours.
+    """
+    out, rest = [], []
+    for runs in found:
+        own = _longest(_filled(a, b, runs), least, identity)
+        out += own
+        if own:
+            rest.append([])
+        elif rest and rest[-1] and runs[0][0] >= sum(rest[-1][-1][::2]) and runs[0][1] >= sum(rest[-1][-1][1:]):
+            rest[-1] += runs
+        else:
+            rest.append(list(runs))
+    for runs in rest:
+        if runs:
+            out += _longest(_filled(a, b, runs, _REACH), least, identity)
+    return out
 
 
 def passages(docs: DataFrame, least_words: int = LEAST_WORDS, identity: float = IDENTITY) -> DataFrame:
@@ -427,11 +481,8 @@ def _passages(docs: DataFrame, least_words: int, identity: float) -> DataFrame:
             for doc, owner, low, other_low, start, words, steps, other_start, others in zip(*(x.to_pylist() for x in batch.columns)):
                 a, b = np.frombuffer(words, dtype=np.uint32), np.frombuffer(others, dtype=np.uint32)
                 anchors = [(x, y) for x, y in _anchors(steps, low - start, other_low - other_start) if x < len(a) and y < len(b)]
-                for runs in alignments(a, b, anchors):
-                    i, p, j, q, equal = best_stretch(runs, identity)
-                    size = max(p - i, q - j)
-                    if min(p - i, q - j) >= least_words and equal >= identity * size:
-                        rows.append((doc, owner, start + i, start + p, other_start + j, other_start + q, p - i, equal / size))
+                for i, p, j, q, equal in stretches(alignments(a, b, anchors), a, b, least_words, identity):
+                    rows.append((doc, owner, start + i, start + p, other_start + j, other_start + q, p - i, equal / max(p - i, q - j)))
             columns = list(zip(*rows)) if rows else [[] for _ in schema]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 

@@ -231,6 +231,20 @@ def test_passages_whose_parts_other_documents_hold_are_found(spark, checkpoints)
     assert expected == {(r.doc_id, r.first_id, r.start_word, r.end_word) for r in chaining.passages(documents(spark, texts)).collect()}
 
 
+@pytest.mark.parametrize("parts", [(45, 5, 10), (45, 4, 9), (10, 5, 45), (20, 2, 2, 2, 2, 2, 25), (40, 20, 40)])
+def test_the_longest_stretch_counts(spark, checkpoints, parts):
+    own = prose(1, sum(parts), 10**6).split()
+    other, place = list(own), 0
+    for k, size in enumerate(parts):  # every second part is changed
+        if k % 2:
+            other[place:place + size] = prose(50 + k, size, 10**6).split()
+        place += size
+    texts = {k: f"{prose(10 + k, 30, 10**6)} {' '.join(x)} {prose(20 + k, 30, 10**6)}" for k, x in enumerate((own, other))}
+    row, = chaining.passages(documents(spark, texts)).collect()
+    assert (row.doc_id, row.first_id, row.start_word, row.end_word) == (1, 0, 30, 30 + sum(parts))
+    assert abs(row.identity - sum(parts[::2]) / sum(parts)) < 1e-9
+
+
 def test_every_exact_passage_of_the_given_documents(spark, checkpoints):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     seen, expected = {}, set()
