@@ -7,8 +7,8 @@ are encoded in batches by the library's own threads.
 Where no piece has the marker anywhere but at its start, a text's ids are those of its words, so the distinct
 words of a batch are encoded once. Parity is verified against the sentencepiece library on the very same
 units: for every text, each distinct word in it (or the whole text, if the model has other pieces) is encoded by
-both libraries; ``parity`` tells whether all agree. Where they differ (two merges of one score), the ids of the
-sentencepiece library are taken, so ids are always the model's own.
+both libraries; ``parity`` tells whether all agree. The ids are those of the tokenizers pipeline. Only of a word or text
+on which the two differ (two merges of one score) those of the sentencepiece library are taken, and parity is false.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; repeated rows are encoded once
 each; an empty table gives no rows; other columns are ignored.
@@ -104,11 +104,12 @@ class PieceEncoder:
         self._forget()
 
     def _both(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
-        """Ids of whole texts, and whether both libraries agree on them."""
+        """Ids of whole texts from the rebuilt pipeline (the model's own where they differ), and whether both libraries agree."""
         own = [x.ids for x in self.tokenizer.encode_batch(
             [MARK + x if self.prefix and x else x for x in texts], add_special_tokens=False)]
         theirs = self.processor.encode(texts, num_threads=1)
-        return theirs, [a == b for a, b in zip(own, theirs)]
+        agree = [a == b for a, b in zip(own, theirs)]
+        return [a if same else b for a, b, same in zip(own, theirs, agree)], agree
 
     def text_of(self, ids: list[int]) -> str:
         """The text that the ids stand for."""
@@ -177,18 +178,20 @@ class PieceEncoder:
         self.flat = np.zeros(1 << 14, dtype=np.uint32)
 
     def _learn(self, words: list[str]) -> None:
-        """Encode new words with both libraries, many in one text, and decode them again."""
+        """Encode new words with the rebuilt pipeline, many in one text, verify the ids against the sentencepiece library,
+        and decode them again."""
         groups = [words[i:i + _WORDS_A_TEXT] for i in range(0, len(words), _WORDS_A_TEXT)]
         own = self.tokenizer.encode_batch_fast([MARK + MARK.join(x) for x in groups], add_special_tokens=False)
         theirs = self.processor.encode([" ".join(x) for x in groups], num_threads=1)
-        back = self.tokenizer.decode_batch(theirs, skip_special_tokens=False)
+        found = [x.ids for x in own]
+        back = self.tokenizer.decode_batch(found, skip_special_tokens=False)
         ids, counts, same, returns = [], [], [], []
-        for group, mine, right, text in zip(groups, own, theirs, back):
-            right = np.array(right, dtype=np.uint32)
-            starts = np.flatnonzero(self.begins[right])
-            if np.array_equal(mine.ids, right) and text == " " + " ".join(group) and len(starts) == len(group):
-                ids.append(right)
-                counts.append(np.diff(np.append(starts, len(right))))
+        for group, coded, right, text in zip(groups, found, theirs, back):
+            mine = np.array(coded, dtype=np.uint32)
+            starts = np.flatnonzero(self.begins[mine])
+            if coded == right and text == " " + " ".join(group) and len(starts) == len(group):
+                ids.append(mine)
+                counts.append(np.diff(np.append(starts, len(mine))))
                 same.append(np.ones(len(group), dtype=bool))
                 returns.append(same[-1])
             else:

@@ -4,8 +4,8 @@ Writing is plain DataFrame code: a record is one string, and Spark's text writer
 bounded number of records. A page whose payload of at least 1000 bytes equals that of a page with a larger id is a
 revisit record without payload that names the other one; all other pages are response records.
 
-Reading takes each archive (plain, or gzip with one or more members) as one row of Spark's binary reader, so up to
-2 GB; the writer's files are far smaller. The salvage reader checks every
+Reading takes each archive (plain, or gzip with one or more members) as one row of Spark's binary reader, so a task
+holds one of up to 1 GB; the writer's files are far smaller, longer ones are refused as one gap. The salvage reader checks every
 record: version line, header lines, Content-Length, the blank lines after the block, and the payload digest.
 Where a check fails it searches for the next gzip member that unpacks to a record, or for the next version line
 that starts a sound record, goes on from there, and returns the bytes between as a quarantined gap with its
@@ -30,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators.joins import join_dimension
 from marketlake.session import new_folder, stored
 
 LEAST_SHARED_BYTES = 1000
 FILE_BYTES = 16 << 20
-BROADCAST_ROWS = 1_000_000  # of 32 bytes each
+MOST_BYTES = 1 << 30  # of an archive that a task reads at once
 WARC_DATE = "2024-01-01T00:00:00Z"  # written where no capture time is known
 
 # Fixed values of the format.
@@ -68,9 +69,7 @@ def write_pages(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, com
         .agg(F.max("page_id").alias("original"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("digest", "original"),
         "originals",
     )
-    if shared.count() <= BROADCAST_ROWS:
-        shared = F.broadcast(shared)
-    rows = rows.join(shared, "digest", "left")
+    rows = join_dimension(rows, shared, "digest", "left")
     total, count = pages.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0)), F.count(F.lit(1))).first()
     revisit = F.coalesce(F.col("original") != F.col("page_id"), F.col("original").isNotNull()) & (F.col("bytes") >= LEAST_SHARED_BYTES)
     name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(">"))
@@ -110,6 +109,7 @@ class Record:
     payload: bytes = b""
     reason: str | None = None
     http_length: int | None = None  # of the full payload, by a revisit's HTTP headers
+    digest: str | None = None  # the SHA-1 that the headers claim, in hex
 
 
 class Damaged(Exception):
@@ -125,16 +125,37 @@ def _payload(headers: dict[str, str], block: bytes) -> bytes:
     return block
 
 
-def _digest_ok(value: str, payload: bytes) -> bool:
+def _number(digits: str | bytes) -> int:
+    """A length in a header; raises Damaged unless it is one that a file can have."""
+    if not digits.isascii() or not digits.isdigit() or len(digits) > 18:
+        raise Damaged("no readable length")
+    return int(digits)
+
+
+def _sha1(value: str) -> str | None:
+    """The SHA-1 that a digest header claims, in hex, from base 32 or hex of either case; None for another algorithm,
+    which is taken as it is. Raises Damaged if it cannot be read."""
     kind, _, digest = value.partition(":")
     if kind.lower() != "sha1":
-        return True  # another algorithm is taken as it is
-    own = hashlib.sha1(payload)
-    return digest in (base64.b32encode(own.digest()).decode(), own.hexdigest())
+        return None
+    try:
+        found = base64.b32decode(digest, casefold=True) if len(digest) == 32 else bytes.fromhex(digest)
+    except ValueError:
+        found = b""
+    if len(found) != 20:
+        raise Damaged("a digest that cannot be read")
+    return found.hex()
 
 
 def parse_record(data: bytes, start: int) -> tuple[Record, int]:
-    """The record at a place and where it ends; raises Damaged."""
+    """The record at a place and where it ends; raises Damaged, whatever the bytes are."""
+    try:
+        return _parsed(data, start)
+    except (ArithmeticError, LookupError, TypeError, ValueError) as found:
+        raise Damaged(f"unreadable: {type(found).__name__}") from found
+
+
+def _parsed(data: bytes, start: int) -> tuple[Record, int]:
     version = _VERSION.match(data, start)
     if not version:
         raise Damaged("no version line")
@@ -147,22 +168,18 @@ def parse_record(data: bytes, start: int) -> tuple[Record, int]:
         if not colon or not name.strip():
             raise Damaged("a header line without a name")
         headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
-    length = headers.get("content-length", "")
-    if not length.isascii() or not length.isdigit():
-        raise Damaged("no content length")
-    end = head_end.end() + int(length)
+    end = head_end.end() + _number(headers.get("content-length", ""))
     if end > len(data):
         raise Damaged("the block is cut off")
     if data[end:end + 4] != b"\r\n\r\n":
         raise Damaged("no blank lines after the block")
     payload = _payload(headers, data[head_end.end():end])
-    claimed = headers.get("warc-payload-digest")
-    if claimed and headers.get("warc-type") != "revisit" and not _digest_ok(claimed, payload):
-        raise Damaged("the payload digest differs")
-    record = Record(start, end + 4 - start, headers, payload)
+    record = Record(start, end + 4 - start, headers, payload, digest=_sha1(headers.get("warc-payload-digest", "")))
     if headers.get("warc-type") == "revisit":
         told = re.search(rb"(?mi)^content-length:[ \t]*(\d+)", data[head_end.end():end - len(payload)])
-        record.http_length = int(told[1]) if told else None
+        record.http_length = _number(told[1]) if told else None
+    elif record.digest and record.digest != hashlib.sha1(payload).hexdigest():
+        raise Damaged("the payload digest differs")
     return record, end + 4
 
 
@@ -269,20 +286,17 @@ _BATCH_BYTES = 8 << 20
 
 def _row(archive: str, record: Record, with_payload: bool) -> tuple:
     headers = record.headers
-    claimed = headers.get("warc-payload-digest", "").partition(":")
-    digest = claimed[2] if claimed[0].lower() == "sha1" else ""
-    if len(digest) == 32:
-        digest = base64.b32decode(digest).hex()
     size = len(record.payload) if record.http_length is None else record.http_length
     return (
         archive, record.offset, record.length, record.reason, headers.get("warc-type"), headers.get("warc-record-id"),
-        headers.get("warc-target-uri"), digest.lower() or None, headers.get("warc-refers-to"),
+        headers.get("warc-target-uri"), record.digest, headers.get("warc-refers-to"),
         None if record.reason else size, record.payload if with_payload and not record.reason else None,
     )
 
 
-def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """A row per record and per quarantined gap (``gap_reason`` not null) of all archives in a folder."""
+def read_archives(spark: SparkSession, folder: str, with_payload: bool = True, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """A row per record and per quarantined gap (``gap_reason`` not null) of all archives in a folder. An archive of
+    more than ``most_bytes`` is not read: it is one gap."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -304,8 +318,12 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
         "archive string, offset long, length long, gap_reason string, record_type string, record_id string, target_uri string, "
         "payload_digest string, refers_to string, payload_length long, payload binary"
     )
-    files = spark.read.format("binaryFile").load(folder).select("path", "content")
-    return files.mapInArrow(read, kinds)
+    files = spark.read.format("binaryFile").load(folder)
+    read_whole = files.filter(F.col("length") <= most_bytes).select("path", "content").mapInArrow(read, kinds)
+    refused = files.filter(F.col("length") > most_bytes).select(
+        F.col("path").alias("archive"), F.lit(0).cast("long").alias("offset"), "length", F.lit("the archive is too long").alias("gap_reason")
+    )
+    return read_whole.unionByName(refused, allowMissingColumns=True)
 
 
 def quarantined(records: DataFrame) -> DataFrame:
