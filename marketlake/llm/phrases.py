@@ -43,9 +43,9 @@ LEAST_COUNT = 30
 FIRST = 2000  # phrases returned for a language
 SCALE = 2_000_000
 COVER = 80  # per cent of a phrase's occurrences inside a longer one at which it is dropped
-GROUP_SUFFIXES = 1 << 21  # the budget: suffixes in a group
-_MOST_GROUPS = 1 << 19  # beyond so many groups the budget grows instead
-_CHUNK_BYTES = 8 << 20  # of text at a time
+GROUP_SUFFIXES = 1 << 19  # the budget: suffixes in a group
+_MOST_GROUPS = 1 << 20  # beyond so many groups the budget grows instead
+_CHUNK_BYTES = 4 << 20  # of text at a time
 _NO_WORD = 0
 
 _BREAKS = np.zeros(256, dtype=bool)
@@ -205,9 +205,9 @@ def _unpacked(part: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     size, used, *kinds = np.frombuffer(part, dtype=np.int64, count=4).tolist()
     names, at, columns = np.frombuffer(part, dtype=np.uint64, count=used, offset=32), 32 + 8 * used, []
     for kind in [_KINDS[kinds[0]]] * MOST_WORDS + [_KINDS[kinds[1]]]:
-        columns.append(np.frombuffer(part, dtype=kind, count=size, offset=at).astype(np.int64))
+        columns.append(np.frombuffer(part, dtype=kind, count=size, offset=at))
         at += size * np.dtype(kind).itemsize
-    return columns[:-1], names, columns[-1]
+    return columns[:-1], names, columns[-1].astype(np.int64)
 
 
 def nodes(parts: list[bytes], heavy: np.ndarray, least: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -215,9 +215,11 @@ def nodes(parts: list[bytes], heavy: np.ndarray, least: int) -> tuple[list[np.nd
     group. Nodes that other groups may have too, those of very frequent words only, are returned whatever their count."""
     opened = [_unpacked(x) for x in parts]
     names, place = np.unique(np.concatenate([x[1] for x in opened] + [np.array([_NO_WORD], dtype=np.uint64)]), return_inverse=True)
+    place = place.astype(np.int32)
     shift = np.cumsum([0, *(len(x[1]) for x in opened)])
     words = [np.concatenate([place[x[0][k] + at] for x, at in zip(opened, shift)]) for k in range(MOST_WORDS)]
     counts = np.concatenate([x[2] for x in opened])
+    del opened
     frequent = np.isin(names, heavy)
     path, split = words[0], frequent[words[0]]
     found, totals = [], []
@@ -226,7 +228,7 @@ def nodes(parts: list[bytes], heavy: np.ndarray, least: int) -> tuple[list[np.nd
         words, path, split, counts = [x[inside] for x in words], path[inside], split[inside], counts[inside]
         if not len(counts):
             break
-        key = path * len(names) + words[depth]
+        key = path.astype(np.int64) * len(names) + words[depth]
         order = np.argsort(key, kind="stable")
         starts = np.flatnonzero(np.concatenate([[True], np.diff(key[order]) > 0]))
         sums = np.add.reduceat(counts[order], starts)
