@@ -16,7 +16,9 @@
 Passages of at least 50 words with at least 75 per cent equal words are returned, with the document, the earlier
 document that holds it, and the words' places in both. The first holder of a passage is named by the others.
 Chaining is grouped by pairs of documents, so a passage that most documents share is spread. Seeds are joined by
-buckets of their hash: a task holds all occurrences of its seeds, 36 bytes each, also of one that most documents have.
+buckets of their hash: a task holds all occurrences of its seeds, 26 bytes each, also of one that most documents have.
+Of a seed's hash 40 bits and the bucket are kept, and short tags of its contexts, told apart within the shorter ones: a
+match that is none is refused by the alignment, one that is lost has odds of about 1e-5 a seed.
 
 Defined cases: null and empty texts and those of fewer than 50 words have no passages; a row with a null id takes no part; rows that repeat
 an id and a text count once (passages are sought between different ids); an id that stands for several texts
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.llm.words import gram_hashes, mixed, word_bounds, word_hashes
+from marketlake.llm.words import gram_hashes, hashes_between, joined_texts, mixed, row_ranges, word_bounds, word_hashes
 from marketlake.session import stored, stored_alone
 
 SEED_WORDS = 5
@@ -46,22 +48,40 @@ GAP_COST = 0.04  # per word skipped in either document; seeds less than 62 words
 LEAST_SEEDS = 2
 CONTEXTS = (8, 16, LEAST_WORDS - WINDOW + 1, LEAST_WORDS)  # words from a seed on whose first holders it is joined to
 BUCKET_BYTES = 4 << 20  # of text whose seeds are joined at once
-_MOST_SEEDS = 1 << 19  # in a batch
+_MOST_SEEDS = 1 << 18  # in a batch
+_CHUNK_BYTES = 1 << 20  # of text at a time
+_CONTEXT_BITS = 24
 _AGREE = 3  # words after which an alignment goes on
 _REACH = 16  # words within which it must
 
 
 def seeds(words: np.ndarray, size: int = SEED_WORDS, window: int = WINDOW) -> np.ndarray:
-    """Places of the minimisers among the runs of ``size`` words."""
-    grams = gram_hashes(words, size) if len(words) >= size else np.empty(0, dtype=np.uint64)
-    if len(grams) <= window:
-        return np.array([grams.argmin()]) if len(grams) else np.empty(0, dtype=np.int64)
-    out = []
-    block = 1 << 20
-    for start in range(0, len(grams) - window + 1, block):
-        view = np.lib.stride_tricks.sliding_window_view(grams[start:start + block + window - 1], window)
-        out.append(np.unique(view.argmin(axis=1) + np.arange(start, start + len(view))))
-    return np.unique(np.concatenate(out))
+    """Places of the minimisers among the runs of ``size`` words of one text."""
+    if len(words) < size:
+        return np.empty(0, dtype=np.int64)
+    grams = np.maximum(gram_hashes(words, size), 1)
+    return minimisers(grams, np.full(len(grams), len(grams)), window)
+
+
+def minimisers(grams: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
+    """Places of the minimisers of several texts: those of least hash (the first of equal ones) among ``window`` successive runs of words, or
+    among all runs of a shorter text. ``grams`` are not 0, but where no run starts; ``sizes`` has the number of runs of
+    the text that each is in."""
+    count = len(grams)
+    reach = np.ones(count, dtype=np.int8)
+    for side in (1, -1):
+        going = np.ones(count, dtype=bool)
+        for step in range(1, min(window, count)):
+            here, there = (grams[:-step], grams[step:]) if side > 0 else (grams[step:], grams[:-step])
+            least = there >= here if side > 0 else there > here
+            if side > 0:
+                going[:-step] &= least
+                going[-step:] = False
+            else:
+                going[step:] &= least
+                going[:step] = False
+            reach += going
+    return np.flatnonzero((grams != 0) & (reach >= np.minimum(sizes, window)))
 
 
 _RATIO = 0x9E3779B97F4A7C15
@@ -80,72 +100,109 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def contexts(words: np.ndarray, at: np.ndarray, sizes: tuple[int, ...] = CONTEXTS) -> list[np.ndarray]:
-    """For each size a 32-bit hash of so many words from every place on; 0 where the text ends before."""
+def contexts(words: np.ndarray, at: np.ndarray, ends: np.ndarray, sizes: tuple[int, ...] = CONTEXTS) -> list[np.ndarray]:
+    """For each size a short hash, not 0, of so many words from every place on; 0 where the text ends (``ends``) before."""
     up, down = _power_tables(len(words) + 1)
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(words * up[:len(words)])])
     out = []
-    for size in sizes:
-        inside = at + size <= len(words)
+    for size, (_, kept) in zip(sizes, _RECORD[3:]):
+        inside = at + size <= ends
         own = at[inside]
         hashes = np.zeros(len(at), dtype=np.uint32)
-        hashes[inside] = np.maximum(mixed((sums[own + size] - sums[own]) * down[own]) >> np.uint64(32), 1)
+        hashes[inside] = np.maximum(mixed((sums[own + size] - sums[own]) * down[own]) >> np.uint64(64 - 8 * kept), 1)
         out.append(hashes)
     return out
 
 
-_RECORD = (np.uint64, np.int64, np.int32, *[np.uint32] * len(CONTEXTS))  # gram, doc, place, contexts
+def seed_columns(doc: np.ndarray, texts: pa.Array) -> list[np.ndarray]:
+    """gram, doc, place and contexts of the seeds of some texts."""
+    data, places = joined_texts(texts)
+    starts, ends = word_bounds(data)
+    words = hashes_between(data, starts, ends)
+    first = np.searchsorted(starts, places)
+    sizes = np.diff(first)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    if len(words) < SEED_WORDS:
+        return [np.empty(0, dtype=x) for x in (np.uint64, np.int64, np.int32, *[np.uint32] * len(CONTEXTS))]
+    grams = np.zeros(len(words), dtype=np.uint64)
+    inside = np.flatnonzero(np.arange(len(words)) + SEED_WORDS <= first[row + 1])
+    grams[inside] = np.maximum(gram_hashes(words, SEED_WORDS)[inside], 1)
+    at = minimisers(grams, np.maximum(sizes - SEED_WORDS + 1, 0)[row], WINDOW)
+    return [grams[at], doc[row[at]], (at - first[row[at]]).astype(np.int32), *contexts(words, at, first[row[at] + 1])]
+
+
+# Bytes kept of each column. A bucket's number holds the other bits of the gram. Longer contexts are told apart among
+# those with equal shorter ones, so they need few bits.
+_RECORD = ((np.uint64, 5), (np.int64, 8), (np.int32, 4), (np.uint32, 3), *[(np.uint32, 2)] * (len(CONTEXTS) - 1))
 _BUCKET = pa.schema([("bucket", pa.int32()), ("seeds", pa.binary())])
+_GRAM_BITS = np.uint64(40)
+
+
+def _planes(column: np.ndarray, kept: int) -> bytes:
+    """The low bytes of numbers, byte by byte: bytes of one rank compress well."""
+    return np.ascontiguousarray(column.view(np.uint8).reshape(len(column), -1)[:, :kept].T).tobytes()
+
+
+def _from_planes(data: bytes, start: int, count: int, kind: type, kept: int) -> np.ndarray:
+    out = np.zeros((count, np.dtype(kind).itemsize), dtype=np.uint8)
+    out[:, :kept] = np.frombuffer(data, dtype=np.uint8, count=count * kept, offset=start).reshape(kept, count).T
+    return out.view(kind)[:, 0]
 
 
 def seed_table(docs: DataFrame, buckets: int) -> DataFrame:
     """bucket, seeds: the seeds of all documents by a part of their hash, many in a row, column after column."""
 
     def packed(columns: list[np.ndarray]) -> pa.RecordBatch:
-        bucket = ((columns[0] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
+        bucket = ((columns[0] >> _GRAM_BITS) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
         names, starts = np.unique(bucket[order], return_index=True)
         columns = [x[order] for x in columns]
-        parts = [b"".join(x[i:j].tobytes() for x in columns) for i, j in zip(starts, [*starts[1:], len(order)])]
+        parts = [
+            b"".join(_planes(x[i:j], kept) for x, (_, kept) in zip(columns, _RECORD)) for i, j in zip(starts, [*starts[1:], len(order)])
+        ]
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(parts, pa.binary())], schema=_BUCKET)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = word_hashes(text.as_py().encode())
-                at = seeds(words)
-                if not len(at):
-                    continue
-                parts.append((gram_hashes(words, SEED_WORDS)[at], np.full(len(at), doc), at.astype(np.int32), *contexts(words, at)))
-                size += len(at)
+            doc = batch.column(0).to_numpy()
+            for start, end in row_ranges(batch.column(1), _CHUNK_BYTES):
+                own = seed_columns(doc[start:end], batch.column(1).slice(start, end - start))
+                parts.append(own)
+                size += len(own[0])
                 if size >= _MOST_SEEDS:
                     yield packed([np.concatenate(x) for x in zip(*parts)])
                     parts, size = [], 0
-        if parts:
+        if size:
             yield packed([np.concatenate(x) for x in zip(*parts)])
 
     return docs.select(F.col("doc_id").cast("long"), "text").dropna().mapInArrow(found, "bucket int, seeds binary")
 
 
 def _unpacked(parts: list[bytes]) -> list[np.ndarray]:
-    width = sum(np.dtype(x).itemsize for x in _RECORD)
+    width = sum(kept for _, kept in _RECORD)
     columns = [[] for _ in _RECORD]
     for part in parts:
         start, count = 0, len(part) // width
-        for column, kind in zip(columns, _RECORD):
-            column.append(np.frombuffer(part, dtype=kind, count=count, offset=start))
-            start += count * np.dtype(kind).itemsize
+        for column, (kind, kept) in zip(columns, _RECORD):
+            column.append(_from_planes(part, start, count, kind, kept))
+            start += count * kept
     return [np.concatenate(x) for x in columns]
 
 
 def links(gram: np.ndarray, doc: np.ndarray, place: np.ndarray, *context: np.ndarray) -> tuple[np.ndarray, ...]:
     """doc, owner, place, owner_place: the matches of seed occurrences with earlier documents; see the module."""
-    order = np.lexsort((*context, place, doc, gram))
-    columns = [x[order] for x in (gram, doc, place, *context)]
-    new = np.ones(len(gram), dtype=bool)
+    order = np.argsort(gram)
+    same = gram[order[1:]] == gram[order[:-1]]
+    twice = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]  # most seeds occur once
+    columns = [x[twice] for x in (gram, doc, place, *context)]
+    order = np.lexsort(columns[2::-1])
+    columns = [x[order] for x in columns]
+    new = np.ones(len(order), dtype=bool)
     new[1:] = np.any([x[1:] != x[:-1] for x in columns], axis=0)
     gram, doc, place, *context = (x[new] for x in columns)  # rows that repeat an id and a text count once
+    if not len(doc):
+        return doc, doc, place, place
     starts = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
     sizes = np.diff(np.append(starts, len(gram)))
     shared = np.repeat(doc[starts] != doc[starts + sizes - 1], sizes)
@@ -161,12 +218,16 @@ def links(gram: np.ndarray, doc: np.ndarray, place: np.ndarray, *context: np.nda
 
     first = heads(group[1:] != group[:-1])
     own = heads((group[1:] != group[:-1]) | (doc[1:] != doc[:-1]))
-    rest = every[(context[-1] == 0) | (context[-1] != context[-1][first])]
+    alike, firsts = first, []
+    for x in context:  # the first with the same context, among those that have the shorter one too
+        key = alike.astype(np.uint64) << np.uint64(_CONTEXT_BITS) | x
+        order = np.argsort(key, kind="stable")
+        alike = np.empty_like(every)
+        alike[order] = order[heads(key[order[1:]] != key[order[:-1]])]
+        firsts.append(alike)
+    rest = every[(context[-1] == 0) | (alike != alike[first])]
     pairs = [(every, first), (rest, np.where(own > first, own - 1, first)[rest])]
-    for x in context:
-        order = np.lexsort((every, x, group))
-        head = np.empty_like(every)
-        head[order] = order[heads((group[order][1:] != group[order][:-1]) | (x[order][1:] != x[order][:-1]))]
+    for x, head in zip(context, firsts):
         known = rest[x[rest] != 0]
         pairs.append((known, head[known]))
     left, right = (np.concatenate(x) for x in zip(*pairs))
@@ -407,6 +468,12 @@ def _longest(runs: list[tuple[int, int, int]], least: int, identity: float) -> l
     return out
 
 
+def _span(runs: list[tuple[int, int, int]]) -> int:
+    """Words from the start of the first run to the end of the last, in the text where they are fewer."""
+    (i, j, _), (p, q, n) = runs[0], runs[-1]
+    return min(p - i, q - j) + n
+
+
 def stretches(
     found: list[list[tuple[int, int, int]]], a: np.ndarray, b: np.ndarray, least: int = LEAST_WORDS, identity: float = IDENTITY
 ) -> list[tuple[int, int, int, int, int]]:
@@ -417,7 +484,7 @@ def stretches(
     """
     out, rest = [], []
     for runs in found:
-        own = _longest(_filled(a, b, runs), least, identity)
+        own = _longest(_filled(a, b, runs), least, identity) if _span(runs) >= least else []
         out += own
         if own:
             rest.append([])
@@ -426,7 +493,7 @@ def stretches(
         else:
             rest.append(list(runs))
     for runs in rest:
-        if runs:
+        if runs and _span(runs) + 2 * _REACH >= least:
             out += _longest(_filled(a, b, runs, _REACH), least, identity)
     return out
 
