@@ -62,6 +62,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 _open_scratch: list[list[str]] = []
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _write(rows: DataFrame, folder: str) -> None:
+    """Write the rows and let Spark remove the shuffle files that led to them: the table takes their place."""
+    conf = rows.sparkSession.conf
+    before = conf.get(_CLEAN_SHUFFLES, "false")
+    conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        rows.write.parquet(folder)
+    finally:
+        conf.set(_CLEAN_SHUFFLES, before)
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:
@@ -70,7 +82,7 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     folder = new_folder(rows.sparkSession, name)
     for made in _open_scratch[-1:]:
         made.append(folder)
-    rows.write.parquet(folder)
+    _write(rows, folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
@@ -81,7 +93,7 @@ def stored_alone(spark: SparkSession, name: str, make: Callable[[], DataFrame])
         made.append(folder)
     with scratch(spark):
         rows = make()
-        rows.write.parquet(folder)
+        _write(rows, folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
