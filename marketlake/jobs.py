@@ -10,7 +10,8 @@
 
 All take --shuffle-bytes (of the largest shuffle), those that read payloads --markets A,B,... or --markets all and
 --multiline. Without --moment a run takes the time at which it starts; a repeated run must name the first one's.
-What a run leaves out is written to HOME/rejects/<job>/<what> and counted in its output.
+What a run leaves out is written to HOME/rejects/<job>/<what> and counted in its output; what history and backfill
+imported of each symbol is printed and written to HOME/reports/<job>/imported.
 """
 
 from __future__ import annotations
@@ -84,7 +85,9 @@ class Run:
         pair = self.master()[0]
         self.unknown(parsed, pair)
         known = parsed.join(pair.select(F.col("Pair_Name").alias("symbol")), "symbol", "left_semi")
-        for symbol, rows in known.groupBy("symbol").count().orderBy("symbol").limit(100).collect():  # of a report
+        imported = stored(known.groupBy("symbol").agg(F.count(F.lit(1)).alias("candles")), "imported")
+        append(imported.withColumn("run", F.lit(self.moment)), f"{self.home}/reports/{self.options.job.__name__}/imported")
+        for symbol, rows in imported.orderBy("symbol").toLocalIterator():  # no more symbols than the master data has
             self.counts[f"candles of {symbol}"] = rows
         return history_rows(parsed, pair).withColumn("Source", F.lit(EXCHANGE)).select(*PRICES.names)
 

@@ -58,19 +58,29 @@ def at_or_before_mark(batch: DataFrame, target: DataFrame, keys: Sequence[str],
     return not_loaded(batch.filter(F.col(column) <= _literal(mark, batch, column)), target, keys, column)
 
 
+# Of more days than these only the first and the last are kept.
+MOST_DAYS = 10_000
+
+
 class Extent(NamedTuple):
-    """Number of rows, first and last value of a column, rows without one, and bytes of the key columns."""
+    """Number of rows, first and last value of a column, rows without one, bytes of the key columns, and the days of the
+    column (None if they are too many)."""
 
     rows: int
     first: object
     last: object
     nulls: int
     bytes: int
+    days: tuple[date, ...] | None = None
 
 
 def extent(rows: DataFrame, column: str, keys: Sequence[str] | None = None) -> Extent:
+    """One pass; what reaches the driver is one row and the distinct dates, of which a calendar has few."""
     size = F.coalesce(F.sum(row_bytes(rows.select(*(keys or [column])))), F.lit(0))
-    return Extent(*rows.agg(F.count(F.lit(1)), F.min(column), F.max(column), F.count_if(F.col(column).isNull()), size).first())
+    *sizes, days = rows.agg(
+        F.count(F.lit(1)), F.min(column), F.max(column), F.count_if(F.col(column).isNull()), size, F.collect_set(F.to_date(column))
+    ).first()
+    return Extent(*sizes, tuple(sorted(days)) if len(days) <= MOST_DAYS else None)
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -89,8 +99,8 @@ def not_loaded(
     """Rows of the batch whose key the table lacks. NULL in a key is a value like any other.
 
     One pass over the batch gives its extent in time, unless the caller knows it (``within``). It
-    limits the part of the table that is read, by ``day`` (a date partition column) and by the time
-    column itself. For a batch counted small, its keys are broadcast to thin out the table before
+    limits the part of the table that is read, by ``day`` (a date partition column; only the folders of the batch's own
+    days are opened, however far apart they are) and by the time column itself. For a batch counted small, its keys are broadcast to thin out the table before
     the anti-join, so that the table is scanned but never shuffled.
     """
     keys = list(keys)
@@ -101,7 +111,9 @@ def not_loaded(
     if within.first is not None:
         first, last = _literal(within.first, batch, column), _literal(within.last, batch, column)
         between = {column: F.col(column).between(first, last)}
-        if day:
+        if day and within.days is not None:
+            between[day] = F.col(day).isin([F.lit(x) for x in within.days])  # other days between are not opened
+        elif day:
             between[day] = F.col(day).between(first.cast("date"), last.cast("date"))
         for name, found in between.items():
             known = known.filter(found | F.col(name).isNull() if within.nulls else found)

@@ -109,14 +109,6 @@ def load_facts_after_mark(spark: SparkSession, batch: DataFrame, star: str) -> i
     return append_by_day(fresh, f"{star}/fact_price", "TIME_ID")
 
 
-def daily_bridge(
-    spark: SparkSession, facts: DataFrame, pair: DataFrame, currency: DataFrame, star: str, view: str = "dim_pair"
-) -> int:
-    """One scheduled run: replace the pair dimension, then append the new facts."""
-    publish({view: _typed(dim_pair(pair, currency), DIM_PAIR)}, f"{star}/dim_pair")
-    return load_facts(spark, facts, star)
-
-
 def load_master(
     spark: SparkSession,
     tickers: DataFrame,

@@ -115,3 +115,23 @@ def parse_candles(payloads: DataFrame, text: str = "value") -> DataFrame:
         F.try_element_at("candle", F.lit(i)).alias(name) for i, name in enumerate(CANDLE_FIELDS, start=1)
     ]
     return payloads.select(*others, candle).select(*others, *fields)
+
+
+def read_candle_list(spark: SparkSession, path: str) -> DataFrame:
+    """Candle payloads of any size: a row per candle with its twelve fields as text, and a row per text that is none, in
+    the column for corrupt records; next to the partition columns of ``path``.
+
+    A payload is one JSON list of lists, on one line or many. It is read as text cut at the brackets that end its candles, so
+    Spark gives one file to many tasks and no task holds more than its split. What opens the list, what closes it and
+    the commas between are taken off, and every candle is parsed by itself: a broken one rejects itself only.
+    """
+    pieces = spark.read.option("lineSep", "]").text(path)
+    others = [c for c in pieces.columns if c != "value"]
+    # A candle that is not closed runs on to the next one's opening bracket.
+    opened = pieces.select(*others, F.explode(F.split("value", r"\[")).alias("body"))
+    body = F.regexp_replace("body", r"^[\s,]+|[\s,]+$", "")
+    parsed = opened.select(*others, body.alias("body")).filter("body != ''")
+    parsed = parsed.withColumn("_candle", F.from_json(F.concat(F.lit("["), "body", F.lit("]")), "array<string>"))
+    good = F.coalesce(_field(F.col("_candle"), "timestamp").isNotNull() & _field(F.col("_candle"), "close").isNotNull(), F.lit(False))
+    fields = [F.when(good, F.try_element_at("_candle", F.lit(i))).alias(name) for i, name in enumerate(CANDLE_FIELDS, start=1)]
+    return parsed.select(*others, F.when(~good, F.col("body")).alias(CORRUPT), *fields)

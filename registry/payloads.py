@@ -248,17 +248,18 @@ def delta_prices_listed_markets(spark, folder):
     return normalise.delta_prices(b.ticker(spark, folder), quotes(spark, folder), _pair(spark, folder), MOMENT, _LISTED)
 
 
-@query(b.sql("ticker quote", ASSETS + _DELTA.format(landed="id % 4 = 0", listed="true")))
+@query(b.sql("ticker quote", ASSETS + _DELTA.format(landed="symbol LIKE '%BTC'", listed="true")))
 def delta_prices_missing_tickers(spark, folder):
-    # Most markets have no ticker in this run: they get the reference price only.
-    landed = b.ticker(spark, folder).filter("id % 4 = 0")
+    # Markets quoted in other assets have no ticker in this run: they get the reference price only.
+    landed = b.ticker(spark, folder).filter(F.endswith("symbol", F.lit("BTC")))
     return normalise.delta_prices(landed, quotes(spark, folder), _pair(spark, folder), MOMENT, markets=None)
 
 
-@query(b.sql("ticker", "SELECT DISTINCT symbol FROM ticker WHERE symbol NOT IN (SELECT symbol FROM ticker WHERE id % 10 = 0)"))
+@query(b.sql("ticker", "SELECT DISTINCT symbol FROM ticker WHERE symbol NOT LIKE '%USDT'"))
 def unknown_symbols(spark, folder):
     tickers = b.ticker(spark, folder)
-    known = normalise.split_symbols(tickers.filter("id % 10 = 0")).select("symbol").distinct()
+    # The master data knows the dollar markets only.
+    known = normalise.split_symbols(tickers.filter(F.endswith("symbol", F.lit("USDT")))).select("symbol").distinct()
     return missing_keys(tickers, known, "symbol")
 
 
