@@ -9,7 +9,8 @@ at most (law ``rows``).
 Bucket i is partition i, so the seed of its shuffle is ``seed + i``: the same rows give the same shards on
 every run and after a lost executor. The number of buckets follows the bytes; the only thing that passes
 through one task is one row per bucket. Which bucket takes a record depends on its doc_id and text, so copies
-of a text under other ids are spread; rows that repeat id and text share a bucket.
+of a text under other ids are spread; rows that repeat id and text share a bucket, until a bucket has more than twice its
+bytes: then they are dealt over all.
 
 Defined cases: a null text has 0 bytes; null ids are ids like any other; repeated rows each get a slot; an
 empty table gives no rows. All columns of the documents are kept: the record is written as one struct column, so no
@@ -21,9 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlake.session import new_folder
+from marketlake.operators.joins import join_dimension
+from marketlake.session import new_folder, stored
 
 BUCKET_BYTES = 16 << 20
+MOST_BUCKETS = 200_000  # beyond so many the buckets grow: 100 TB make buckets of 500 MB
+_REPEATS = 100  # rows of one key and text that are dealt out of a crowded bucket
 
 
 def text_size(text) -> F.Column:
@@ -38,14 +42,30 @@ def shuffle_into_shards(
     shard int, slot long, record struct of all columns. Files hold their rows in slot order."""
     spark = docs.sparkSession
     total, rows = docs.agg(F.coalesce(F.sum(text_size(F.col(text))), F.lit(0)), F.count(F.lit(1))).first()
+    bucket_bytes = max(bucket_bytes, total // MOST_BUCKETS)
     buckets = max(1, -(-total // bucket_bytes))
     bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col(text)), F.lit(buckets)).cast("int")
     records = docs.select(
         bucket.alias("_bucket"),
         F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text)).alias("_order"),
         F.struct(*(docs[c] for c in docs.columns)).alias("record"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    sizes = records.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+
+    def sized(records: DataFrame) -> DataFrame:
+        size = F.sum(text_size(F.col(f"record.`{text}`"))).alias("_bytes")
+        return stored(records.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"), size), "buckets")
+
+    sizes = sized(records)
+    crowded = sizes.filter(F.col("_bytes") > 2 * bucket_bytes).select("_bucket")
+    if not crowded.isEmpty():
+        # Rows that repeat a key and a text are dealt over all buckets, by their places in the files.
+        repeats = join_dimension(records.select("_bucket", "_order"), crowded, "_bucket").groupBy("_order").count()
+        repeats = stored(repeats.filter(F.col("count") > _REPEATS).select("_order", F.lit(True).alias("_repeat")), "repeats")
+        dealt = F.pmod(F.xxhash64("_order", "_row"), F.lit(buckets)).cast("int")
+        records = join_dimension(records, repeats, "_order", "left").withColumn("_bucket", F.when(F.col("_repeat"), dealt).otherwise(F.col("_bucket")))
+        sizes = sized(records)
+    records = records.select("_bucket", "_order", "record")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     shuffled = (
