@@ -9,7 +9,7 @@ hold it under all three limits and whose weighted residual vector is smallest af
 
 Pieces are dealt by a hash into groups of about ``group_pieces``, and every group is packed on its own, so no
 task holds more than its group however many documents there are, and a hot document or source is spread over all
-groups. Only the last sequences of a group stay partly empty.
+groups. A group of more than twice as many, which rows that repeat a piece make, is divided further. Only the last sequences of a group stay partly empty.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed once each; an empty table
 gives no rows; other columns are ignored.
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.bpe import encoder_of
+from marketlake.operators.joins import join_dimension
 from marketlake.session import stored
 
 SEQUENCE_TOKENS = 2048
@@ -107,7 +108,7 @@ def pack(
     objective: str = "norm",
     group_pieces: int = 4096,
 ) -> DataFrame:
-    """Add sequence_id and offset. ``pieces`` is read twice (counted, then packed): store it first.
+    """Add sequence_id and offset. ``pieces`` is read several times (counted, then packed), in the same order: store it first.
 
     The defaults for documents and attention never bind before the tokens do. A piece longer than a
     limit allows is an error.
@@ -115,6 +116,16 @@ def pack(
     groups = max(1, -(-pieces.count() // group_pieces))
     limits = (float(capacity), float(most_documents), float(most_attention))
 
+    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
+    dealt = pieces.withColumns({"pack_group": group, "_row": F.monotonically_increasing_id()})
+    # Rows that repeat a piece meet in one group; such a group is divided by the rows' places in the stored table.
+    crowded = dealt.groupBy("pack_group").count().filter(F.col("count") > 2 * group_pieces)
+    if not (crowded := stored(crowded, "crowded")).isEmpty():
+        parts = F.ceil(F.coalesce("count", F.lit(0)) / group_pieces)
+        part = F.when(parts > 0, F.pmod(F.xxhash64("_row"), F.greatest(parts, F.lit(1)))).otherwise(0)
+        dealt = join_dimension(dealt, crowded, "pack_group", "left").withColumn("pack_group", F.col("pack_group") + groups * part).drop("count")
+    dealt = dealt.drop("_row")
+
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
         lengths = rows["length"].to_numpy()
@@ -123,9 +134,8 @@ def pack(
         bins, offsets = best_fit(lengths, limits, weights, objective)
         return rows.assign(sequence_id=rows["pack_group"] * 2**32 + bins, offset=offsets).drop(columns="pack_group")
 
-    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return pieces.withColumn("pack_group", group).groupBy("pack_group").applyInPandas(
+    return dealt.groupBy("pack_group").applyInPandas(
         fill, f"{kinds}, sequence_id long, offset long"
     )
 
