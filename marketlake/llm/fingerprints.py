@@ -245,14 +245,19 @@ def _ranges(rows: DataFrame, range_bytes: int, most_ranges: int) -> Ranges:
     hot = rows.filter(F.col("doc_id").isin([x for x in wanted if x is not None]) | (null if None in wanted else F.lit(False)))
     found = hot.groupBy("doc_id").agg(F.percentile_approx("tie", [i / finest for i in range(1, finest)], 20 * finest).alias("bounds"))
     every = {x.doc_id: np.array(x.bounds, dtype=np.int64) for x in found.collect()}
-    return Ranges(cuts, {x: np.unique(every[x][np.arange(1, n) * finest // n - 1]) for x, n in wanted.items()})
+    # Quantiles are doubles: an id beyond 2**53 may not be met exactly, and then stays in one range.
+    return Ranges(cuts, {x: np.unique(every[x][np.arange(1, n) * finest // n - 1]) for x, n in wanted.items() if x in every})
+
+
+def _tied(docs: DataFrame) -> DataFrame:
+    """doc_id, text, tie. Rows that repeat an id and a text differ in the low bits, so that a range can end between them."""
+    tie = F.xxhash64("text").bitwiseAND(F.lit(-1 << _SALT_BITS)) + F.floor(F.rand(31) * (1 << _SALT_BITS))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("tie", tie)
 
 
 def fingerprints(docs: DataFrame, range_bytes: int = RANGE_BYTES, most_ranges: int = MOST_RANGES) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of each document."""
-    # Rows that repeat an id and a text differ in the low bits, so that a range can end between them.
-    tie = F.xxhash64("text").bitwiseAND(F.lit(-1 << _SALT_BITS)) + F.floor(F.rand(31) * (1 << _SALT_BITS))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("tie", tie)
+    rows = _tied(docs)
     ranges = _ranges(rows, range_bytes, most_ranges)
 
     @F.arrow_udf("int")
