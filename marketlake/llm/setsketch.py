@@ -7,9 +7,10 @@ equal with a probability close to the Jaccard similarity (b is close to 1).
 
 1. Texts with equal sets form a class; from here on a class is one node, whatever its number of copies.
 2. Registers are banded. With 32 bands of 4, two sets of similarity 0.75 share no band with odds of 5e-6.
-3. All nodes of a bucket are tied to its smallest node; buckets of two whose joint estimate is far below the
-   threshold are dropped. The components of these ties hold every pair that shares a bucket, so no pairs are
-   written out, and each node is compared once however many buckets it shares with others.
+3. Within a bucket nodes are tied if the joint estimate of their sketches is not far below the threshold. Pairs are judged by
+   the task that has the bucket (a large one is dealt into tiles) from the registers alone, but for those that are near
+   to the same node already, and only a forest of ties is returned: boilerplate that many texts share makes
+   buckets, but no ties, and a group of copies costs one comparison a node.
 4. Each component is dealt into tiles of bounded rows and bytes, and each pair of tiles is one task's work: register
    counts for all pairs at once, the likelihood estimate for those near enough, and the exact sets for those that
    are not yet connected. It returns a spanning forest of the verified links.
@@ -45,6 +46,8 @@ BASE, RATE, LIMIT = 1.001, 20.0, 2**16 - 2  # b, a and q of the sketch
 SIMILARITY = 75  # per cent
 MARGIN = 0.19  # five standard deviations of an estimate near 0.75 from 128 registers
 TILE_NODES, TILE_BYTES = 512, 8 << 20
+BUCKET_NODES = 1024  # of a bucket in a tile
+_TASK_NODES = 8192  # of small buckets in a task
 _MANY = 4  # pairs to verify for each node, beyond which all are verified at once
 
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -139,19 +142,102 @@ def _near_enough(threshold: float):
 
 
 def _ties(classes: DataFrame, similarity: int) -> DataFrame:
-    """a, b: every node of a bucket with the bucket's smallest, once for all buckets."""
+    """a, b: nodes of one bucket whose estimate is near the threshold, as a forest for every bucket. Pairs of a bucket of
+    two are joined once for all buckets that they share."""
     banded = classes.select("set_key", F.explode(band_keys()).alias("band"))
     buckets = banded.groupBy("band").agg(F.min("set_key").alias("a"), F.count(F.lit(1)).alias("size"))
-    buckets = apart(buckets.filter("size > 1"), "band")
-    ties = stored(
-        banded.withColumnRenamed("set_key", "b").join(buckets, "band").filter("a != b")
-        .groupBy("a", "b").agg(F.max("size").alias("size")),
-        "ties",
-    )
+    buckets = apart(stored(buckets.filter("size > 1"), "buckets"), "band")
     side = classes.select("set_key", "registers", "n_shingles")
-    pairs = ties.filter("size = 2").join(side.toDF("a", "left", "left_size"), "a").join(side.toDF("b", "right", "right_size"), "b")
+    pairs = banded.withColumnRenamed("set_key", "b").join(buckets.filter("size = 2"), "band").filter("a != b").select("a", "b").distinct()
+    pairs = pairs.join(side.toDF("a", "left", "left_size"), "a").join(side.toDF("b", "right", "right_size"), "b")
     near = pairs.filter(_near_enough(similarity / 100 - MARGIN)("left", "right", "left_size", "right_size"))
-    return ties.filter("size > 2").select("a", "b").unionByName(near.select("a", "b"))
+    return near.select("a", "b").unionByName(_ties_within(banded, buckets.filter("size > 2"), side, similarity))
+
+
+def _ties_within(banded: DataFrame, buckets: DataFrame, side: DataFrame, similarity: int) -> DataFrame:
+    tiles = F.ceil(F.col("size") / BUCKET_NODES).cast("int").alias("tiles")
+    rows = stored(banded.join(buckets.select("band", tiles), "band"), "bucketed")
+    tasks = max(1, -(-rows.count() // _TASK_NODES))
+    tile = F.pmod(F.xxhash64("set_key"), F.col("tiles")).cast("int")
+    dealt = (
+        rows.join(side, "set_key").withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .withColumn("task", F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("band"), F.lit(tasks))).otherwise(F.col("band")))
+        .withColumn("low", F.least("tile", "other")).withColumn("high", F.greatest("tile", "other"))
+        .select("task", "low", "high", "band", "tile", "set_key", "n_shingles", "registers")
+    )
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def judged(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("band", "ascending"), ("set_key", "ascending")]).combine_chunks()
+        band, own = table["band"].to_numpy(), table["tile"].to_numpy()
+        low, high = (int(table[x][0].as_py()) for x in ("low", "high"))
+        sizes = table["n_shingles"].to_numpy().astype(np.float64)
+        sketch = np.frombuffer(b"".join(table["registers"].to_pylist()), dtype="<u2").reshape(-1, REGISTERS)
+        starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1], [True]]))
+        ties = []
+        for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            left = start + np.flatnonzero(own[start:end] == low)
+            right = left if low == high else start + np.flatnonzero(own[start:end] == high)
+            if len(left) and len(right) and end - start > 1:
+                ties += near_forest(sketch, sizes, left, right, similarity)
+        a, b = (pa.array([x[k] for x in ties], pa.int64()) for k in (0, 1))
+        return pa.Table.from_arrays([table["set_key"].take(a), table["set_key"].take(b)], schema=schema)
+
+    return dealt.groupBy("task", "low", "high").applyInArrow(judged, "a binary, b binary").distinct()
+
+
+def near_forest(sketch: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: int) -> list[tuple[int, int]]:
+    """Ties between rows ``left`` and rows ``right`` (or among them, if they are the same): a forest that connects all
+    whose estimates are near the threshold. Rows that are near the first of ``left`` are connected by it and are not
+    compared with each other."""
+    pivot = left[:1]
+    ties = [(int(x), int(y)) for x, y in zip(*_near_pairs(sketch, sizes, pivot, right, similarity)) if x != y]
+    by_right = np.isin(right, [y for _, y in ties]) | (right == pivot[0])
+    by_left = by_right
+    if left is not right:
+        inner = [(int(x), int(y)) for x, y in zip(*_near_pairs(sketch, sizes, pivot, left[1:], similarity))]
+        by_left = np.isin(left, [y for _, y in inner]) | (left == pivot[0])
+        ties += inner
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = x = root.get(up, up)
+        return x
+
+    forest = []
+    for x, y in _chain(ties, _near_pairs(sketch, sizes, left[~by_left], right, similarity), _near_pairs(sketch, sizes, left[by_left], right[~by_right], similarity)):
+        if (p := top(x)) != (q := top(y)):
+            root[max(p, q)] = min(p, q)
+            forest.append((x, y))
+    return forest
+
+
+def _chain(first: list[tuple[int, int]], *rest: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[int, int]]:
+    yield from first
+    for x, y in rest:
+        yield from zip(x.tolist(), y.tolist())
+
+
+def _near_pairs(sketch: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows whose estimate is near the threshold. Sets too different in size cannot reach it; pairs with half
+    of the registers equal or fewer are out at once (a pair of similarity 0.75 has so few with odds of 1e-9)."""
+    found = []
+    if len(left) and len(right):
+        other = sketch[right]
+        block = max(1, (1 << 23) // (REGISTERS * len(right)))
+        for start in range(0, len(left), block):
+            rows = left[start:start + block]
+            equal = np.count_nonzero(sketch[rows][:, None, :] == other[None, :, :], axis=2)
+            small, large = np.minimum(sizes[rows][:, None], sizes[right]), np.maximum(sizes[rows][:, None], sizes[right])
+            i, j = np.nonzero((2 * equal > REGISTERS) & (100 * small >= similarity * large))
+            x, y = rows[i], right[j]
+            larger, smaller = (sketch[x] > sketch[y]).sum(axis=1), (sketch[x] < sketch[y]).sum(axis=1)
+            near = joint_estimate(larger, smaller, sizes[x], sizes[y]) >= similarity / 100 - MARGIN
+            found.append((x[near], y[near]))
+    if not found:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def linked(names: list, sketch: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: int) -> list[tuple]:
