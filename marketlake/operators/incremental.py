@@ -20,12 +20,18 @@ def _literal(value, rows: DataFrame, column: str) -> Column:
     return F.lit(str(value)).cast(rows.schema[column].dataType)
 
 
-def newest_day(spark: SparkSession, path: str, day: str):
-    """The last date that has a folder ``day=...`` in a table's path, or None: names are listed, no file is opened."""
+def days_in(spark: SparkSession, path: str, day: str) -> list[date]:
+    """The dates that have a folder ``day=...`` in a table's path: names are listed, no file is opened."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [x.getPath().getName() for x in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in system.listStatus(folder)] if system.exists(folder) else []
     days = [x.removeprefix(f"{day}=") for x in names if x.startswith(f"{day}=")]
-    return max((date.fromisoformat(x) for x in days if x[:1].isdigit()), default=None)
+    return [date.fromisoformat(x) for x in days if x[:1].isdigit()]
+
+
+def newest_day(spark: SparkSession, path: str, day: str):
+    """The last date that has a folder ``day=...`` in a table's path, or None."""
+    return max(days_in(spark, path, day), default=None)
 
 
 def high_water_mark(target: DataFrame, column: str, day: str | None = None, path: str | None = None):

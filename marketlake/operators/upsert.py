@@ -121,3 +121,26 @@ def with_new_ids(rows: DataFrame, id_column: str, *order: str, start: int | None
     kind = rows.schema[id_column].dataType
     fresh = fresh.withColumn(id_column, (F.col("_position") + F.lit(start + 1)).cast(kind)).drop("_position")
     return known.unionByName(fresh)
+
+
+def hash_ids(existing: DataFrame, incoming: DataFrame, key: str, id_column: str, bits: int = 63, most_rounds: int = 40) -> DataFrame:
+    """key, id: ids for the incoming keys that the table lacks, taken from a hash of the key.
+
+    No row is sorted and none is numbered after another, so loads in any order give a key the same id. Only where
+    two keys have one hash, or a stored id has it already, one takes the hash of the next round: among new keys those
+    after the least one. ``bits`` is how many of the hash are kept; with 63, a billion keys meet about once in twenty
+    such tables, so a second round is rarely needed, and it has the few colliding keys only.
+    """
+    new = incoming.select(key).filter(F.col(key).isNotNull()).distinct().join(existing.select(key), key, "left_anti")
+    taken, open_ = existing.select(F.col(id_column).cast("long").alias("id")), stored(new, "keys")
+    given: DataFrame | None = None
+    for number in range(most_rounds):
+        tried = open_.select(key, F.shiftrightunsigned(F.xxhash64(F.lit(number), F.col(key)), 64 - bits).alias("id"))
+        first = tried.groupBy("id").agg(F.min(key).alias(key)).join(taken, "id", "left_anti")
+        placed = stored(first.select(key, "id"), "ids")
+        given = placed if given is None else given.unionByName(placed)
+        open_ = stored(open_.join(placed, key, "left_anti"), "keys")
+        if open_.isEmpty():
+            return given
+        taken = taken.unionByName(placed.select("id"))
+    raise RuntimeError(f"keys without an id after {most_rounds} rounds: {bits} bits are too few")

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from marketlake.functions.classify import tag_categories
-from marketlake.functions.temporal import from_epoch_millis
+from marketlake.functions.temporal import from_epoch_millis, from_offset_text
 from marketlake.functions.values import to_price
-from marketlake.operators import incremental
+from marketlake.operators import incremental, profile, upsert
 from marketlake.operators.sinks import DAY, append_by_day, open_by_day
 from marketlake.plans import analysis, candles
 from marketlake.schemas import CORRUPT, PRICES
@@ -181,3 +181,74 @@ def stream_late_prices(spark, folder):
         part.write.mode("append").parquet(landing)
         candle_stream.load_candle_stream(spark, landing, prices.schema, home, "12 days")
     return candle_stream.open_late(spark, home)
+
+
+@query("""
+SELECT * FROM (VALUES
+    ('event_id', 'bigint', (SELECT count(*) FROM events WHERE event_id IS NULL), (SELECT count(event_id) FROM events), true),
+    ('ts', 'timestamp_ntz', (SELECT count(*) FROM events WHERE ts IS NULL), (SELECT count(ts) FROM events), true),
+    ('user_id', 'bigint', (SELECT count(*) FROM events WHERE user_id IS NULL), (SELECT count(user_id) FROM events), true),
+    ('half', 'double', (SELECT count(*) FROM events WHERE event_type = 'view'), (SELECT count(*) FROM events WHERE event_type <> 'view'), true),
+    ('props', 'string', (SELECT count(*) FROM events WHERE props IS NULL), (SELECT count(props) FROM events), true)
+) AS t("column", dtype, nulls, non_null, near)""")
+def profile_by_day(spark, folder):
+    # The older days are profiled first; a second run finds the rest, a third nothing.
+    home = new_folder(spark, "profiled")
+    events = b.table(spark, folder, "events")
+    half = F.when(F.col("event_type") != "view", F.col("value")).alias("half")
+    rows = events.select("event_id", "ts", "user_id", half, "props")
+    newest = F.to_date("ts") >= F.lit("2024-01-16").cast("date")
+    for part in (rows.filter(~newest), rows.filter(newest), rows.filter("false")):
+        append_by_day(part, f"{home}/table", "ts")
+        profile.profile_new_days(spark, f"{home}/table", rows.schema, f"{home}/profile")
+    found = profile.merged_profile(spark, f"{home}/profile")
+    exact = profile.distinct_profile(rows).withColumnRenamed("distinct_values", "exact")
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.04 * F.col("exact") + 1  # five standard errors
+    return found.join(exact, "column").select("column", "dtype", "nulls", "non_null", near.alias("near"))
+
+
+@query("""
+SELECT user_id, event_type, day, count(*) AS copies FROM (SELECT user_id, event_type, CASE WHEN value > 1 THEN CAST(ts AS DATE) END AS day FROM events)
+GROUP BY ALL HAVING count(*) > 1""")
+def duplicate_rows_by_digest(spark, folder):
+    day = F.when(F.col("value") > 1, F.to_date("ts")).alias("day")
+    return profile.duplicate_rows(b.table(spark, folder, "events").select("user_id", "event_type", day))
+
+
+@query("""
+WITH every AS (SELECT DISTINCT p_name AS name FROM part)
+SELECT name, 1 AS ids, true AS alike, true AS apart FROM every""")
+def upsert_currency_hash_ids(spark, folder):
+    # Ids of 16 bits make some of the names collide. Two loads, and one of all.
+    names = b.table(spark, folder, "part").select(F.col("p_name").alias("name"), F.col("p_type").alias("kind"))
+    empty = names.select("name", F.lit(0).cast("long").alias("id")).filter("false")
+    first = upsert.hash_ids(empty, names.filter("kind <> 'SMALL'"), "name", "id", bits=16)
+    both = first.unionByName(upsert.hash_ids(first, names, "name", "id", bits=16))
+    wide = upsert.hash_ids(empty, names, "name", "id")
+    halves = upsert.hash_ids(empty, names.filter("kind = 'SMALL'"), "name", "id")
+    halves = halves.unionByName(upsert.hash_ids(halves, names, "name", "id")).select("name", F.col("id").alias("other"))
+    shared = both.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", F.lit(True).alias("shared"))
+    return both.join(wide.withColumnRenamed("id", "wide"), "name").join(halves, "name").join(shared, "id", "left").groupBy("name").agg(
+        F.count_distinct("id").cast("int").alias("ids"), F.bool_and(F.col("wide") == F.col("other")).alias("alike"), F.bool_and(F.col("shared").isNull()).alias("apart")
+    )
+
+
+@query(b.sql("price_hist", """
+SELECT Pair_ID, day AS "Timestamp", Price, Source FROM (
+    SELECT Pair_ID, CAST(CAST("Timestamp" AS DATE) AS TIMESTAMP) AS day, Price, Source,
+        row_number() OVER (PARTITION BY Pair_ID, CAST("Timestamp" AS DATE) ORDER BY Price, Source) AS place FROM price_hist
+) WHERE place = 1"""))
+def one_price_per_time(spark, folder):
+    # Daily times, of which most pairs have several prices: the least row stays.
+    prices = b.price_hist(spark, folder).select("Pair_ID", F.to_date("Timestamp").cast("timestamp_ntz").alias("Timestamp"), "Price", "Source")
+    return incremental.one_per_key(prices, ["Pair_ID", "Timestamp"])
+
+
+@query("SELECT event_id, date_trunc('second', ts) AS wall_clock FROM events")
+def offset_timestamps(spark, folder):
+    # Exports with no zone, with Z, and with offsets: the time that is shown counts.
+    events = b.table(spark, folder, "events")
+    kind = F.col("event_type")
+    offset = F.when(kind == "view", "Z").when(kind == "click", "+02:00").when(kind == "error", "-0530").otherwise("")
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), offset)
+    return events.select("event_id", from_offset_text(text).alias("wall_clock"))

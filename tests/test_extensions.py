@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import incremental
+from marketlake.operators import incremental, profile, upsert
 from marketlake.operators.sinks import DAY, append_by_day, open_by_day
 from marketlake.plans import analysis, candles
 from marketlake.schemas import CANDLE_FIELDS, CORRUPT, PRICES
@@ -183,3 +183,55 @@ def test_late_prices_are_kept_apart(spark, tmp_path):
     assert found == {
         (1, date(2024, 1, 10)): (5, 5, 5, 5, 1), (1, date(2024, 1, 9)): (6, 9, 6, 9, 2), (1, date(2024, 1, 8)): (7, 7, 7, 7, 1),
     }
+
+
+def test_copies_are_found_by_digest_and_compared_as_a_whole(spark, monkeypatch):
+    rows = [(1, "a", None)] * 3 + [(1, None, "a")] * 2 + [(None, "1", "a"), (2, "b", "c"), (None, None, None), (None, None, None)]
+    frame = spark.createDataFrame(rows, "a int, b string, `c.d` string")
+    wanted = {(1, "a", None, 3), (1, None, "a", 2), (None, None, None, 2)}
+    assert set(map(tuple, profile.duplicate_rows(frame).collect())) == wanted
+    monkeypatch.setattr(profile, "join_dimension", lambda fact, dimension, on, how: fact.join(dimension, on, how))
+    assert set(map(tuple, profile.duplicate_rows(frame).collect())) == wanted
+    assert profile.duplicate_rows(frame.filter("a = 2")).collect() == []
+
+
+def test_a_table_without_copies_is_not_shuffled_in_full_width(spark, tmp_path, capsys):
+    path = str(tmp_path / "wide")
+    spark.range(1000).select("id", F.repeat(F.col("id").cast("string"), 200).alias("wide")).write.parquet(path)
+    profile.duplicate_rows(spark.read.parquet(path)).explain()
+    plan = capsys.readouterr().out
+    # Only the rows whose digests repeat come to the one exchange; the digests were grouped before.
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
+
+
+def test_only_new_days_are_profiled(spark, tmp_path):
+    table, profiles = str(tmp_path / "t"), str(tmp_path / "p")
+    rows = [(k, Decimal(k % 40), datetime(2024, 1, 1 + k % 4), None if k % 3 else "s") for k in range(400)]
+    frame = spark.createDataFrame(rows, PRICES)
+    append_by_day(frame.filter("day(Timestamp) <= 3"), table, "Timestamp")
+    assert profile.profile_new_days(spark, table, PRICES, profiles) == 3
+    for old in Path(table).glob("event_date=2024-01-0[1-3]/*.parquet"):
+        old.write_bytes(b"no parquet")
+        old.with_name(f".{old.name}.crc").unlink(missing_ok=True)
+    append_by_day(frame.filter("day(Timestamp) = 4"), table, "Timestamp")
+    assert profile.profile_new_days(spark, table, PRICES, profiles) == 1
+    assert profile.profile_new_days(spark, table, PRICES, profiles) == 0
+    found = {r.column: (r.nulls, r.non_null, r.distinct_values) for r in profile.merged_profile(spark, profiles).collect()}
+    assert found["Source"] == (266, 134, 1) and found["Pair_ID"][:2] == (0, 400) and abs(found["Pair_ID"][2] - 400) <= 16
+    assert abs(found["Price"][2] - 40) <= 2 and found["Timestamp"][2] == 4
+
+
+def test_hash_ids_are_unique_and_do_not_depend_on_the_order_of_loads(spark):
+    names = spark.createDataFrame([(f"n{k}", k) for k in range(60)] + [("n1", 9), (None, 3)], "name string, x int")
+    none = names.select("name", F.lit(0).cast("long").alias("id")).filter("false")
+    narrow = {r.name: r.id for r in upsert.hash_ids(none, names, "name", "id", bits=7).collect()}
+    assert len(narrow) == 60 == len(set(narrow.values())) and max(narrow.values()) < 128
+    stored = spark.createDataFrame([(n, narrow[n]) for n in ("n1", "n2")], "name string, id long")
+    later = {r.name: r.id for r in upsert.hash_ids(stored, names, "name", "id", bits=7).collect()}
+    assert "n1" not in later and len(later) == 58 and not set(later.values()) & {narrow["n1"], narrow["n2"]}
+    wide = {r.name: r.id for r in upsert.hash_ids(none, names, "name", "id").collect()}
+    part = upsert.hash_ids(none, names.filter("x > 40"), "name", "id")
+    rest = upsert.hash_ids(part, names, "name", "id")
+    assert {r.name: r.id for r in part.unionByName(rest).collect()} == wide
+    with pytest.raises(RuntimeError, match="too few"):
+        upsert.hash_ids(none, names, "name", "id", bits=5, most_rounds=6)
