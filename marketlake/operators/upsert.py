@@ -76,26 +76,23 @@ def upsert_with_ids(
 ) -> DataFrame:
     """The table after the upsert, where new keys get the next ids in their order.
 
-    Only the new rows are numbered, from the largest id in the table on (one number to the driver).
+    One join, whose result is stored: its rows without an id are the new ones. Only these are numbered, from the largest
+    id on (that and their number reach the driver).
     """
-    known = upsert(existing, incoming.join(existing.select(key), key, "left_semi"), key, update, keep_existing_on_null)
-    last = existing.agg(F.max(id_column)).first()[0] or 0
-    new = _counted(incoming, key).join(existing.select(key), key, "left_anti").withColumn(key, _refused(key)).drop("_rows")
-    fresh = _numbered(stored(new, "new"), key)
-    columns = []
-    for field in existing.schema:
-        if field.name == id_column:
-            columns.append((F.col("_position") + F.lit(last + 1)).cast(field.dataType).alias(id_column))
-        elif field.name in incoming.columns:
-            columns.append(F.col(field.name))
-        else:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
-    return known.unionByName(fresh.select(*columns))
-
-
-def _numbered(rows: DataFrame, key: str) -> DataFrame:
+    incoming = incoming.select([c for c in incoming.columns if c != id_column])
+    merged = stored(upsert(existing, incoming, key, update, keep_existing_on_null), "upserted")
+    unnumbered = F.col(id_column).isNull()
+    last, new = merged.agg(F.max(id_column), F.count_if(unnumbered)).first()
+    if not new:
+        return merged
+    fresh = _numbered(merged.filter(unnumbered), new, key)
+    number = (F.col("_position") + F.lit((last or 0) + 1)).cast(existing.schema[id_column].dataType)
+    return merged.filter(~unnumbered).unionByName(fresh.withColumn(id_column, number).select(*existing.columns))
+
+
+def _numbered(rows: DataFrame, count: int, key: str) -> DataFrame:
     """Stored rows with their place by key: few ones by a window in one task, more by a range sort."""
-    if rows.count() <= FEW_ROWS:
+    if count <= FEW_ROWS:
         return rows.withColumn("_position", F.row_number().over(W.orderBy(key)) - 1)
     return with_position(rows, key, name="_position")
 
