@@ -4,6 +4,8 @@
     python -m marketlake.jobs history    --candles P --home P      (or backfill)
     python -m marketlake.jobs daily      --tickers P --quotes P --home P [--moment T]
     python -m marketlake.jobs bridge     --home P
+    python -m marketlake.jobs stream     --prices P --home P       (Parquet files: Pair_ID, Price, Timestamp, Source)
+    python -m marketlake.jobs candles    --prices P --home P [--delay "1 day"]    (with Price_Hist_ID)
     python -m marketlake.jobs categories --categories CSV --home P
     python -m marketlake.jobs stage      --assets P --home P --to P
     python -m marketlake.jobs export     --home P --to P
@@ -28,9 +30,11 @@ from marketlake.operators.joins import missing_keys
 from marketlake.operators.sinks import append, current, export_csv, write_staging
 from marketlake.plans import loads, star
 from marketlake.plans.normalise import EXCHANGE, history_rows, only_markets
-from marketlake.schemas import CORRUPT, CURRENCY, DIM_CATEGORY, PAIR, PRICES
+from marketlake.schemas import CORRUPT, CURRENCY, DIM_CATEGORY, PAIR, PRICE_HIST, PRICES
 from marketlake.session import build_session, scratch, shuffle_settings, stored
 from marketlake.sources import files, payloads
+from marketlake.streaming.candle_stream import load_candle_stream, open_candles
+from marketlake.streaming.files import each_new_batch
 
 
 class Run:
@@ -120,6 +124,23 @@ def bridge(run: Run) -> int:
     return loads.bridge(run.spark, *run.master(), run.home)
 
 
+def stream(run: Run) -> int:
+    """New price files, each once, to the price history, then all prices that have none yet to the star tables."""
+    def load(batch: DataFrame) -> int:
+        return loads.append_prices(run.spark, batch, run.home)
+
+    run.counts["prices"] = each_new_batch(run.spark, run.options.prices, PRICES, f"{run.home}/streamed", load)
+    return bridge(run)
+
+
+def candles(run: Run) -> int:
+    """New price files, each once, to daily candles below HOME/candle_stream; late prices are kept beside them."""
+    home = f"{run.home}/candle_stream"
+    before = open_candles(run.spark, home).count()
+    run.counts["late prices"] = load_candle_stream(run.spark, run.options.prices, PRICE_HIST, home, run.options.delay)
+    return open_candles(run.spark, home).count() - before
+
+
 def categories(run: Run) -> int:
     """Facts of dollar pairs by category, with their times and currencies."""
     known = files.read_csv(run.spark, run.options.categories, DIM_CATEGORY)
@@ -158,6 +179,8 @@ JOBS = {
     backfill: ("candles", "home"),
     daily: ("tickers", "quotes", "home"),
     bridge: ("home",),
+    stream: ("prices", "home"),
+    candles: ("prices", "home"),
     categories: ("categories", "home"),
     stage: ("assets", "home", "to"),
     export: ("home", "to"),
@@ -176,6 +199,7 @@ def run(arguments: Sequence[str] | None = None) -> int:
         command.add_argument("--moment")
         command.add_argument("--markets")
         command.add_argument("--multiline", action="store_true")
+        command.add_argument("--delay", default="1 day")
     options = parser.parse_args(arguments)
     spark = build_session()
     for key, value in shuffle_settings(options.shuffle_bytes).items() if options.shuffle_bytes else ():

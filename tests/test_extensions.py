@@ -8,10 +8,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake import jobs
 from marketlake.operators import incremental, profile, upsert
 from marketlake.operators.sinks import DAY, append_by_day, open_by_day
 from marketlake.plans import analysis, candles
-from marketlake.schemas import CANDLE_FIELDS, CORRUPT, PRICES
+from marketlake.schemas import CANDLE_FIELDS, CORRUPT, PRICE_HIST, PRICES
 from marketlake.sources import payloads
 from marketlake.streaming import candle_stream
 
@@ -235,3 +236,19 @@ def test_hash_ids_are_unique_and_do_not_depend_on_the_order_of_loads(spark):
     assert {r.name: r.id for r in part.unionByName(rest).collect()} == wide
     with pytest.raises(RuntimeError, match="too few"):
         upsert.hash_ids(none, names, "name", "id", bits=5, most_rounds=6)
+
+
+def test_stream_jobs_take_new_files_once(spark, tmp_path, capsys):
+    home, landing = str(tmp_path / "home"), str(tmp_path / "prices")
+    rows = [(k, k % 3, Decimal(k), datetime(2024, 1, 1 + k % 2, k), "Binance") for k in range(1, 13)]
+    jobs.run(["bridge", "--home", home])
+    for part in (rows[:8], rows[8:], []):
+        if part:
+            spark.createDataFrame(part, PRICE_HIST).write.mode("append").parquet(landing)
+        added = jobs.run(["stream", "--prices", landing, "--home", home])
+        assert added == len(part)
+    assert jobs.run(["candles", "--prices", landing, "--home", home]) == 6
+    assert jobs.run(["candles", "--prices", landing, "--home", home]) == 0
+    assert "0 late prices" in capsys.readouterr().out
+    found = as_dict(candle_stream.open_candles(spark, f"{home}/candle_stream"))
+    assert found == {k: v for k, v in ohlc_of(rows).items()}
