@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm.components import components
 from marketlake.llm.skew import apart
+from marketlake.operators.joins import join_dimension
 from marketlake.session import stored, stored_alone
 
 SIMILARITY = 0.98
@@ -178,9 +179,11 @@ def _near_vectors(vectors: DataFrame, similarity: float, tile_rows: int) -> Data
     place = ["label", "size", "x", "y"]
     members = stored(classes.select("node", "label", "copies", "values").mapInPandas(placed, kinds), "placed")
     cells = members.groupBy(place).agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"))
-    sides = _work(stored(cells, "cells"))
+    cells = stored(cells, "cells")
+    sides = _work(cells)
     tile = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    tiled = members.join(cells, place).withColumn("tile", tile).drop("tiles")
+    # A cell may hold most vectors: they are not dealt by cell, but by cell and tile.
+    tiled = join_dimension(members, cells, place).withColumn("tile", tile).drop("tiles")
     dealt = tiled.join(sides, [*place, "tile"])
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
