@@ -62,18 +62,25 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 _open_scratch: list[list[str]] = []
-_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Settings of the jobs whose result is stored, unless the session has its own.
+JOB_SETTINGS = {
+    # The stored table takes the place of the shuffle files that led to it.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # Batches for Python are bounded by bytes, as texts may be long: 10,000 rows of them are tens of MB, twice.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
 
 
 def _write(rows: DataFrame, folder: str) -> None:
-    """Write the rows and let Spark remove the shuffle files that led to them: the table takes their place."""
     conf = rows.sparkSession.conf
-    before = conf.get(_CLEAN_SHUFFLES, "false")
-    conf.set(_CLEAN_SHUFFLES, "true")
+    chosen = {key: value for key, value in JOB_SETTINGS.items() if conf.get(key, None) is None}
+    for key, value in chosen.items():
+        conf.set(key, value)
     try:
         rows.write.parquet(folder)
     finally:
-        conf.set(_CLEAN_SHUFFLES, before)
+        for key in chosen:
+            conf.unset(key)
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake import jobs
+from marketlake import jobs, session
 from marketlake.operators import incremental, profile, upsert
 from marketlake.operators.sinks import DAY, append_by_day, open_by_day
 from marketlake.plans import analysis, candles
@@ -252,3 +252,16 @@ def test_stream_jobs_take_new_files_once(spark, tmp_path, capsys):
     assert "0 late prices" in capsys.readouterr().out
     found = as_dict(candle_stream.open_candles(spark, f"{home}/candle_stream"))
     assert found == {k: v for k, v in ohlc_of(rows).items()}
+
+
+def test_settings_of_stored_jobs_are_given_back(spark, tmp_path_factory):
+    own, other = session.JOB_SETTINGS
+    spark.conf.set(other, "123456")
+    try:
+        kept = session.stored(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "kept")
+        assert kept.count() == 7 and spark.conf.get(own, None) is None and spark.conf.get(other) == "123456"
+        with pytest.raises(Exception, match="division|DIVIDE"):
+            session.stored(spark.range(3).select((F.lit(1) / (F.col("id") - F.col("id"))).alias("x")), "failed")
+        assert spark.conf.get(own, None) is None
+    finally:
+        spark.conf.unset(other)
