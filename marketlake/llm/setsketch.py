@@ -47,7 +47,7 @@ SIMILARITY = 75  # per cent
 MARGIN = 0.19  # five standard deviations of an estimate near 0.75 from 128 registers
 TILE_NODES, TILE_BYTES = 512, 8 << 20
 BUCKET_NODES = 1024  # of a bucket in a tile
-_TASK_NODES = 8192  # of small buckets in a task
+_TASK_NODES = 1024  # of small buckets in a task
 _MANY = 4  # pairs to verify for each node, beyond which all are verified at once
 
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -146,17 +146,16 @@ def _ties(classes: DataFrame, similarity: int) -> DataFrame:
     two are joined once for all buckets that they share."""
     banded = classes.select("set_key", F.explode(band_keys()).alias("band"))
     buckets = banded.groupBy("band").agg(F.min("set_key").alias("a"), F.count(F.lit(1)).alias("size"))
-    buckets = apart(stored(buckets.filter("size > 1"), "buckets"), "band")
+    held = stored(banded.join(apart(buckets.filter("size > 1"), "band"), "band"), "bucketed")
     side = classes.select("set_key", "registers", "n_shingles")
-    pairs = banded.withColumnRenamed("set_key", "b").join(buckets.filter("size = 2"), "band").filter("a != b").select("a", "b").distinct()
+    pairs = held.filter("size = 2 and a != set_key").select("a", F.col("set_key").alias("b")).distinct()
     pairs = pairs.join(side.toDF("a", "left", "left_size"), "a").join(side.toDF("b", "right", "right_size"), "b")
     near = pairs.filter(_near_enough(similarity / 100 - MARGIN)("left", "right", "left_size", "right_size"))
-    return near.select("a", "b").unionByName(_ties_within(banded, buckets.filter("size > 2"), side, similarity))
+    return near.select("a", "b").unionByName(_ties_within(held.filter("size > 2"), side, similarity))
 
 
-def _ties_within(banded: DataFrame, buckets: DataFrame, side: DataFrame, similarity: int) -> DataFrame:
-    tiles = F.ceil(F.col("size") / BUCKET_NODES).cast("int").alias("tiles")
-    rows = stored(banded.join(buckets.select("band", tiles), "band"), "bucketed")
+def _ties_within(held: DataFrame, side: DataFrame, similarity: int) -> DataFrame:
+    rows = held.select("band", "set_key", F.ceil(F.col("size") / BUCKET_NODES).cast("int").alias("tiles"))
     tasks = max(1, -(-rows.count() // _TASK_NODES))
     tile = F.pmod(F.xxhash64("set_key"), F.col("tiles")).cast("int")
     dealt = (
