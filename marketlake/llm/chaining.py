@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.llm.memory import tidy
 from marketlake.llm.words import gram_hashes, hashes_between, joined_texts, mixed, row_ranges, word_bounds, word_hashes
 from marketlake.session import stored, stored_alone
 
@@ -176,7 +177,7 @@ def seed_table(docs: DataFrame, buckets: int) -> DataFrame:
         if size:
             yield packed([np.concatenate(x) for x in zip(*parts)])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").dropna().mapInArrow(found, "bucket int, seeds binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").dropna().mapInArrow(tidy(found), "bucket int, seeds binary")
 
 
 def _unpacked(parts: list[bytes]) -> list[np.ndarray]:
@@ -260,7 +261,7 @@ def matches(docs: DataFrame) -> DataFrame:
             yield from result(parts)
 
     by_bucket = seed_table(docs, max(8, -(-total // BUCKET_BYTES))).repartition("bucket").sortWithinPartitions("bucket")
-    return by_bucket.mapInArrow(joined, "doc long, owner long, place int, owner_place int")
+    return by_bucket.mapInArrow(tidy(joined), "doc long, owner long, place int, owner_place int")
 
 
 class Fenwick:
@@ -364,7 +365,7 @@ def chain_table(found: DataFrame) -> DataFrame:
             yield result([tuple(rest)])
 
     by_pair = found.repartition("doc", "owner").sortWithinPartitions("doc", "owner", "place", "owner_place")
-    return by_pair.mapInArrow(chained, _CHAIN_KIND)
+    return by_pair.mapInArrow(tidy(chained), _CHAIN_KIND)
 
 
 def _equal_run(a: np.ndarray, b: np.ndarray) -> int:
@@ -533,7 +534,7 @@ def _passages(docs: DataFrame, least_words: int, identity: float) -> DataFrame:
             )
 
     slices = asked.select("chain", "mine", "doc", "low", "high", "text", "steps").mapInArrow(
-        cut, f"chain {chain_type}, mine boolean, start int, words binary, steps binary"
+        tidy(cut), f"chain {chain_type}, mine boolean, start int, words binary, steps binary"
     )
     part = F.struct("start", "words", "steps")
     both = slices.groupBy("chain").agg(F.max(F.when(F.col("mine"), part)).alias("a"), F.max(F.when(~F.col("mine"), part)).alias("b"))
@@ -559,7 +560,7 @@ def _passages(docs: DataFrame, least_words: int, identity: float) -> DataFrame:
         F.col("b.start").alias("other_start"), F.col("b.words").alias("others"),
     )
     # Chains of one passage are extended to the same stretch.
-    return flat.mapInArrow(aligned, kinds).distinct()
+    return flat.mapInArrow(tidy(aligned), kinds).distinct()
 
 
 def without_passages(docs: DataFrame, found: DataFrame) -> DataFrame:

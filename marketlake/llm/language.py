@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.llm.memory import release, tidy
+
 PROFILE_LENGTH = 400
 LONGEST = 3
 UNKNOWN = "und"
@@ -110,7 +112,7 @@ def learn_profiles(docs: DataFrame, length: int = PROFILE_LENGTH) -> DataFrame:
                 columns = [pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(counts)]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
 
-    counts = docs.select("text", "lang").dropna().mapInArrow(counted, "lang string, gram long, n long")
+    counts = docs.select("text", "lang").dropna().mapInArrow(tidy(counted), "lang string, gram long, n long")
     totals = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return totals.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < length).select("lang", "gram", "rank")
@@ -160,6 +162,7 @@ def predictor(profiles: dict[str, tuple[np.ndarray, np.ndarray]], length: int =
                     best = int(np.argmin(apart))
                     found[k], scores[k] = langs[best], max(0.0, 1.0 - apart[best])
             yield pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"])
+        release()
 
     return predicted
 

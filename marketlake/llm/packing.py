@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.bpe import encoder_of
+from marketlake.llm.memory import tidy
 from marketlake.operators.joins import join_dimension
 from marketlake.session import stored
 
@@ -60,7 +61,7 @@ def token_pieces(
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     types = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select("doc_id", "text").mapInArrow(cut, types)
+    return docs.select("doc_id", "text").mapInArrow(tidy(cut), types)
 
 
 def best_fit(

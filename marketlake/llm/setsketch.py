@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm.components import components
+from marketlake.llm.memory import tidy
 from marketlake.llm.skew import apart
 from marketlake.llm.words import SHINGLE_WORDS, mixed, shingle_set
 from marketlake.session import stored, stored_alone
@@ -117,7 +118,7 @@ def sketches(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(
-        sketched, "doc_id long, text_key long, n_shingles long, set_key binary, registers binary"
+        tidy(sketched), "doc_id long, text_key long, n_shingles long, set_key binary, registers binary"
     )
 
 
@@ -345,7 +346,7 @@ def _near_duplicates(docs: DataFrame, similarity: int, shingle_words: int) -> Da
             columns = [batch.column(i) for i in range(1, 5)] + [pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays([x.filter(right) for x in columns], schema=schema)
 
-    sets = texts.select("text", "set_key", "component", "tiles", "registers").mapInArrow(with_sets, kinds).dropDuplicates(["set_key"])
+    sets = texts.select("text", "set_key", "component", "tiles", "registers").mapInArrow(tidy(with_sets), kinds).dropDuplicates(["set_key"])
     tile = F.pmod(F.xxhash64("set_key"), F.col("tiles")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     dealt = (
