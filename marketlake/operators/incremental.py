@@ -9,6 +9,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, row_bytes
 from marketlake.operators.ranking import first_per_key
@@ -70,7 +71,7 @@ MOST_DAYS = 10_000
 
 class Extent(NamedTuple):
     """Number of rows, first and last value of a column, rows without one, bytes of the key columns, and the days of the
-    column (None if they are too many)."""
+    column (None if they are too many, or if it holds no times)."""
 
     rows: int
     first: object
@@ -83,10 +84,12 @@ class Extent(NamedTuple):
 def extent(rows: DataFrame, column: str, keys: Sequence[str] | None = None) -> Extent:
     """One pass; what reaches the driver is one row and the distinct dates, of which a calendar has few."""
     size = F.coalesce(F.sum(row_bytes(rows.select(*(keys or [column])))), F.lit(0))
+    dated = isinstance(rows.schema[column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
     *sizes, days = rows.agg(
-        F.count(F.lit(1)), F.min(column), F.max(column), F.count_if(F.col(column).isNull()), size, F.collect_set(F.to_date(column))
+        F.count(F.lit(1)), F.min(column), F.max(column), F.count_if(F.col(column).isNull()), size,
+        F.collect_set(F.to_date(column)) if dated else F.lit(None),
     ).first()
-    return Extent(*sizes, tuple(sorted(days)) if len(days) <= MOST_DAYS else None)
+    return Extent(*sizes, tuple(sorted(days)) if dated and len(days) <= MOST_DAYS else None)
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
