@@ -354,7 +354,7 @@ def test_pages_come_back_from_archives(spark, checkpoints, tmp_path, compression
     assert warc.read_archives(spark, str(tmp_path / "none")).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_warc", "op2_near_duplicates", "op3_near_vectors"])
+@pytest.mark.parametrize("name", ["op1_warc", "op2_near_duplicates", "op3_near_vectors", "op11_merkle", "op13_phrases"])
 def test_queries_match_their_sql(spark, checkpoints, name):
     from compare import open_tables, spark_rows, sql_rows
     from marketlake.llm.queries import QUERIES, SQL
